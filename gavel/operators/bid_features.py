@@ -7,6 +7,9 @@ made, per user island the rows already in it, per auction the users already
 seen. Those arrive as extra rows in the same exchange and are picked up by the
 windows, so the bid rows are never shuffled again by a wider key and no task
 ever holds more than one block of an auction.
+
+When a filtered probe finds no bid beyond the first block, the carry branches
+are left out of the plan.
 """
 
 from __future__ import annotations
@@ -53,6 +56,11 @@ def long_auctions(bids: DataFrame, width: int = WIDTH) -> DataFrame:
     return bids.where(F.col("bid") >= width).groupBy("auctionid").agg(F.max("bid").alias("last_bid"))
 
 
+def has_long(bids: DataFrame, width: int = WIDTH) -> bool:
+    """Whether any auction needs a second block; stops at the first hit."""
+    return not bids.where(F.col("bid") >= width).select("auctionid").limit(1).isEmpty()
+
+
 def _user_blocks(bids: DataFrame, long: DataFrame, width: int) -> DataFrame:
     """Long auctions only: bids and bidomatic bids per (auction, user, block)."""
     return (
@@ -77,7 +85,7 @@ def _user_carry(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _auction_blocks(auctions: DataFrame, long: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
+def _auction_blocks(attributes: DataFrame, long: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
     """Auction columns once per block, with the users seen in earlier blocks.
 
     Joining bids on (auctionid, block) rather than on auctionid keeps a hot
@@ -91,7 +99,7 @@ def _auction_blocks(auctions: DataFrame, long: DataFrame, blocks: DataFrame, wid
     )
     last_block = F.coalesce(block_of(F.col("last_bid"), width), F.lit(0).cast("long"))
     spread = (
-        auctions.select(F.col("qauctionid").alias("auctionid"), *AUCTION_COLUMNS)
+        attributes
         .join(long, "auctionid", "left")
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
     )
@@ -115,59 +123,64 @@ def _side_rows(df: DataFrame, **cols: Column) -> DataFrame:
 
 def _counted(rows: DataFrame) -> DataFrame:
     """Running counts per user, from the rows of one block and its carry rows."""
-    user = Window.partitionBy("auctionid", "block", "username")
-    upto = user.orderBy("bid").rowsBetween(Window.unboundedPreceding, 0)
-    whole = user.orderBy("bid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    extra = ["history"] if "history" in rows.columns else []
+    user = Window.partitionBy("auctionid", "block", "username").orderBy("bid")
+    upto = user.rowsBetween(Window.unboundedPreceding, 0)
+    whole = user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    zero = F.lit(0).cast("long")
+    carried = "prior_n" in rows.columns
+    brought = ["history"] if "history" in rows.columns else []
+
+    def carry(name: str) -> Column:
+        return F.coalesce(F.max(name).over(whole), zero) if carried else zero
+
+    is_bom = F.when(F.col("bid").isNotNull() & F.col("is_bidomatic"), 1).otherwise(0)
+    total = F.count("bid").over(whole)
     counted = rows.select(
-        "auctionid",
-        "block",
-        "username",
-        "bid",
-        "is_bidomatic",
-        "prestreak",
-        "run_carry",
-        F.count("bid").over(upto).alias("n_in"),
-        F.sum(F.when(F.col("bid").isNotNull() & F.col("is_bidomatic"), 1).otherwise(0)).over(upto).alias("bom_in"),
-        F.count("bid").over(whole).alias("total_in"),
-        F.coalesce(F.max("prior_n").over(whole), F.lit(0)).alias("prior_n"),
-        F.coalesce(F.max("prior_bom").over(whole), F.lit(0)).alias("prior_bom"),
-        F.max("user_total").over(whole).alias("user_total"),
-        *[F.first(c, ignorenulls=True).over(whole).alias(c) for c in extra],
+        *rows.columns[: rows.columns.index("is_bidomatic") + 1],
+        *(["prestreak", "run_carry"] if carried else []),
+        (carry("prior_n") + F.count("bid").over(upto)).alias("n"),
+        (carry("prior_bom") + F.sum(is_bom).over(upto)).alias("bom"),
+        (F.coalesce(F.max("user_total").over(whole), total) if carried else total).alias("eventual_bids"),
+        *[F.first(c, ignorenulls=True).over(whole).alias(c) for c in brought],
     )
-    n = F.col("prior_n") + F.col("n_in")
-    bom = F.col("prior_bom") + F.col("bom_in")
-    same = F.when(F.col("is_bidomatic"), bom).otherwise(n - bom)
-    return counted.where(F.col("bid").isNotNull() | F.col("run_carry").isNotNull()).select(
+    is_bid = F.col("bid").isNotNull()
+    if carried:
+        counted = counted.where(is_bid | F.col("run_carry").isNotNull())
+    elif brought:
+        counted = counted.where(is_bid)
+    same = F.when(F.col("is_bidomatic"), F.col("bom")).otherwise(F.col("n") - F.col("bom"))
+    offset = F.col("n") - same
+    return counted.select(
         "auctionid",
         "block",
         "username",
         "bid",
         "is_bidomatic",
-        "run_carry",
-        n.alias("bids_so_far"),
+        *(["run_carry"] if carried else []),
+        F.col("n").alias("bids_so_far"),
         same.alias("bids_of_this_type"),
-        F.coalesce("user_total", "total_in").alias("eventual_bids"),
-        F.when(F.col("bid").isNotNull(), n - same).otherwise(F.col("prestreak")).alias("prestreak"),
-        *extra,
+        "eventual_bids",
+        (F.when(is_bid, offset).otherwise(F.col("prestreak")) if carried else offset).alias("prestreak"),
+        *brought,
     )
 
 
-def _bid_rows(bids: DataFrame, width: int) -> DataFrame:
+def _bid_rows(bids: DataFrame, width: int, carried: bool) -> DataFrame:
     none = F.lit(None).cast("long")
+    carry = ("prior_n", "prior_bom", "user_total", "prestreak", "run_carry") if carried else ()
     return bids.select(
         "auctionid",
         block_of(F.col("bid"), width).alias("block"),
         "username",
         "bid",
         "is_bidomatic",
-        *[none.alias(c) for c in ("prior_n", "prior_bom", "user_total", "prestreak", "run_carry")],
+        *[none.alias(c) for c in carry],
     )
 
 
 def _run_carry(bids: DataFrame, long: DataFrame, carry: DataFrame, width: int, strict: bool) -> DataFrame:
     """Rows already in each island before a block, where there are any."""
-    rows = _bid_rows(bids.join(long, "auctionid", "left_semi"), width)
+    rows = _bid_rows(bids.join(long, "auctionid", "left_semi"), width, True)
     rows = rows.unionByName(carry, allowMissingColumns=True)
     counted = _counted(rows.repartition("auctionid", "block"))
     keys = ["auctionid", "username", "prestreak"] + (["is_bidomatic"] if strict else [])
@@ -183,6 +196,7 @@ def bid_transform(
     strict_islands: bool = False,
     history: DataFrame | None = None,
     width: int = WIDTH,
+    long_bids: bool | None = None,
     keep_block: bool = False,
 ) -> DataFrame:
     """One row per bid of the pending auctions, with its running features.
@@ -191,61 +205,68 @@ def bid_transform(
     struct column of that name without another shuffle of the bids.
     `strict_islands` restarts the streak at every change of bid type; without
     it islands that share an offset are numbered as one, as the batch SQL does.
+    `long_bids` says whether any auction has more than `width` bids; None probes.
     """
     live = pending_auctions(auctions, cutoff, done)
     if cutoff is not None or done is not None:
         ids = live.select(F.col("qauctionid").alias("auctionid"))
         bids = bids.join(ids, "auctionid", "left_semi")
     bids = bids.select("auctionid", "bid", "username", "is_bidomatic")
-
-    long = long_auctions(bids, width)
-    user_blocks = _user_blocks(bids, long, width)
-    carried = _user_carry(user_blocks)
-    carry = _side_rows(
-        carried,
-        prior_n=F.col("prior_n"),
-        prior_bom=F.col("prior_bom"),
-        user_total=F.col("user_total"),
-    )
-    runs = _run_carry(bids, long, carry, width, strict_islands)
-    run_rows = _side_rows(
-        runs,
-        prestreak=F.col("prestreak"),
-        run_carry=F.col("run_carry"),
-        **({"is_bidomatic": F.col("is_bidomatic")} if strict_islands else {}),
-    )
-    sides = [carry, run_rows]
+    carried = has_long(bids, width) if long_bids is None else long_bids
+
+    attributes = live.select(F.col("qauctionid").alias("auctionid"), *AUCTION_COLUMNS)
+    rows = _bid_rows(bids, width, carried)
+    if carried:
+        long = long_auctions(bids, width)
+        user_blocks = _user_blocks(bids, long, width)
+        prior = _user_carry(user_blocks)
+        carry = _side_rows(prior, **{c: F.col(c) for c in ("prior_n", "prior_bom", "user_total")})
+        runs = _run_carry(bids, long, carry, width, strict_islands)
+        given = ["prestreak", "run_carry"] + (["is_bidomatic"] if strict_islands else [])
+        run_rows = _side_rows(runs, **{c: F.col(c) for c in given})
+        rows = rows.unionByName(carry, allowMissingColumns=True)
+        rows = rows.unionByName(run_rows, allowMissingColumns=True)
+        attributes = _auction_blocks(attributes, long, user_blocks, width)
     if history is not None:
-        blocks = carried.select("auctionid", "username", "block")
-        placed = history.join(blocks, ["auctionid", "username"], "left").withColumn(
-            "block", F.coalesce("block", F.lit(0).cast("long"))
-        )
+        first_block = F.lit(0).cast("long")
+        if carried:
+            blocks = prior.select("auctionid", "username", "block")
+            placed = history.join(blocks, ["auctionid", "username"], "left")
+            placed = placed.withColumn("block", F.coalesce("block", first_block))
+        else:
+            placed = history.withColumn("block", first_block)
         brought = [c for c in history.columns if c not in ("auctionid", "username")]
-        sides.append(_side_rows(placed, history=F.struct(*brought)))
-    rows = _bid_rows(bids, width)
-    for side in sides:
-        rows = rows.unionByName(side, allowMissingColumns=True)
-    counted = _counted(rows.repartition("auctionid", "block"))
+        placed = _side_rows(placed, history=F.struct(*brought))
+        rows = rows.unionByName(placed, allowMissingColumns=True)
+    # Without long auctions every block is block 0 and the auction alone spreads.
+    spread_by = ["auctionid", "block"] if carried else ["auctionid"]
+    counted = _counted(rows.repartition(*spread_by))
 
     island = ["auctionid", "block", "username", "prestreak"] + (["is_bidomatic"] if strict_islands else [])
     run = Window.partitionBy(*island).orderBy("bid")
-    upto = run.rowsBetween(Window.unboundedPreceding, 0)
-    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    in_run = F.count("bid").over(upto) + F.coalesce(F.max("run_carry").over(whole), F.lit(0))
-    streaked = counted.withColumn("in_run", in_run).where(F.col("bid").isNotNull())
-
-    joined = streaked.join(_auction_blocks(live, long, user_blocks, width), ["auctionid", "block"])
+    in_run = F.count("bid").over(run.rowsBetween(Window.unboundedPreceding, 0))
+    if carried:
+        whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        in_run = in_run + F.coalesce(F.max("run_carry").over(whole), F.lit(0))
+    streaked = counted.withColumn("in_run", in_run)
+    if carried:
+        streaked = streaked.where(F.col("bid").isNotNull())
+
+    joined = streaked.join(attributes, spread_by)
     order = Window.partitionBy("auctionid", "block").orderBy("bid")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     all_of = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     debut = (F.col("bids_so_far") == 1).cast("int")
+    price = F.max("bid").over(all_of)
+    users = F.sum(debut).over(so_far) - 1
     base = joined.select(
         "*",
         debut.alias("debut"),
-        F.coalesce("last_bid", F.max("bid").over(all_of)).alias("eventual_win_price"),
-        (F.coalesce("prior_users", F.lit(0)) + F.sum(debut).over(so_far) - 1).alias("prevusers"),
+        (F.coalesce("last_bid", price) if carried else price).alias("eventual_win_price"),
+        (F.coalesce("prior_users", F.lit(0)) + users if carried else users).alias("prevusers"),
     )
     bid, price = F.col("bid"), F.col("eventual_win_price")
+    so_far, same = F.col("bids_so_far"), F.col("bids_of_this_type")
     out = base.select(
         "*",
         scalar.is_locked(F.col("lock_price"), bid).alias("is_locked"),
@@ -253,13 +274,13 @@ def bid_transform(
         F.when(F.col("is_bidomatic"), F.col("in_run")).otherwise(F.lit(0)).alias("bom_streak"),
         (bid == price).alias("is_winner"),
         (bid == price - 1).alias("is_pen"),
-        ((F.col("bids_so_far") == F.col("eventual_bids")) & (bid != price)).alias("giveup"),
-        F.when(F.col("is_bidomatic"), F.col("bids_of_this_type"))
-        .otherwise(F.col("bids_so_far") - F.col("bids_of_this_type"))
-        .alias("bom_bids_so_far"),
-        scalar.perc_to_bin(F.col("bids_so_far"), F.col("cashvalue")).alias("perc_to_bin"),
+        ((so_far == F.col("eventual_bids")) & (bid != price)).alias("giveup"),
+        F.when(F.col("is_bidomatic"), same).otherwise(so_far - same).alias("bom_bids_so_far"),
+        scalar.perc_to_bin(so_far, F.col("cashvalue")).alias("perc_to_bin"),
     )
-    extra = (["history"] if history is not None else []) + (["block", "last_bid"] if keep_block else [])
+    extra = ["history"] if history is not None else []
+    if keep_block:
+        extra += ["block"] + (["last_bid"] if carried else [])
     return out.select(*TRANSFORM_COLUMNS, *extra)
 
 

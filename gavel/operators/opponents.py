@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavel.operators import history as h
-from gavel.operators.bid_features import bid_transform, long_auctions, pending_auctions
+from gavel.operators.bid_features import bid_transform, has_long, long_auctions, pending_auctions
 from gavel.operators.blocks import WIDTH, block_of
 from gavel.schemas import BASE_COLUMNS, FEATURE_COLUMNS, OPPONENT_COLUMNS, OPPONENTS
 
@@ -34,10 +34,13 @@ def _chain(rows: DataFrame, keys: list[str], k: int, seeds: list[str] | None) ->
         absent = absent & ~F.col("username").eqNullSafe(F.col(f"_p{j - 1}.username"))
         moved = F.when(absent, F.col(f"_p{j - 1}"))
         kept = F.last(moved, ignorenulls=True).over(before)
-        out = out.withColumn(f"_p{j}", seeded(kept, j)).withColumn(
-            f"_d{j}", F.when(absent, F.col(f"_p{j - 1}")).otherwise(F.col(f"_p{j}"))
-        )
-    return out
+        out = out.withColumn(f"_p{j}", seeded(kept, j))
+    absent = F.lit(True)
+    moves = {}
+    for j in range(1, k + 1):
+        absent = absent & ~F.col("username").eqNullSafe(F.col(f"_p{j - 1}.username"))
+        moves[f"_d{j}"] = F.when(absent, F.col(f"_p{j - 1}")).otherwise(F.col(f"_p{j}"))
+    return out.withColumns(moves)
 
 
 def _block_seeds(rows: DataFrame, k: int) -> DataFrame:
@@ -49,8 +52,7 @@ def _block_seeds(rows: DataFrame, k: int) -> DataFrame:
     user = Window.partitionBy("auctionid", "block", "username").orderBy(F.desc("bid"))
     block = Window.partitionBy("auctionid", "block").orderBy(F.desc("bid"))
     few = (
-        rows.where(F.col("last_bid").isNotNull())
-        .withColumn("_u", F.row_number().over(user))
+        rows.withColumn("_u", F.row_number().over(user))
         .where(F.col("_u") == 1)
         .withColumn("_b", F.row_number().over(block))
         .where(F.col("_b") <= k + 1)
@@ -67,46 +69,49 @@ def _block_seeds(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def with_blocks(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Add `block` and, for long auctions, `last_bid`; spread by block."""
-    if "block" in rows.columns and "last_bid" in rows.columns:
-        return rows
-    placed = rows.withColumn("block", block_of(F.col("bid"), width)).repartition("auctionid", "block")
-    longs = long_auctions(rows, width)
-    blocks = longs.select(
-        "auctionid",
-        "last_bid",
-        F.explode(F.sequence(F.lit(0).cast("long"), block_of(F.col("last_bid"), width))).alias("block"),
-    )
-    return placed.join(blocks, ["auctionid", "block"], "left")
-
-
-def recent_users(rows: DataFrame, entry: list[Column], k: int, width: int = WIDTH) -> DataFrame:
+def recent_users(
+    rows: DataFrame, entry: list[Column], k: int, width: int = WIDTH, long_bids: bool | None = None
+) -> DataFrame:
     """`rows` plus `_d1`..`_dk`, structs of `entry` for the k latest other users.
 
     `rows` is keyed by (auctionid, bid) and `entry` must hold username and bid.
+    Rows that already carry `block` are taken as spread by (auctionid, block).
     """
-    spread = with_blocks(rows, width).withColumn("_e", F.struct(*entry))
-    seeds = _block_seeds(spread, k)
+    carried = has_long(rows, width) if long_bids is None else long_bids
+    spread = rows
+    if "block" not in rows.columns:
+        by = ["auctionid", "block"] if carried else ["auctionid"]
+        spread = rows.withColumn("block", block_of(F.col("bid"), width)).repartition(*by)
+    spread = spread.withColumn("_e", F.struct(*entry))
+    if not carried:
+        return _chain(spread, ["auctionid", "block"], k, None)
+    seeds = _block_seeds(spread.join(long_auctions(rows, width), "auctionid", "left_semi"), k)
     joined = spread.join(seeds, ["auctionid", "block"], "left")
     return _chain(joined, ["auctionid", "block"], k, [f"_s{j}" for j in range(k + 1)])
 
 
-def opponent_entry() -> list[Column]:
-    plain = [
-        "bid", "username", "is_bidomatic", "bids_so_far", "bom_bids_so_far", "bom_streak",
-        "perc_to_bin", "prev_is_new_user", "prev_auction_count",
-    ]
-    return [F.col(c) for c in plain] + [c.alias(n) for n, c in h.normalised().items()]
+def opponent_entry(attributes: list[str]) -> list[Column]:
+    """The columns a bid hands on to those who see its user as an opponent."""
+    history = h.normalised()
+    needed = ["bid"] + [c for c in attributes if c != "distance"]
+    if "username" not in needed:
+        needed.append("username")
+    return [history[c].alias(c) if c in history else F.col(c) for c in needed]
 
 
-def opponents(unified: DataFrame, k: int = OPPONENTS, width: int = WIDTH) -> DataFrame:
-    """Base columns plus 15 attributes of each of the k latest opponents."""
-    chained = recent_users(unified, opponent_entry(), k, width)
+def opponents(
+    unified: DataFrame,
+    k: int = OPPONENTS,
+    width: int = WIDTH,
+    long_bids: bool | None = None,
+    attributes: list[str] = OPPONENT_COLUMNS,
+) -> DataFrame:
+    """Base columns plus the given attributes of each of the k latest opponents."""
+    chained = recent_users(unified, opponent_entry(attributes), k, width, long_bids)
     wide = []
     for i in range(k):
         e = F.col(f"_d{i + 1}")
-        for name in OPPONENT_COLUMNS:
+        for name in attributes:
             value = F.col("bid") - e["bid"] if name == "distance" else e[name]
             wide.append(value.alias(f"{name}{i}"))
     return chained.select(*BASE_COLUMNS, *wide)
@@ -144,6 +149,7 @@ def auction_full(
 
     History covers every auction before the cutoff, processed or not.
     """
+    long_bids = has_long(bids, width)
     known = pending_auctions(auctions, cutoff)
     hist = h.user_history(h.rollup(bids, known))
     if done is not None:
@@ -157,7 +163,21 @@ def auction_full(
         strict_islands,
         history=h.history_columns(hist),
         width=width,
+        long_bids=long_bids,
         keep_block=True,
     )
-    unified = transformed.select("*", "history.*").drop("history")
-    return directly_followed(opponents(unified, width=width)).select(*FEATURE_COLUMNS)
+    unified = transformed.select(
+        *[c for c in transformed.columns if c not in ("history", "last_bid")], "history.*"
+    )
+    return directly_followed(opponents(unified, width=width, long_bids=long_bids)).select(*FEATURE_COLUMNS)
+
+
+def auction_plain(
+    bids: DataFrame, auctions: DataFrame, width: int = WIDTH, attributes: list[str] = OPPONENT_COLUMNS[:7]
+) -> DataFrame:
+    """The feature rows without user history, for queries that need none."""
+    long_bids = has_long(bids, width)
+    transformed = bid_transform(bids, auctions, width=width, long_bids=long_bids, keep_block=True)
+    return directly_followed(
+        opponents(transformed.drop("last_bid"), width=width, long_bids=long_bids, attributes=attributes)
+    )
