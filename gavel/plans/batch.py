@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gavel.operators import history as h
 from gavel.operators.bid_features import bid_transform, pending_auctions
@@ -18,11 +17,17 @@ def cutoffs(first: dt.date, last: dt.date) -> list[str]:
     return [str(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)]
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """A table of this run, or None before its first append."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(hadoop) else None
+def _batches(spark: SparkSession, table_dir: str) -> list[str]:
+    """Folders of the batches written to the end, by their success marks."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_dir}/batch=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(mark.getPath().getParent()) for mark in found or [])
+
+
+def read_batches(spark: SparkSession, table_dir: str, folders: list[str] | None = None) -> DataFrame | None:
+    """The finished batches of a table, or None when there are none."""
+    folders = _batches(spark, table_dir) if folders is None else folders
+    return spark.read.parquet(*folders) if folders else None
 
 
 def pending_count(auctions: DataFrame, cutoff: str, done: DataFrame | None) -> int:
@@ -34,27 +39,19 @@ def run_batch(spark: SparkSession, bids: DataFrame, auctions: DataFrame, out_dir
 
     Returns how many auctions were pending; with none, nothing is written. The
     written bid_transform rows are read back for the next step, so that step
-    does not compute them again. Each batch has its own folder in either table,
-    so a batch that is run again replaces its rows and never doubles them.
+    does not compute them again. Each batch has its own folder in either table:
+    a batch cut short is not counted as done and is written over when run again.
     """
     transform_dir, full_dir = f"{out_dir}/bid_transform", f"{out_dir}/auction_full"
-    before = _stored(spark, transform_dir)
-    if before is not None:
-        full = _stored(spark, full_dir)
-        complete = full.select("batch").distinct() if full is not None else None
-        # A batch without its feature rows was cut short; take it up again.
-        before = before.where("false") if complete is None else before.join(complete, "batch", "left_semi")
-    n = pending_count(auctions, cutoff, before)
+    finished = [f.replace(full_dir, transform_dir) for f in _batches(spark, full_dir)]
+    done = read_batches(spark, transform_dir, finished)
+    n = pending_count(auctions, cutoff, done)
     if n == 0:
         return 0
-    bid_transform(bids, auctions, cutoff, before).write.mode("overwrite").parquet(
-        f"{transform_dir}/batch={cutoff}"
-    )
-    everything = spark.read.parquet(transform_dir)
-    if before is not None:
-        everything = before.unionByName(everything.where(F.col("batch") == F.lit(cutoff).cast("date")))
-    new = spark.read.parquet(f"{transform_dir}/batch={cutoff}")
-    hist = h.user_history(h.rollup_transformed(everything))
+    folder = f"{transform_dir}/batch={cutoff}"
+    bid_transform(bids, auctions, cutoff, done).write.mode("overwrite").parquet(folder)
+    new = spark.read.parquet(folder)
+    hist = h.user_history(h.rollup_transformed(spark.read.parquet(*finished, folder)))
     full = directly_followed(opponents(h.unify(new, hist))).select(*FEATURE_COLUMNS)
     full.write.mode("overwrite").parquet(f"{full_dir}/batch={cutoff}")
     return n
