@@ -181,3 +181,65 @@ def auction_plain(
     return directly_followed(
         opponents(transformed.drop("last_bid"), width=width, long_bids=long_bids, attributes=attributes)
     )
+
+
+def every_opponent(bids: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(auctionid, bid, p_username, max_bid): the latest earlier bid of every
+    other user, one row per bid and opponent.
+
+    A bid is its user's latest until the user's next bid, so each bid names the
+    later bid numbers it answers for; no two bids are compared. Ranges are cut
+    at block borders and handed on from block to block, so neither a long range
+    nor a hot auction lands in one task. The result holds as many rows as there
+    are opponents; the feature table needs only the nearest and uses the chain.
+    """
+    placed = bids.select("auctionid", "bid", "username", block_of(F.col("bid"), width).alias("block"))
+    end_of = ((F.col("block") + 1) * width - 1).cast("int")
+    inside = Window.partitionBy("auctionid", "block", "username").orderBy("bid")
+    local = placed.select(
+        "auctionid",
+        "username",
+        "block",
+        F.col("bid").alias("max_bid"),
+        (F.col("bid") + 1).alias("first"),
+        F.coalesce(F.lead("bid").over(inside) - 1, end_of).alias("last"),
+    )
+    per_block = placed.groupBy("auctionid", "username", "block").agg(
+        F.min("bid").alias("lo"), F.max("bid").alias("hi")
+    )
+    ends = placed.groupBy("auctionid").agg(F.max("block").alias("end_block"))
+    by_block = Window.partitionBy("auctionid", "username").orderBy("block")
+    onward = (
+        per_block.withColumns({"next_block": F.lead("block").over(by_block), "next_lo": F.lead("lo").over(by_block)})
+        .join(ends, "auctionid")
+        .withColumn("until", F.coalesce("next_block", "end_block"))
+        .where(F.col("until") > F.col("block"))
+        .select(
+            "auctionid", "username", F.col("hi").alias("max_bid"), "next_block", "next_lo",
+            F.explode(F.sequence(F.col("block") + 1, F.col("until"))).alias("block"),
+        )
+        .select(
+            "auctionid",
+            "username",
+            "block",
+            "max_bid",
+            (F.col("block") * width).cast("int").alias("first"),
+            F.when(F.col("block") == F.col("next_block"), F.col("next_lo") - 1).otherwise(end_of).alias("last"),
+        )
+    )
+    known = placed.groupBy("auctionid", "block").agg(F.max("bid").alias("top"))
+    ranges = (
+        local.unionByName(onward)
+        .join(known, ["auctionid", "block"])
+        .withColumn("last", F.least("last", "top"))
+        .where(F.col("first") <= F.col("last"))
+    )
+    named = ranges.select(
+        "auctionid",
+        "block",
+        F.explode(F.sequence("first", "last")).alias("bid"),
+        F.col("username").alias("p_username"),
+        "max_bid",
+    )
+    rows = placed.select("auctionid", "block", "bid")
+    return named.join(rows, ["auctionid", "block", "bid"]).select("auctionid", "bid", "p_username", "max_bid")

@@ -9,8 +9,8 @@ STATEMENTS = {
     "a01_auction_user_rollup": sql("SELECT * FROM roll", "roll"),
     "a01_rollup_from_features": sql("SELECT * FROM roll", "roll"),
     "a02_latest_opponent_bid": sql(
-        "SELECT auctionid, p_username, max(max_bid) AS max_bid, count(*) AS times_seen FROM places WHERE place <= 4 GROUP BY ALL",
-        "places",
+        "SELECT auctionid, p_username, max(max_bid) AS max_bid, count(*) AS times_seen FROM pairs GROUP BY ALL",
+        "pairs",
     ),
     "a03_last_time_per_user": sql("SELECT username, max(auctiontime) AS max_auctiontime FROM bt GROUP BY username", "bt"),
     "a04_bids_per_user": sql("SELECT username, count(*) AS my_count FROM bids GROUP BY username ORDER BY my_count DESC", "bids"),

@@ -19,7 +19,8 @@ cashvalue, cardtype, lock_price FROM bids JOIN auctions ON auctionid = qauctioni
         "auctions",
     ),
     "j02_rows_with_history": sql("SELECT * EXCLUDE (is_locked, is_pen) FROM uni", "uni"),
-    "j03_latest_bid_per_opponent": sql("SELECT * EXCLUDE (place) FROM places WHERE place <= 4", "places"),
+    "j03_latest_bid_per_opponent": sql("SELECT * FROM pairs", "pairs"),
+    "j03_nearest_opponents": sql("SELECT * EXCLUDE (place) FROM places WHERE place <= 4", "places"),
     "j04_opponent_lookup": sql(
         "SELECT m.auctionid, m.bid, "
         + ", ".join(
