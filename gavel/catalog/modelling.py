@@ -1 +1,169 @@
-QUERIES = {}
+"""The win model: preparation, fitting, calibration, importances."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import functions as F
+
+from gavel.catalog.tables import MIDWAY, Tables
+from gavel.model import win_model as wm
+from gavel.operators import evaluation as ev
+from gavel.operators import exploration as x
+from gavel.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from gavel.streaming.live import scenarios
+
+KEY = ["auctionid", "bid"]
+TREES, DEPTH = 20, 6
+USER_FEATURES = [
+    "avg_debut", "avg_cashvalue", "avg_perc_to_bin", "g_avg_bid", "g_bom_bid_avg", "g_bom_streak_avg", "profit_avg",
+]
+
+
+def modelled(t: Tables):
+    """Feature rows to model, written once so that fitting does not rebuild them."""
+    path = t.folder("model_rows")
+    wm.model_rows(t.full).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+def fitted(rows, categories=None, ratio: float = 0.5):
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=17)
+    return wm.WinModel(forest, sampling_ratio=ratio).fit(rows, categories)
+
+
+def scores(t: Tables):
+    """Calibrated probabilities of a forest trained on the earlier auctions."""
+    rows = wm.time_split(modelled(t), MIDWAY, "2024-02-01")
+    model = fitted(rows.where(F.col("split") == "train"), rows)
+    return model.score(rows.where(F.col("split") == "test").drop("split")).select(*KEY, "prob", "predicted")
+
+
+def encoded(t: Tables):
+    """The nearest opponent's type one-hot encoded, first category dropped."""
+    rows = wm.impute(wm.model_features(t.plain), [], ["is_bidomatic0"])
+    index, hot, _ = wm.encoder_stages(["is_bidomatic0"], [])
+    out = Pipeline(stages=[index, hot]).fit(rows).transform(rows)
+    codes = vector_to_array("is_bidomatic0_hot")
+    # Codes run in descending order of the category.
+    return out.select(*KEY, codes[0].cast("int").alias("type_true"), codes[1].cast("int").alias("type_none"))
+
+
+def assembled(t: Tables):
+    rows = wm.impute(wm.model_features(wm.model_rows(t.full)))
+    out = Pipeline(stages=wm.encoder_stages()).fit(rows).transform(rows)
+    return out.select(*KEY, vector_to_array("features").alias("features"))
+
+
+def undersampled(t: Tables):
+    return wm.undersample(t.scored, "is_winner", 0.5, KEY).select(*KEY, "is_winner")
+
+
+def undersample_size(t: Tables):
+    """How many of each outcome the exact undersampling keeps."""
+    return wm.undersample(t.scored, "is_winner", 0.5, KEY).groupBy("is_winner").agg(F.count("*").alias("n"))
+
+
+def calibrated(t: Tables):
+    """Pseudo-probabilities calibrated with the rates of the table."""
+    won = F.col("is_winner").cast("int")
+    t_rate = t.scored.select(F.avg(won)).scalar()
+    kept = t.scored.select(F.sum(won) / (F.sum(won) / F.lit(0.5) + F.sum(won))).scalar()
+    return t.scored.select(*KEY, x.rounded(wm.calibrate(F.col("prob"), t_rate, kept)).alias("prob"))
+
+
+def scenario_scores(t: Tables):
+    rows = modelled(t)
+    scored = fitted(rows).score(scenarios(rows))
+    return scored.groupBy(*KEY).agg(
+        F.max(F.when(F.col("is_bidomatic"), F.col("prob"))).alias("bom_proba"),
+        F.max(F.when(~F.col("is_bidomatic"), F.col("prob"))).alias("manual_proba"),
+    )
+
+
+def importances(t: Tables):
+    rows = modelled(t)
+    return wm.feature_importances(fitted(rows), rows)
+
+
+def permuted(t: Tables):
+    rows = modelled(t)
+    return wm.permutation_importance(fitted(rows), rows, ["bid", "cashvalue", "prevusers"])
+
+
+def shuffled_sums(t: Tables):
+    """A shuffled column keeps its values: counts per value, before the model."""
+    return wm.shuffled_column(t.scored.select(*KEY, "cashvalue"), "cashvalue", KEY, 7).groupBy("cashvalue").agg(
+        F.count("*").alias("n"), F.count_distinct("auctionid", "bid").alias("rows")
+    )
+
+
+def user_clusters(t: Tables):
+    profile = x.user_profile(t.transform).na.fill(0)
+    rows = VectorAssembler(inputCols=USER_FEATURES, outputCol="features").transform(profile)
+    model = KMeans(k=5, seed=17, featuresCol="features", predictionCol="cluster").fit(rows)
+    return model.transform(rows).select("username", "win_perc", "cluster", *USER_FEATURES)
+
+
+def cluster_means(t: Tables):
+    return x.group_means(user_clusters(t), ["cluster"], ["win_perc", *USER_FEATURES])
+
+
+def profit_regression(t: Tables):
+    rows = wm.impute(wm.model_features(ev.profits(modelled(t))))
+    prepared = Pipeline(stages=wm.encoder_stages()).fit(rows).transform(rows)
+    forest = RandomForestRegressor(numTrees=TREES, maxDepth=DEPTH, seed=17, labelCol="actual")
+    return forest.fit(prepared).transform(prepared).select(*KEY, "actual", "prediction")
+
+
+def feed_forward(t: Tables):
+    """Two hidden layers of 30 (sigmoid units; the output layer is softmax)."""
+    rows = wm.impute(wm.model_features(modelled(t))).withColumn("label", F.col("is_winner").cast("double"))
+    encoder = Pipeline(stages=wm.encoder_stages()).fit(rows)
+    sample = wm.undersample(rows, "is_winner", 0.5, KEY)
+    width = len(wm.feature_names(encoder, rows))
+    net = MultilayerPerceptronClassifier(layers=[width, 30, 30, 2], maxIter=30, seed=17)
+    model = net.fit(encoder.transform(sample).select("features", "label"))
+    return model.transform(encoder.transform(rows)).select(*KEY, vector_to_array("probability")[1].alias("prob"))
+
+
+def model_saved(t: Tables):
+    """Scores of a model that was saved and loaded, next to the original's."""
+    rows, path = modelled(t), t.folder("model")
+    model = fitted(rows)
+    model.save(path)
+    again = wm.WinModel.load(t.spark, path)
+    return again.score(rows).select(*KEY, F.col("prob").alias("loaded")).join(
+        model.score(rows).select(*KEY, F.col("prob").alias("fitted")), KEY
+    )
+
+
+QUERIES = {
+    "m01_impute_numbers": lambda t: wm.impute(wm.model_features(t.full), categorical=[]).select(
+        "auctionid", F.col("bid").cast("int").alias("bid"), *[x.rounded(F.col(c)).alias(f"x_{c}") for c in NUMERIC_FEATURES]
+    ),
+    "m02_impute_categories": lambda t: wm.impute(
+        wm.model_features(t.plain.withColumn("cardtype", F.when(F.col("limited_allowed"), F.col("cardtype")))), numeric=[]
+    ).select(*KEY, *CATEGORICAL_FEATURES),
+    "m03_one_hot": encoded,
+    "m04_assembled": assembled,
+    "m05_undersample": undersampled,
+    "m05_undersample_size": undersample_size,
+    "m06_forest_scores": scores,
+    "m07_calibrated": calibrated,
+    "m08_scenario_scores": scenario_scores,
+    "m09_feature_importances": importances,
+    "m10_permutation_importance": permuted,
+    "m10_shuffled_column": shuffled_sums,
+    "m11_user_clusters": user_clusters,
+    "m11_cluster_means": cluster_means,
+    "m12_profit_regression": profit_regression,
+    "m13_feed_forward": feed_forward,
+    "m14_random_split": lambda t: wm.random_split(t.scored.select(*KEY), KEY),
+    "m15_time_split": lambda t: wm.time_split(t.auctions, MIDWAY, "2024-01-20").select("qauctionid", "split"),
+    "s08_model_saved": model_saved,
+}

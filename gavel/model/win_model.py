@@ -154,7 +154,9 @@ class WinModel:
         self.model: PipelineModel | None = None
         self.true_rate = self.sampled_rate = None
 
-    def fit(self, df: DataFrame) -> "WinModel":
+    def fit(self, df: DataFrame, categories: DataFrame | None = None) -> "WinModel":
+        """Fit on `df`; a category seen neither there nor in `categories` is an
+        error when scoring."""
         rows = impute(model_features(df))
         # Two counts come back to the driver; no rows do.
         n, won = rows.agg(F.count("*"), F.sum(F.col(self.label).cast("long"))).first()
@@ -162,10 +164,10 @@ class WinModel:
         self.sampled_rate = won / (won / self.sampling_ratio + won)
         sampled = undersample(rows, self.label, self.sampling_ratio, self.KEYS, self.seed)
         sampled = sampled.withColumn("label", F.col(self.label).cast("double"))
-        stages = encoder_stages()
-        # Categories come from all rows, so scoring never meets a new one
-        # that undersampling happened to leave out.
-        fitted = Pipeline(stages=stages).fit(rows)
+        # Categories come from the rows before undersampling, which may leave
+        # out a rare one.
+        seen = rows if categories is None else impute(model_features(categories))
+        fitted = Pipeline(stages=encoder_stages()).fit(seen)
         features = fitted.transform(sampled).select("features", "label")
         estimator = self.estimator.copy({self.estimator.featuresCol: "features", self.estimator.labelCol: "label"})
         self.model = PipelineModel(stages=[*fitted.stages, estimator.fit(features)])
@@ -233,7 +235,7 @@ def shuffled_column(df: DataFrame, col: str, keys: list[str], seed: int) -> Data
         return running(hashed, [], ["_hb"], ["_h", *keys], {"_at": F.lit(1)}).drop("_h", "_hb")
 
     values = ranked(df.select(*keys, F.col(col).alias("_v")), seed + 1).select("_at", "_v")
-    rest = ranked(df.drop(col), seed)
+    rest = ranked(df, seed).drop(col)
     return rest.join(values, "_at").withColumnRenamed("_v", col).select(*df.columns)
 
 
