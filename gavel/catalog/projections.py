@@ -68,7 +68,7 @@ def normalised_history(t: Tables):
     hist = history_columns(t.history)
     return hist.select(
         "auctionid", "username", "prev_auction_count", "prev_is_new_user",
-        *[x.rounded(c).alias(n) for n, c in normalised().items()],
+        *[x.rounded(F.expr(c)).alias(n) for n, c in normalised().items()],
     )
 
 

@@ -24,16 +24,9 @@ def block_of(col: Column, width: int = WIDTH) -> Column:
 def carry_in(df: DataFrame, keys: list[str], block: str, measures: dict[str, Column]) -> DataFrame:
     """Per (keys, block): the totals of `measures` over all earlier blocks."""
     totals = df.groupBy(*keys, block).agg(*[F.sum(c).alias(f"_{n}") for n, c in measures.items()])
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(block)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return totals.select(
-        *keys,
-        block,
-        *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(n) for n in measures],
-    )
+    by = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    earlier = f"({by} ORDER BY {block} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return totals.selectExpr(*keys, block, *[f"coalesce(sum(_{n}) OVER {earlier}, 0) AS {n}" for n in measures])
 
 
 def running(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.functions.scalar import perc_to_bin, ratio
+from gavel.functions.scalar import perc_to_bin
 from gavel.operators.blocks import block_of, carry_in
 
 # measure in the rollup -> name of its exclusive prefix sum
@@ -88,23 +88,15 @@ def user_history(rolled: DataFrame) -> DataFrame:
     )
     keys = ["username", "day", "auctiontime", "id_block"]
     per_instant = spread.groupBy(*keys).agg(
-        F.count("*").alias("n"), *[F.sum(m).alias(m) for m in PREFIX_SUMS]
+        F.expr("count(*) AS n"), *[F.expr(f"sum({m}) AS {m}") for m in PREFIX_SUMS]
     )
-    upto = (
-        Window.partitionBy("username", "day")
-        .orderBy("auctiontime")
-        .rangeBetween(Window.unboundedPreceding, 0)
-    )
-    instant = Window.partitionBy("username", "day", "auctiontime")
-    lower_ids = instant.orderBy("id_block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = per_instant.select(
+    upto = "(PARTITION BY username, day ORDER BY auctiontime RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    instant = "PARTITION BY username, day, auctiontime"
+    lower_ids = f"({instant} ORDER BY id_block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    placed = per_instant.selectExpr(
         *keys,
-        *[F.sum(m).over(upto).alias(f"{m}_upto") for m in PREFIX_SUMS],
-        (
-            F.sum("n").over(upto)
-            - F.sum("n").over(instant)
-            + F.coalesce(F.sum("n").over(lower_ids), F.lit(0))
-        ).alias("n_before"),
+        *[f"sum({m}) OVER {upto} AS {m}_upto" for m in PREFIX_SUMS],
+        f"sum(n) OVER {upto} - sum(n) OVER ({instant}) + coalesce(sum(n) OVER {lower_ids}, 0) AS n_before",
     )
     carry = carry_in(
         per_instant,
@@ -113,37 +105,29 @@ def user_history(rolled: DataFrame) -> DataFrame:
         {f"{m}_days": F.col(m) for m in PREFIX_SUMS} | {"n_days": F.col("n")},
     )
     totals = placed.join(carry, ["username", "day"])
-    among = Window.partitionBy(*keys).orderBy("auctionid")
-    return (
-        spread.select("*", (F.row_number().over(among) - 1).cast("long").alias("rank_in"))
-        .join(totals, keys)
-        .select(
-            "auctiontime",
-            "username",
-            "auctionid",
-            *[
-                (F.col(f"{m}_days") + F.col(f"{m}_upto") - F.col(m)).alias(name)
-                for m, name in PREFIX_SUMS.items()
-            ],
-            (F.col("n_days") + F.col("n_before") + F.col("rank_in")).alias("prev_auction_count"),
-        )
+    among = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY auctionid) - 1 AS rank_in"
+    return spread.selectExpr("*", among).join(totals, keys).selectExpr(
+        "auctiontime",
+        "username",
+        "auctionid",
+        *[f"{m}_days + {m}_upto - {m} AS {name}" for m, name in PREFIX_SUMS.items()],
+        "n_days + n_before + rank_in AS prev_auction_count",
     )
 
 
 def history_columns(hist: DataFrame) -> DataFrame:
     """History as the feature rows carry it: a new user counts one auction."""
-    count = F.col("prev_auction_count")
-    return hist.select(
+    return hist.selectExpr(
         "auctionid",
         "username",
-        F.when(count == 0, F.lit(1)).otherwise(count).cast("long").alias("prev_auction_count"),
-        (count == 0).cast("int").alias("prev_is_new_user"),
-        F.col("prev_overbid_count").alias("prev_overbid"),
-        F.col("prev_giveup_one_count").alias("prev_giveup_one"),
-        F.col("prev_giveup_before_six_count").alias("prev_giveup_before_six"),
-        F.col("prev_wins_count").alias("prev_wins"),
-        F.col("prev_bid_count").alias("prev_bids"),
-        F.col("prev_bom_bid_count").alias("prev_bom_bids"),
+        "greatest(prev_auction_count, 1L) AS prev_auction_count",
+        "CAST(prev_auction_count = 0 AS int) AS prev_is_new_user",
+        "prev_overbid_count AS prev_overbid",
+        "prev_giveup_one_count AS prev_giveup_one",
+        "prev_giveup_before_six_count AS prev_giveup_before_six",
+        "prev_wins_count AS prev_wins",
+        "prev_bid_count AS prev_bids",
+        "prev_bom_bid_count AS prev_bom_bids",
     )
 
 
@@ -152,10 +136,9 @@ def unify(transformed: DataFrame, hist: DataFrame) -> DataFrame:
     return transformed.join(history_columns(hist), ["auctionid", "username"])
 
 
-def normalised(prefix: str = "") -> dict[str, Column]:
-    """History per previous auction."""
-    count = F.col(f"{prefix}prev_auction_count")
-    pairs = {
+def normalised() -> dict[str, str]:
+    """History per previous auction, as SQL text by output name."""
+    sources = {
         "prev_overbid": "prev_overbid",
         "prev_giveup_one": "prev_giveup_one",
         "prev_give_before_six": "prev_giveup_before_six",
@@ -163,7 +146,7 @@ def normalised(prefix: str = "") -> dict[str, Column]:
         "prev_bids": "prev_bids",
         "prev_bom_bids": "prev_bom_bids",
     }
-    return {out: ratio(F.col(f"{prefix}{name}"), count) for out, name in pairs.items()}
+    return {out: f"CAST({name} AS double) / nullif(prev_auction_count, 0)" for out, name in sources.items()}
 
 
 def user_snapshot(full: DataFrame) -> DataFrame:

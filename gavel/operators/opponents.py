@@ -21,26 +21,26 @@ from gavel.schemas import BASE_COLUMNS, FEATURE_COLUMNS, OPPONENT_COLUMNS, OPPON
 
 
 def _chain(rows: DataFrame, keys: list[str], k: int, seeds: list[str] | None) -> DataFrame:
-    """Add `_d1`..`_dk`: the latest entries of the k most recent other users."""
-    order = Window.partitionBy(*keys).orderBy("bid")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    """Add `_d1`..`_dk`: the latest entries of the k most recent other users.
 
-    def seeded(col: Column, j: int) -> Column:
-        return F.coalesce(col, F.col(seeds[j])) if seeds else col
+    `_pj` is position j of the list just before the bid.
+    """
+    order = f"PARTITION BY {', '.join(keys)} ORDER BY bid"
+    before = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
-    out = rows.withColumn("_p0", seeded(F.lag("_e", 1).over(order), 0))
-    absent = F.lit(True)
-    for j in range(1, k + 1):
-        absent = absent & ~F.col("username").eqNullSafe(F.col(f"_p{j - 1}.username"))
-        moved = F.when(absent, F.col(f"_p{j - 1}"))
-        kept = F.last(moved, ignorenulls=True).over(before)
-        out = out.withColumn(f"_p{j}", seeded(kept, j))
-    absent = F.lit(True)
-    moves = {}
+    def seeded(text: str, j: int) -> str:
+        return f"coalesce({text}, {seeds[j]}) AS _p{j}" if seeds else f"{text} AS _p{j}"
+
+    def absent(j: int) -> str:
+        return " AND ".join(f"NOT username <=> _p{i}.username" for i in range(j))
+
+    out = rows.selectExpr("*", seeded(f"lag(_e, 1) OVER ({order})", 0))
     for j in range(1, k + 1):
-        absent = absent & ~F.col("username").eqNullSafe(F.col(f"_p{j - 1}.username"))
-        moves[f"_d{j}"] = F.when(absent, F.col(f"_p{j - 1}")).otherwise(F.col(f"_p{j}"))
-    return out.withColumns(moves)
+        kept = f"last(CASE WHEN {absent(j)} THEN _p{j - 1} END, true) OVER {before}"
+        out = out.selectExpr("*", seeded(kept, j))
+    return out.selectExpr(
+        "*", *[f"CASE WHEN {absent(j)} THEN _p{j - 1} ELSE _p{j} END AS _d{j}" for j in range(1, k + 1)]
+    )
 
 
 def _block_seeds(rows: DataFrame, k: int) -> DataFrame:
@@ -70,19 +70,20 @@ def _block_seeds(rows: DataFrame, k: int) -> DataFrame:
 
 
 def recent_users(
-    rows: DataFrame, entry: list[Column], k: int, width: int = WIDTH, long_bids: bool | None = None
+    rows: DataFrame, entry: list[str], k: int, width: int = WIDTH, long_bids: bool | None = None
 ) -> DataFrame:
     """`rows` plus `_d1`..`_dk`, structs of `entry` for the k latest other users.
 
-    `rows` is keyed by (auctionid, bid) and `entry` must hold username and bid.
-    Rows that already carry `block` are taken as spread by (auctionid, block).
+    `rows` is keyed by (auctionid, bid) and `entry` (SQL select items) must
+    hold username and bid. Rows that already carry `block` are taken as spread
+    by (auctionid, block).
     """
     carried = has_long(rows, width) if long_bids is None else long_bids
     spread = rows
     if "block" not in rows.columns:
         by = ["auctionid", "block"] if carried else ["auctionid"]
         spread = rows.withColumn("block", block_of(F.col("bid"), width)).repartition(*by)
-    spread = spread.withColumn("_e", F.struct(*entry))
+    spread = spread.selectExpr("*", f"struct({', '.join(entry)}) AS _e")
     if not carried:
         return _chain(spread, ["auctionid", "block"], k, None)
     seeds = _block_seeds(spread.join(long_auctions(rows, width), "auctionid", "left_semi"), k)
@@ -90,13 +91,13 @@ def recent_users(
     return _chain(joined, ["auctionid", "block"], k, [f"_s{j}" for j in range(k + 1)])
 
 
-def opponent_entry(attributes: list[str]) -> list[Column]:
-    """The columns a bid hands on to those who see its user as an opponent."""
+def opponent_entry(attributes: list[str]) -> list[str]:
+    """What a bid hands on to those who see its user as an opponent."""
     history = h.normalised()
     needed = ["bid"] + [c for c in attributes if c != "distance"]
     if "username" not in needed:
         needed.append("username")
-    return [history[c].alias(c) if c in history else F.col(c) for c in needed]
+    return [f"{history[c]} AS {c}" if c in history else c for c in needed]
 
 
 def opponents(
@@ -108,18 +109,17 @@ def opponents(
 ) -> DataFrame:
     """Base columns plus the given attributes of each of the k latest opponents."""
     chained = recent_users(unified, opponent_entry(attributes), k, width, long_bids)
-    wide = []
-    for i in range(k):
-        e = F.col(f"_d{i + 1}")
-        for name in attributes:
-            value = F.col("bid") - e["bid"] if name == "distance" else e[name]
-            wide.append(value.alias(f"{name}{i}"))
-    return chained.select(*BASE_COLUMNS, *wide)
+    wide = [
+        f"bid - _d{i + 1}.bid AS distance{i}" if name == "distance" else f"_d{i + 1}.{name} AS {name}{i}"
+        for i in range(k)
+        for name in attributes
+    ]
+    return chained.selectExpr(*BASE_COLUMNS, *wide)
 
 
 def opponent_pairs(rows: DataFrame, k: int = OPPONENTS, width: int = WIDTH) -> DataFrame:
     """Long form: (auctionid, bid, p_username, max_bid, position) for the k latest."""
-    chained = recent_users(rows, [F.col("bid"), F.col("username")], k, width)
+    chained = recent_users(rows, ["bid", "username"], k, width)
     entries = F.array(*[F.col(f"_d{i + 1}") for i in range(k)])
     return chained.select("auctionid", "bid", F.posexplode(entries).alias("position", "e")).where(
         F.col("e").isNotNull()

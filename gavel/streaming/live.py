@@ -198,7 +198,7 @@ def live_states_batch(
     """The live state after every bid, from stored bids: same columns that
     `live_states` gives, computed with the batch windows."""
     rows = bid_transform(bids, auctions, strict_islands=True, width=width)
-    entry = [F.col(f.name) for f in OPPONENT_STATE.fields]
+    entry = [f.name for f in OPPONENT_STATE.fields]
     chained = recent_users(rows, entry, OPPONENTS, width)
     mine = bids.where(F.col("username") == me).groupBy("auctionid").agg(F.min("bid").alias("my_first"))
     own = F.struct(*entry)
