@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +11,7 @@ from gavel.functions import scalar
 from gavel.operators import history as h
 from gavel.operators.bid_features import bid_transform, with_auction
 from gavel.operators.opponents import auction_full, auction_plain
-from gavel.session import shared_dir
+from gavel.session import work_folder, written
 from gavel.sources import derived
 
 # End of the first ten days of the test data, used as a mid-way cutoff.
@@ -28,11 +26,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def folder(self, name: str) -> str:
-        """A new working folder: in the shared folder, or local when none is set."""
-        base = shared_dir(self.spark)
-        if base is None:
-            return f"{tempfile.mkdtemp(prefix='gavel-')}/{name}"
-        return f"{base}/gavel/{uuid.uuid4().hex}/{name}"
+        return work_folder(self.spark, name)
 
     @cached_property
     def bids(self) -> DataFrame:
@@ -56,7 +50,7 @@ class Tables:
 
     @cached_property
     def history(self) -> DataFrame:
-        return h.user_history(h.rollup(self.bids, self.auctions))
+        return h.user_history(written(h.rollup(self.bids, self.auctions), "rollup"))
 
     @cached_property
     def plain(self) -> DataFrame:

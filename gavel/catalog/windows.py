@@ -9,6 +9,7 @@ from gavel.operators import evaluation as ev
 from gavel.operators import history as h
 from gavel.operators.bid_features import bid_transform, with_prev_win_bids
 from gavel.operators.exploration import rounded
+from gavel.session import written
 
 KEY = ["auctionid", "bid"]
 
@@ -24,6 +25,11 @@ def ev_chunk_report(t: Tables):
     )
 
 
+def tied_history(t: Tables):
+    """History when many auctions of a user end at the same instant."""
+    return h.user_history(written(h.rollup(t.bids, t.day_auctions), "rollup"))
+
+
 QUERIES = {
     "w01_eventual_win_price": _feature("eventual_win_price"),
     "w02_eventual_bids": _feature("eventual_bids"),
@@ -39,11 +45,9 @@ QUERIES = {
         *KEY, "username", "prev_win_bids"
     ),
     "w10_history_sums": lambda t: t.history.drop("prev_auction_count"),
-    "w10_history_sums_tied": lambda t: h.user_history(h.rollup(t.bids, t.day_auctions)).drop("prev_auction_count"),
+    "w10_history_sums_tied": lambda t: tied_history(t).drop("prev_auction_count"),
     "w11_prev_auction_count": lambda t: t.history.select("username", "auctionid", "prev_auction_count"),
-    "w11_prev_auction_count_tied": lambda t: h.user_history(h.rollup(t.bids, t.day_auctions)).select(
-        "username", "auctionid", "prev_auction_count"
-    ),
+    "w11_prev_auction_count_tied": lambda t: tied_history(t).select("username", "auctionid", "prev_auction_count"),
     "w12_auction_full": lambda t: t.full,
     "w13_ev_chunks": ev_chunk_report,
 }

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavel.functions import scalar
-from gavel.operators.blocks import WIDTH, block_of, carry_in
+from gavel.operators.blocks import WIDTH, block_of, carry_in, running
+from gavel.session import written
 
 AUCTION_COLUMNS = [
     "cashvalue", "cardvalue", "auctiontime", "bidvalue", "cardtype", "limited_allowed", "lock_price",
@@ -287,64 +288,53 @@ def bid_transform(
 def with_prev_win_bids(transformed: DataFrame) -> DataFrame:
     """Add `prev_win_bids`: what the user won in the auction before this one.
 
-    The user's bids are numbered by (auctiontime, bid, auctionid); going back
-    by the bids made so far in this auction reaches the previous auction's last
-    bid, and its voucher value counts if that bid won. Numbers are unique per
-    user, so the lookup is an equi-join that no hot user can skew.
+    In the user's order by (auctiontime, bid, auctionid), going back by the bids
+    made so far in this auction reaches the last bid of the earlier end time;
+    its voucher value counts if that bid won. So the value belongs to the user
+    and end time, and comes from one row per (auction, user).
+
+    Only when several of a user's auctions end at one instant do their bids
+    interleave; those rows alone are ranked and looked up bid by bid.
     """
-    peers = ["username", "auctiontime"]
-    coarse = {"day": F.to_date("auctiontime")}
-    df = transformed.withColumns(coarse)
-    per_time = df.groupBy("username", "day", "auctiontime").agg(F.count("*").alias("at_time"))
-    earlier = _running_times(per_time)
-    ranked = _peer_rank(df, peers)
-    pos = ranked.join(earlier, ["username", "auctiontime"]).withColumn(
-        "pos", F.col("before") + F.col("rank_in")
+    worth = F.when(F.col("is_winner"), F.col("bidvalue")).otherwise(F.lit(0))
+    last_bids = written(
+        transformed.groupBy("auctionid", "username", "auctiontime").agg(
+            F.max("bid").alias("last"), F.max_by(worth, "bid").alias("worth")
+        ),
+        "last_bids",
     )
-    target = pos.select(
-        "username",
-        F.col("pos").alias("back"),
-        F.when(F.col("is_winner"), F.col("bidvalue")).otherwise(F.lit(0)).alias("prev_win_bids"),
+    per_time = last_bids.groupBy("username", F.to_date("auctiontime").alias("day"), "auctiontime").agg(
+        F.count("*").alias("n_auctions"), F.max_by("worth", F.struct("last", "auctionid")).alias("worth")
     )
-    return (
-        pos.withColumn("back", F.col("pos") - F.col("bids_so_far"))
-        .join(target, ["username", "back"], "left")
-        .select(*transformed.columns, F.coalesce("prev_win_bids", F.lit(0)).alias("prev_win_bids"))
+    in_day = Window.partitionBy("username", "day").orderBy("auctiontime")
+    by_day = Window.partitionBy("username").orderBy("day")
+    day_before = per_time.groupBy("username", "day").agg(F.max_by("worth", "auctiontime").alias("day_worth")).select(
+        "username", "day", F.lag("day_worth").over(by_day).alias("day_before")
     )
-
-
-def _running_times(per_time: DataFrame) -> DataFrame:
-    """Bids of the user at strictly earlier times, per (username, auctiontime)."""
-    from gavel.operators.blocks import running
-
-    total = running(per_time, ["username"], ["day"], ["auctiontime"], {"upto": F.col("at_time")})
-    return total.select("username", "auctiontime", (F.col("upto") - F.col("at_time")).alias("before"))
-
-
-def _peer_rank(df: DataFrame, peers: list[str]) -> DataFrame:
-    """Position of a bid among the user's bids of the same auction end time.
-
-    With one auction at that time this is `bids_so_far`. Only users with several
-    auctions ending at one instant need the interleaved order.
-    """
-    from gavel.operators.blocks import running
-
-    tied = (
-        df.groupBy(*peers, "auctionid")
-        .agg(F.lit(1).alias("one"))
-        .groupBy(*peers)
-        .agg(F.count("*").alias("n_auctions"))
-        .where(F.col("n_auctions") > 1)
-        .select(*peers)
+    before = per_time.select("*", F.lag("worth").over(in_day).alias("earlier")).join(day_before, ["username", "day"])
+    before = before.select(
+        "username",
+        "auctiontime",
+        (F.col("n_auctions") > 1).alias("_tied"),
+        F.coalesce("earlier", "day_before", F.lit(0)).alias("_before"),
+    )
+    known = last_bids.select("auctionid", "username", "auctiontime").join(before, ["username", "auctiontime"])
+    rows = transformed.join(known.drop("auctiontime"), ["auctionid", "username"])
+    alone = rows.where(~F.col("_tied")).select(*transformed.columns, F.col("_before").alias("prev_win_bids"))
+    if known.where("_tied").limit(1).isEmpty():
+        return alone
+    ranked = (
+        rows.where("_tied")
+        .withColumns(
+            {"_bids": block_of(F.col("bid")), "_bid": F.col("bid"), "_ids": block_of(F.col("auctionid"))}
+        )
     )
-    alone = df.join(tied, peers, "left_anti").withColumn("rank_in", F.col("bids_so_far"))
-    mixed = (
-        df.join(tied, peers, "left_semi")
-        .withColumn("bid_block", block_of(F.col("bid")))
-        .withColumn("bid_at", F.col("bid"))
-        .withColumn("id_block", block_of(F.col("auctionid")))
+    ranked = running(
+        ranked, ["username", "auctiontime"], ["_bids", "_bid", "_ids"], ["auctionid"], {"_rank": F.lit(1)}
+    ).withColumn("_back", F.col("_rank") - F.col("bids_so_far"))
+    reached = ranked.select("username", "auctiontime", F.col("_rank").alias("_back"), worth.alias("_worth"))
+    mixed = ranked.join(reached, ["username", "auctiontime", "_back"], "left").select(
+        *transformed.columns,
+        F.when(F.col("_back") == 0, F.col("_before")).otherwise(F.col("_worth")).alias("prev_win_bids"),
     )
-    mixed = running(
-        mixed, peers, ["bid_block", "bid_at", "id_block"], ["auctionid"], {"rank_in": F.lit(1)}
-    ).drop("bid_block", "bid_at", "id_block")
     return alone.unionByName(mixed)

@@ -18,6 +18,7 @@ from gavel.operators import history as h
 from gavel.operators.bid_features import bid_transform, has_long, long_auctions, pending_auctions
 from gavel.operators.blocks import WIDTH, block_of
 from gavel.schemas import BASE_COLUMNS, FEATURE_COLUMNS, OPPONENT_COLUMNS, OPPONENTS
+from gavel.session import written
 
 
 def _chain(rows: DataFrame, keys: list[str], k: int, seeds: list[str] | None) -> DataFrame:
@@ -147,11 +148,13 @@ def auction_full(
 ) -> DataFrame:
     """The 82-column feature table for the pending auctions.
 
-    History covers every auction before the cutoff, processed or not.
+    History covers every auction before the cutoff, processed or not. Its
+    rollup, one row per auction and user, is written to a working table first:
+    the prefix sums need it three times and would scan the bids as often.
     """
     long_bids = has_long(bids, width)
     known = pending_auctions(auctions, cutoff)
-    hist = h.user_history(h.rollup(bids, known))
+    hist = h.user_history(written(h.rollup(bids, known), "rollup"))
     if done is not None:
         live = pending_auctions(auctions, cutoff, done).select(F.col("qauctionid").alias("auctionid"))
         hist = hist.join(live, "auctionid", "left_semi")

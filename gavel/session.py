@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Adaptive execution sizes the post-shuffle partitions
 # and splits skewed sort-merge joins; broadcasts happen only under Spark's own
@@ -47,14 +49,23 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point reliable checkpoints at the shared folder.
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new folder for a working table: in the shared folder, or in a local
+    one only where no shared folder is set, as in tests."""
+    base = shared_dir(spark)
+    if base is None:
+        base = os.path.join(tempfile.gettempdir(), "gavel-work")
+    return f"{base}/gavel/{uuid.uuid4().hex}/{label}"
 
-    Only an unset session (a test, a laptop) falls back to a local folder.
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` computed once into a working table and read back.
+
+    For results that several branches of a plan need and that are small next
+    to the input they come from: without this each branch would scan the input
+    again. The table outlives lost executors, and its size is known to the
+    planner when it chooses joins.
     """
-    named = shared_dir(spark)
-    if named is None:
-        named = os.path.join("/tmp", f"gavel-{os.getpid()}")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+    path = work_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
