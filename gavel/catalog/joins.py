@@ -10,6 +10,7 @@ from gavel.operators import exploration as x
 from gavel.operators import history as h
 from gavel.operators.opponents import every_opponent, opponent_pairs, opponents
 from gavel.schemas import HISTORY_COLUMNS
+from gavel.session import written
 from gavel.sources.pages import clean_auctions, clean_bids, with_known_auction
 
 KEY = ["auctionid", "bid"]
@@ -21,7 +22,8 @@ def snapshot(t: Tables):
         h.unify(t.transform, t.history),
         attributes=["username", "distance", "bids_so_far", *HISTORY_COLUMNS],
     ).where(F.col("distance0").isNull() | (F.col("distance0") == 1))
-    return h.user_snapshot(wide)
+    needed = ["username", "auctiontime", "username0", "bids_so_far0", *SNAPSHOT]
+    return h.user_snapshot(written(wide.select(*needed), "auction_full"))
 
 
 def rounded_snapshot(t: Tables):

@@ -15,10 +15,12 @@ from gavel.model import win_model as wm
 from gavel.operators import evaluation as ev
 from gavel.operators import exploration as x
 from gavel.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from gavel.session import written
 from gavel.streaming.live import scenarios
 
 KEY = ["auctionid", "bid"]
 TREES, DEPTH = 20, 6
+FLAGS = [c for c in CATEGORICAL_FEATURES if c[-1].isdigit()]
 USER_FEATURES = [
     "avg_debut", "avg_cashvalue", "avg_perc_to_bin", "g_avg_bid", "g_bom_bid_avg", "g_bom_streak_avg", "profit_avg",
 ]
@@ -26,9 +28,7 @@ USER_FEATURES = [
 
 def modelled(t: Tables):
     """Feature rows to model, written once so that fitting does not rebuild them."""
-    path = t.folder("model_rows")
-    wm.model_rows(t.full).write.parquet(path)
-    return t.spark.read.parquet(path)
+    return written(wm.model_rows(written(t.full, "auction_full")), "model_rows")
 
 
 def fitted(rows, categories=None, ratio: float = 0.5):
@@ -45,7 +45,8 @@ def scores(t: Tables):
 
 def encoded(t: Tables):
     """The nearest opponent's type one-hot encoded, first category dropped."""
-    rows = wm.impute(wm.model_features(t.plain), [], ["is_bidomatic0"])
+    plain = written(t.plain.select("auctionid", "bid", "cardvalue", "auctiontime", *FLAGS), "plain")
+    rows = wm.impute(wm.model_features(plain), [], ["is_bidomatic0"])
     index, hot, _ = wm.encoder_stages(["is_bidomatic0"], [])
     out = Pipeline(stages=[index, hot]).fit(rows).transform(rows)
     codes = vector_to_array("is_bidomatic0_hot")
@@ -54,7 +55,7 @@ def encoded(t: Tables):
 
 
 def assembled(t: Tables):
-    rows = wm.impute(wm.model_features(wm.model_rows(t.full)))
+    rows = wm.impute(wm.model_features(modelled(t)))
     out = Pipeline(stages=wm.encoder_stages()).fit(rows).transform(rows)
     return out.select(*KEY, vector_to_array("features").alias("features"))
 

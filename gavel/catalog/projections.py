@@ -12,6 +12,7 @@ from gavel.operators.bid_features import pending_auctions, with_auction
 from gavel.operators.history import history_columns, normalised
 from gavel.operators.opponents import directly_followed, opponents
 from gavel.schemas import FEATURE_COLUMNS
+from gavel.session import written
 from gavel.sources.pages import clean_auctions
 from gavel.streaming.live import board_labels, upcoming_candidates
 
@@ -103,7 +104,9 @@ QUERIES = {
     "f06_perc_to_bin": lambda t: t.transform.select(*KEY, "perc_to_bin"),
     "f07_bom_bids_so_far": lambda t: t.transform.select(*KEY, "bom_bids_so_far"),
     "f08_pending_before_cutoff": pending_report,
-    "f09_model_rows": lambda t: model_rows(t.plain, MIDWAY).select(*KEY, "username"),
+    "f09_model_rows": lambda t: model_rows(
+        written(t.plain.select(*KEY, "username", "auctiontime", "is_bidomatic"), "plain"), MIDWAY
+    ).select(*KEY, "username"),
     "f10_time_features": time_features,
     "f11_flag_text": lambda t: t.plain.select(
         *KEY, *[scalar.flag_text(F.col(f"is_bidomatic{i}")).alias(f"is_bidomatic{i}") for i in range(4)]

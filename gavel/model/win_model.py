@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gavel.functions import scalar
 from gavel.operators.blocks import running
 from gavel.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from gavel.session import written
 
 # What missing features become.
 MISSING_NUMBER, MISSING_TEXT = -1.0, "unknown"
@@ -75,25 +76,38 @@ def _bucket(h: Column) -> Column:
 def undersample(df: DataFrame, label: str, ratio: float, keys: list[str], seed: int = 17) -> DataFrame:
     """All positives, and exactly positives/ratio random negatives.
 
-    Negatives are ordered by a hash. Counts per hash range (at most 2**16) tell
-    which ranges are wholly kept; only the range at the cut is ranked.
+    Negatives are ordered by a hash. Counts per hash range (at most 2**16) show
+    in which range the cut falls, and ranking that range alone gives the last
+    key to keep. The rows themselves are then filtered where they are, without
+    a shuffle.
     """
-    pos, neg = df.where(F.col(label)), df.where(~F.col(label))
-    wanted = F.floor(pos.select(F.count("*")).scalar() / F.lit(float(ratio)))
-    hashed = neg.withColumn("_h", random_order(keys, seed)).withColumn("_hb", _bucket(F.col("_h")))
-    counts = hashed.groupBy("_hb").agg(F.count("*").alias("_n"))
-    order = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.select("_hb", F.sum("_n").over(order).alias("_upto"), "_n").withColumn("_want", wanted)
-    near = hashed.join(F.broadcast(upto.where(F.col("_upto") - F.col("_n") < F.col("_want"))), "_hb")
-    whole = near.where(F.col("_upto") <= F.col("_want")).select(*df.columns)
-    in_range = Window.partitionBy("_hb").orderBy("_h", *keys)
+    h = random_order(keys, seed)
+    negative = ~F.col(label)
+    counts = written(
+        df.groupBy(F.when(negative, _bucket(h)).alias("range")).agg(F.count("*").alias("n")), "counts"
+    )
+    wanted = F.coalesce(counts.where(F.col("range").isNull()).select(F.floor(F.max("n") / F.lit(float(ratio)))).scalar(), F.lit(0))
+    upto = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
     cut = (
-        near.where(F.col("_upto") > F.col("_want"))
-        .withColumn("_rank", F.row_number().over(in_range))
-        .where(F.col("_rank") <= F.col("_want") - (F.col("_upto") - F.col("_n")))
-        .select(*df.columns)
+        counts.where(F.col("range").isNotNull())
+        .withColumns({"upto": upto, "wanted": wanted})
+        .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
+        .select("range", (F.col("wanted") - F.col("upto") + F.col("n")).alias("keep"))
+    )
+    cut = written(cut, "cut")
+    place = F.struct(h.alias("h"), *keys)
+    in_range = Window.orderBy("place")
+    last = (
+        df.where(negative & (_bucket(h) == cut.select("range").scalar()))
+        .select(place.alias("place"))
+        .withColumn("rank", F.row_number().over(in_range))
+        .where(F.col("rank") == cut.select("keep").scalar())
+        .select("place")
     )
-    return pos.unionByName(whole).unionByName(cut)
+    last = written(last, "last")
+    negatives = counts.where(F.col("range").isNotNull()).select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    all_kept = (wanted > 0) & (wanted >= negatives)
+    return df.where(~negative | F.coalesce(place <= last.select("place").scalar(), all_kept))
 
 
 def sample_losers(df: DataFrame, label: str, fraction: float, keys: list[str], seed: int = 17) -> DataFrame:

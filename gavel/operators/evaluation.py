@@ -2,7 +2,8 @@
 
 Sweeps over thresholds or bins first place each row on the grid, aggregate once
 per grid cell, and then run totals over the few cells. No row is compared with
-every threshold.
+every threshold. Where a report needs the cells more than once they are written
+to a working table, so the scored rows are read once.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from gavel.functions import scalar
 from gavel.functions.scalar import BID_COST, grid_below
 from gavel.operators.blocks import running
 from gavel.operators.exploration import rounded
+from gavel.session import written
 
 # Bands of potential profit for the best-threshold report.
 PROFIT_BANDS = [(0.0, 5.7), (5.7, 9.7), (9.7, 19.7), (19.7, 40.0), (40.0, 62.0), (62.0, 100.0), (100.0, 200.0)]
@@ -72,7 +74,7 @@ def threshold_sweep(scored: DataFrame, step: int = 20, first: int = 8, last: int
 
     A row is predicted positive at probability >= threshold (> when strict).
     """
-    cells = _sweep_cells(scored, step, first, last, [], strict)
+    cells = written(_sweep_cells(scored, step, first, last, [], strict), "cells")
     totals = cells.agg(F.sum("n").alias("all_n"), F.sum("won").alias("all_won"))
     grid = _grid(scored.sparkSession, "cell", first, last)
     passed = _suffix_totals(
@@ -101,8 +103,8 @@ def threshold_sweep(scored: DataFrame, step: int = 20, first: int = 8, last: int
 
 def sweep_winners(scored: DataFrame, step: int = 20, first: int = 8, last: int = 22) -> DataFrame:
     """Winners caught at each threshold, per cash value."""
-    cells = _sweep_cells(scored.where("is_winner"), step, first, last, ["cashvalue"], False)
-    values = scored.where("is_winner").select("cashvalue").distinct()
+    cells = written(_sweep_cells(scored.where("is_winner"), step, first, last, ["cashvalue"], False), "cells")
+    values = cells.select("cashvalue").distinct()
     full = values.withColumn("cell", F.explode(F.sequence(F.lit(first), F.lit(last)).cast("array<long>")))
     caught = _suffix_totals(
         full.join(cells, ["cashvalue", "cell"], "left").na.fill(0), ["cashvalue"], "cell", ["won"]
@@ -125,6 +127,7 @@ def sweep_every_probability(scored: DataFrame, above: float = 0.4) -> DataFrame:
         F.sum(won).alias("won"),
         F.sum(F.when(F.col("is_winner"), gain).otherwise(0.0)).alias("gain"),
     )
+    points = written(points, "points")
     down = points.withColumns(
         {"below": -F.col("prob"), "below_block": F.floor(-F.col("prob") * 1000)}
     )
@@ -199,7 +202,7 @@ def ev_chunks(scored: DataFrame, size: int = 1000) -> DataFrame:
     """
     bets = expected(scored).where(F.col("ep") > 0)
     points = bets.groupBy("ep").agg(F.count("*").alias("n"), F.sum("actual").alias("profit"))
-    points = points.withColumn("ep_block", F.floor(F.col("ep") * 1000))
+    points = written(points, "points").withColumn("ep_block", F.floor(F.col("ep") * 1000))
     totals = running(points, [], ["ep_block"], ["ep"], {"upto": F.col("n"), "profit_upto": F.col("profit")})
     before = F.col("upto") - F.col("n")
     first_k = F.ceil(before / size).cast("long")
@@ -271,6 +274,7 @@ def roc_points(scored: DataFrame) -> DataFrame:
     """False and true positive rate at every distinct probability, from the top."""
     won = F.col("is_winner").cast("long")
     points = scored.groupBy("prob").agg(F.sum(won).alias("pos"), F.sum(1 - won).alias("neg"))
+    points = written(points, "points")
     down = points.withColumns({"below": -F.col("prob"), "below_block": F.floor(-F.col("prob") * 1000)})
     totals = running(down, [], ["below_block"], ["below"], {"tp": F.col("pos"), "fp": F.col("neg")})
     all_pos = points.select(F.sum("pos")).scalar()
