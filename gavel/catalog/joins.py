@@ -17,17 +17,17 @@ KEY = ["auctionid", "bid"]
 SNAPSHOT = [f"{c}0" for c in HISTORY_COLUMNS]
 
 
-def snapshot(t: Tables):
+def snapshot(t: Tables, until: str | None = None):
     wide = opponents(
         h.unify(t.transform, t.history),
         attributes=["username", "distance", "bids_so_far", *HISTORY_COLUMNS],
     ).where(F.col("distance0").isNull() | (F.col("distance0") == 1))
     needed = ["username", "auctiontime", "username0", "bids_so_far0", *SNAPSHOT]
-    return h.user_snapshot(written(wide.select(*needed), "auction_full"))
+    return h.user_snapshot(written(wide.select(*needed), "auction_full"), until)
 
 
-def rounded_snapshot(t: Tables):
-    return snapshot(t).select("username", SNAPSHOT[0], *[x.rounded(F.col(c)).alias(c) for c in SNAPSHOT[1:]])
+def rounded_snapshot(t: Tables, until: str | None = None):
+    return snapshot(t, until).select("username", SNAPSHOT[0], *[x.rounded(F.col(c)).alias(c) for c in SNAPSHOT[1:]])
 
 
 def user_lookup(t: Tables):
@@ -102,6 +102,7 @@ QUERIES = {
         t.bids.where("is_bidomatic").select("auctionid").distinct(), "auctionid", "left_semi"
     ),
     "j07_user_snapshot": rounded_snapshot,
+    "j07_user_snapshot_until": lambda t: rounded_snapshot(t, MIDWAY),
     "j08_snapshot_lookup": user_lookup,
     "j09_user_profile": lambda t: x.user_profile(t.transform),
     "j10_live_against_batch": live_against_batch,

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gavel.catalog.joins import snapshot
+from gavel.catalog.modelling import fitted, modelled
 from gavel.catalog.parsing import messages
 from gavel.catalog.projections import board, upcoming_list
 from gavel.catalog.tables import Tables
 from gavel.functions import scalar
 from gavel.operators.exploration import rounded
 from gavel.schemas import HISTORY_COLUMNS
+from gavel.session import written
 from gavel.streaming import feed, live, run
 
 ME = "u1"
@@ -91,9 +93,7 @@ def with_snapshot(t: Tables):
     last = live.latest_per_auction(
         live.live_states_batch(t.bids, t.auctions, ME).withColumn("seq", F.col("n_bids"))
     )
-    path = t.folder("snapshot")
-    snapshot(t).write.parquet(path)
-    rows = live.live_features(last, t.auctions, t.spark.read.parquet(path), me=ME)
+    rows = live.live_features(last, t.auctions, written(snapshot(t), "snapshot"), me=ME)
     return rows.select(
         "auctionid",
         *[f"username{i}" for i in range(4)],
@@ -134,6 +134,18 @@ def live_values(t: Tables):
     )
 
 
+def model_values(t: Tables):
+    """Both scenarios of the next bid at the end of each auction, by the model."""
+    rows = modelled(t)
+    states = live.latest_per_auction(
+        live.live_states_batch(t.bids, t.auctions, ME).withColumn("seq", F.col("n_bids"))
+    )
+    known = t.auctions.join(rows.select("cardtype").distinct(), "cardtype", "left_semi")
+    users = written(snapshot(t), "snapshot")
+    features = live.live_features(states, known, users, now=F.lit("2024-02-01 12:00:00").cast("timestamp_ntz"), me=ME)
+    return live.live_ev(features, fitted(rows)).select("auctionid", "bid", "bom_proba", "manual_proba", "bom_ev", "manual_ev")
+
+
 def emitted(t: Tables):
     """Rows sent out per auction when every change is reported."""
     return tracked(t, every=True)[0].groupBy("auction_id").agg(F.count("*").alias("rows_out"))
@@ -157,5 +169,6 @@ QUERIES = {
     "l13_first_on_board": lambda t: live.first_on_board(
         board(t).withColumn("bom_ev", F.when(F.col("is_live"), F.col("bom_ev")))
     ).select("auction_id", rounded(F.col("bom_ev")).alias("bom_ev")),
+    "e13_model_next_bid_values": model_values,
     "m08_two_scenarios": live_values,
 }

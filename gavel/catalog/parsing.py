@@ -117,6 +117,7 @@ def parse_remaining(t: Tables):
 
 QUERIES = {
     "p01_titles": lambda t: parse_titles(titles(t), "title").drop("title", "p_size"),
+    "p01_titles_older": lambda t: parse_titles(titles(t), "title", older=True).drop("title", "p_size"),
     "p02_auction_pages": lambda t: pages.parse_auctions(pages.render_pages(t.auctions)).select(
         "qauctionid", "cashvalue", "cardvalue", "bidvalue", "cardtype", "limited_allowed"
     ),

@@ -14,7 +14,7 @@ from gavel.operators.opponents import directly_followed, opponents
 from gavel.schemas import FEATURE_COLUMNS
 from gavel.session import written
 from gavel.sources.pages import clean_auctions
-from gavel.streaming.live import board_labels, upcoming_candidates
+from gavel.streaming.live import board_labels, upcoming_candidates, upcoming_labels
 
 KEY = ["auctionid", "bid"]
 
@@ -116,6 +116,10 @@ QUERIES = {
         opponents(t.transform, attributes=["username", "distance"])
     ).select(*KEY, "distance0"),
     "f14_upcoming_candidates": lambda t: upcoming_candidates(upcoming_list(t), launched(t), 350),
+    "f05_older_giveup": lambda t: t.transform.select(
+        *KEY, ((F.col("bid") == F.col("eventual_bids")) & ~F.col("is_winner")).alias("giveup")
+    ),
+    "f15_upcoming_labels": lambda t: upcoming_labels(upcoming_list(t)),
     "f15_board_labels": lambda t: board_labels(board(t)),
     "f16_giveup_by_parameter": lambda t: t.transform.where(
         (F.col("cardvalue") == 0) & F.col("bidvalue").isin(3, 5, 8, 10, 15, 25)

@@ -19,12 +19,13 @@ def _number(text: Column, kind: str = "int") -> Column:
     return text.try_cast("double").cast(kind)
 
 
-def title_fields(title: Column) -> Column:
+def title_fields(title: Column, older: bool = False) -> Column:
     """Struct of cashvalue, cardvalue, cardtype and bidvalue; NULLs when unknown.
 
     A title reads "<value> <type> Gift Card AND <n> Bids ($<cash>)", or a gift
     card alone, or "<n> Voucher Bids", or a limit buster. Cases are tried in
-    that order on the text after the first word.
+    that order on the text after the first word. The `older` rules give a card
+    alone no bids, take any other bids for vouchers and know no busters.
     """
     lead = F.split_part(title, F.lit(" "), F.lit(1))
     body = F.regexp_extract(title, r"(?s)^[^ ]* (.*)$", 1)
@@ -57,20 +58,23 @@ def title_fields(title: Column) -> Column:
         F.lit(None).cast("string").alias("cardtype"),
         F.lit(None).cast("int").alias("bidvalue"),
     )
+    with_bids = fields(face, F.split_part(body, F.lit(" Gift Card AND"), F.lit(1)), given)
+    alone_type = F.split_part(body, F.lit(" Gift Card"), F.lit(1))
+    vouchers = fields(F.lit(0), F.lit("None"), _number(lead))
+    if older:
+        alone = fields(face, alone_type, F.lit(0))
+        return F.when(bids & card, with_bids).when(card, alone).when(bids, vouchers).otherwise(none)
     return (
-        F.when(bids & card, fields(face, F.split_part(body, F.lit(" Gift Card AND"), F.lit(1)), given))
-        .when(card, fields(face, F.split_part(body, F.lit(" Gift Card"), F.lit(1)), worth(face)))
-        .when(bids & body.contains("Voucher"), fields(F.lit(0), F.lit("None"), _number(lead)))
-        .when(
-            body.contains("Buster") & buster.isNotNull(),
-            fields(buster, F.lit("Buster"), worth(buster)),
-        )
+        F.when(bids & card, with_bids)
+        .when(card, fields(face, alone_type, worth(face)))
+        .when(bids & body.contains("Voucher"), vouchers)
+        .when(body.contains("Buster") & buster.isNotNull(), fields(buster, F.lit("Buster"), worth(buster)))
         .otherwise(none)
     )
 
 
-def parse_titles(df: DataFrame, col: str) -> DataFrame:
+def parse_titles(df: DataFrame, col: str, older: bool = False) -> DataFrame:
     """`df` plus the four product columns read from a title column."""
-    return df.withColumn("_t", title_fields(F.col(col))).select(
+    return df.withColumn("_t", title_fields(F.col(col), older)).select(
         *df.columns, *[F.col(f"_t.{c}").alias(c) for c in TITLE_COLUMNS]
     )

@@ -199,6 +199,7 @@ def bid_transform(
     width: int = WIDTH,
     long_bids: bool | None = None,
     keep_block: bool = False,
+    any_type_streak: bool = False,
 ) -> DataFrame:
     """One row per bid of the pending auctions, with its running features.
 
@@ -206,6 +207,7 @@ def bid_transform(
     struct column of that name without another shuffle of the bids.
     `strict_islands` restarts the streak at every change of bid type; without
     it islands that share an offset are numbered as one, as the batch SQL does.
+    `any_type_streak` numbers the islands of manual bids too, instead of 0.
     `long_bids` says whether any auction has more than `width` bids; None probes.
     """
     live = pending_auctions(auctions, cutoff, done)
@@ -272,7 +274,7 @@ def bid_transform(
         "*",
         scalar.is_locked(F.col("lock_price"), bid).alias("is_locked"),
         scalar.fee(F.col("cardvalue")).alias("fee"),
-        F.when(F.col("is_bidomatic"), F.col("in_run")).otherwise(F.lit(0)).alias("bom_streak"),
+        F.when(F.lit(any_type_streak) | F.col("is_bidomatic"), F.col("in_run")).otherwise(F.lit(0)).alias("bom_streak"),
         (bid == price).alias("is_winner"),
         (bid == price - 1).alias("is_pen"),
         ((so_far == F.col("eventual_bids")) & (bid != price)).alias("giveup"),

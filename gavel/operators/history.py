@@ -149,13 +149,15 @@ def normalised() -> dict[str, str]:
     return {out: f"CAST({name} AS double) / nullif(prev_auction_count, 0)" for out, name in sources.items()}
 
 
-def user_snapshot(full: DataFrame) -> DataFrame:
-    """Each bidder's history as seen in their last auction.
+def user_snapshot(full: DataFrame, until: str | None = None) -> DataFrame:
+    """Each bidder's history as seen in their last auction, up to a time if given.
 
     The values come from the row where the user is opponent 0 with one bid,
     so they describe the user before that auction, and are NULL when nobody
     else bid right after the user's first bid.
     """
+    if until is not None:
+        full = full.where(F.col("auctiontime") <= F.lit(until).cast("timestamp_ntz"))
     last = full.groupBy("username").agg(F.max("auctiontime").alias("max_time"))
     seen = full.where(F.col("bids_so_far0") == 1).select(
         F.col("username0").alias("username"),

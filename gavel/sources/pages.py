@@ -18,6 +18,7 @@ from gavel.operators.blocks import block_of
 LIMIT_MARK = "is NOT LIMITED"
 SOLD_MARK = 'class="sold"'
 LOCK_DIV = '<div id="div_lock_status" style="display: none;">'
+OLDER_LOCK_DIV = '<div id="div_lock_prcnt" style="display: none;">'
 CELL = r"(?s)<td[^>]*>(.*?)</td>"
 UPCOMING_ROW = r'(?s)<tr[^>]*class="[^"]*\btr-inner\b[^"]*"[^>]*>(.*?)</tr>'
 AUCTION_ID_TOKEN = r'auction_id=([^"]*)'
@@ -54,7 +55,7 @@ def unparsed(pages: DataFrame, parsed: DataFrame) -> DataFrame:
     return pages.join(ids, "auction_id", "left_anti")
 
 
-def parse_auctions(pages: DataFrame) -> DataFrame:
+def parse_auctions(pages: DataFrame, lock_div: str = LOCK_DIV) -> DataFrame:
     """Title, limit, tracking, end time, running time and lock price per page."""
     title = F.substring_index(
         F.expr("substring(auction_html, locate(concat(auction_id, ' - '), auction_html) + length(auction_id) + 3)"),
@@ -63,7 +64,7 @@ def parse_auctions(pages: DataFrame) -> DataFrame:
     )
     cells = _cells(F.col("table_html"))
     last_update = F.split_part(cells[1], F.lit("update: "), F.lit(2))
-    lock = F.regexp_extract("table_html", r'<div id="div_lock_status" style="display: none;">([^<]*)<', 1)
+    lock = F.regexp_extract("table_html", lock_div + "([^<]*)<", 1)
     fields = title_fields(F.col("title"))
     return (
         pages.withColumn("title", title)

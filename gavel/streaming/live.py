@@ -17,6 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from gavel.functions import scalar
 from gavel.operators.bid_features import bid_transform
 from gavel.operators.blocks import WIDTH, block_of, running
+from gavel.operators.evaluation import live_expected
 from gavel.operators.history import lookup
 from gavel.operators.opponents import recent_users
 from gavel.schemas import FEATURE_COLUMNS, HISTORY_COLUMNS, OPPONENTS
@@ -236,8 +237,9 @@ def live_features(
         F.col("qauctionid").cast("string").alias("auction_id"),
         "cashvalue", "cardvalue", "cardtype", "bidvalue", "limited_allowed",
     )
-    next_bid = F.col("n_bids") + 1
-    out = states.join(info, "auction_id").withColumn("bid", next_bid)
+    if "sl" not in states.columns:
+        states = states.withColumn("sl", F.lit(FIRST_SECONDS_LEFT))
+    out = states.join(info, "auction_id").withColumn("bid", F.col("n_bids") + 1)
     attributes = {}
     for i in range(OPPONENTS):
         e = F.get("opponents", F.lit(i))
@@ -288,6 +290,18 @@ def scenarios(features: DataFrame) -> DataFrame:
     return features.withColumn("is_bidomatic", F.explode(F.array(F.lit(True), F.lit(False))))
 
 
+def live_ev(features: DataFrame, model) -> DataFrame:
+    """Both scenarios scored and valued; works on a stream, as no rows meet.
+
+    `model` is a fitted WinModel.
+    """
+    out = features
+    for flag, name in ((True, "bom_proba"), (False, "manual_proba")):
+        scored = model.score(out.withColumn("is_bidomatic", F.lit(flag)))
+        out = scored.withColumnRenamed("prob", name).drop("predicted")
+    return live_expected(out)
+
+
 def latest_per_auction(states: DataFrame, key: str = "auction_id") -> DataFrame:
     """The last state of each auction, combined before the shuffle."""
     rest = [c for c in states.columns if c not in (key, "seq")]
@@ -365,6 +379,20 @@ def board_labels(tracking: DataFrame) -> DataFrame:
     )
 
 
+def upcoming_labels(upcoming: DataFrame) -> DataFrame:
+    """One display line per upcoming auction."""
+    pack = F.concat(F.lit("Bid Pack "), F.col("bidvalue").cast("string"))
+    card = F.concat(F.col("cardtype"), F.lit(" $"), F.col("cardvalue").cast("string"))
+    return upcoming.select(
+        "auctionid",
+        F.concat(
+            F.expr("seconds_left div 60").cast("string"), F.lit("m "), (F.col("seconds_left") % 60).cast("string"),
+            F.lit("s :"), F.when(F.col("cardtype") == "None", pack).otherwise(card),
+            F.lit(" ("), F.col("auctionid"), F.lit(")"),
+        ).alias("line"),
+    )
+
+
 def first_on_board(tracking: DataFrame, n: int = 10) -> DataFrame:
     """The first n auctions that have an expected value."""
     return tracking.where(F.col("bom_ev").isNotNull()).orderBy("auction_id").limit(n)

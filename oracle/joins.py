@@ -45,6 +45,12 @@ WHERE auctiontime < '2024-01-10' OR tracking <> 100 OR auctiontime < '2019-09-19
         "full_table",
         snap=SNAP,
     ),
+    "j07_user_snapshot_until": sql(
+        "SELECT username, prev_auction_count0, " + ", ".join(f"round({c}0, 6) AS {c}0" for c in RATIOS) + " FROM snap",
+        "full_table",
+        until="SELECT * FROM full_table WHERE auctiontime <= '2024-01-10'",
+        snap=SNAP.replace("FROM full_table", "FROM until").replace("JOIN full_table", "JOIN until"),
+    ),
     "j08_snapshot_lookup": sql(
         "SELECT n.username, CAST(s.username IS NULL AS INTEGER) AS prev_is_new_user, "
         "CASE WHEN s.username IS NULL THEN 1 ELSE prev_auction_count0 END AS prev_auction_count, "

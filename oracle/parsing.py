@@ -10,6 +10,10 @@ TITLES = """SELECT p_partkey, p_size, kind,
   CASE WHEN kind IN (0, 1, 5) THEN p_brand WHEN kind = 2 THEN 'None' WHEN kind = 3 AND word < 3 THEN 'Buster' END AS cardtype,
   CAST(CASE kind WHEN 0 THEN p_size * 2 WHEN 1 THEN 7 WHEN 5 THEN 9 WHEN 2 THEN p_size
     WHEN 3 THEN trunc((cash - buster) * 2.5e0) END AS INTEGER) AS bidvalue FROM fields"""
+OLDER = """SELECT p_partkey, CASE WHEN kind IN (0, 1, 2, 5) THEN cash END AS cashvalue,
+  CAST(CASE kind WHEN 0 THEN p_size WHEN 1 THEN p_size WHEN 5 THEN p_size WHEN 2 THEN 0 END AS INTEGER) AS cardvalue,
+  CASE WHEN kind IN (0, 1, 5) THEN p_brand WHEN kind = 2 THEN 'None' END AS cardtype,
+  CAST(CASE kind WHEN 0 THEN p_size * 2 WHEN 1 THEN 0 WHEN 5 THEN 0 WHEN 2 THEN p_size END AS INTEGER) AS bidvalue FROM fields"""
 MISSING = """SELECT CAST(qauctionid AS VARCHAR) AS auction_id,
   CASE qauctionid % 4 WHEN 0 THEN bidvalue || ' Voucher Bids' WHEN 1 THEN 'The One Buster'
     ELSE '$' || (cardvalue + 5) || ' Gift Card' END AS title
@@ -25,6 +29,7 @@ FROM bids n JOIN bids e ON e.auctionid = n.auctionid AND e.bid BETWEEN n.bid - 2
 
 STATEMENTS = {
     "p01_titles": sql("SELECT p_partkey, cashvalue, cardvalue, cardtype, bidvalue FROM titles", fields=FIELDS, titles=TITLES),
+    "p01_titles_older": sql("SELECT * FROM older", fields=FIELDS, older=OLDER),
     "p02_auction_pages": sql(
         "SELECT qauctionid, cashvalue, cardvalue, bidvalue, cardtype, limited_allowed FROM auctions", "auctions"
     ),

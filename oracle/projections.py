@@ -76,6 +76,13 @@ AND auctionid NOT IN (SELECT CAST(qauctionid AS VARCHAR) FROM auctions WHERE lim
         "auctions",
         upcoming=UPCOMING,
     ),
+    "f05_older_giveup": sql("SELECT auctionid, bid, bid = eventual_bids AND NOT is_winner AS giveup FROM bt", "bt"),
+    "f15_upcoming_labels": sql(
+        """SELECT auctionid, (seconds_left // 60) || 'm ' || (seconds_left % 60) || 's :' ||
+CASE WHEN cardtype = 'None' THEN 'Bid Pack ' || bidvalue ELSE cardtype || ' $' || cardvalue END || ' (' || auctionid || ')' AS line
+FROM upcoming""",
+        upcoming=UPCOMING,
+    ),
     "f15_board_labels": sql(
         """SELECT auction_id,
 auction_id || ': ' || CASE WHEN cardtype = 'None' THEN 'Bid Pack ' || bidvalue ELSE cardtype || ' $' || cardvalue END AS title,

@@ -5,13 +5,11 @@ def _feature(col: str) -> str:
     return sql(f"SELECT auctionid, bid, {col} FROM bt", "bt")
 
 
-PREV_WIN = sql(
-    """SELECT auctionid, bid, username,
+PREV_WIN_BODY = """SELECT auctionid, bid, username,
        CAST(CASE WHEN lag(is_winner, CAST(bids_so_far AS INTEGER)) OVER mine
                  THEN lag(bidvalue, CAST(bids_so_far AS INTEGER)) OVER mine ELSE 0 END AS INTEGER) AS prev_win_bids
-FROM bt WINDOW mine AS (PARTITION BY username ORDER BY auctiontime, bid, auctionid)""",
-    "bt",
-)
+FROM bt WINDOW mine AS (PARTITION BY username ORDER BY auctiontime, bid, auctionid)"""
+PREV_WIN = sql(PREV_WIN_BODY, "bt")
 SUMS = sql("SELECT * EXCLUDE (prev_auction_count) FROM hist", "hist")
 COUNT = sql("SELECT username, auctionid, prev_auction_count FROM hist", "hist")
 
@@ -27,6 +25,10 @@ STATEMENTS = {
 WINDOW island AS (PARTITION BY auctionid, username, is_bidomatic, prestreak ORDER BY bid)""",
         "bt",
     ),
+    "w06_any_type_streak": sql(
+        """SELECT auctionid, bid, row_number() OVER (PARTITION BY auctionid, username, prestreak ORDER BY bid) AS bom_streak FROM bt""",
+        "bt",
+    ),
     "w07_debut": _feature("debut"),
     "w08_prevusers": _feature("prevusers"),
     "w09_prev_win_bids": PREV_WIN,
@@ -36,6 +38,20 @@ WINDOW island AS (PARTITION BY auctionid, username, is_bidomatic, prestreak ORDE
     "w11_prev_auction_count": COUNT,
     "w11_prev_auction_count_tied": day_times(COUNT),
     "w12_auction_full": sql("SELECT * FROM full_table", "full_table"),
+    "w12_older_opponents": sql(
+        "SELECT f.auctionid, f.bid, "
+        + ", ".join(
+            ", ".join(f"f.{c}{i}" for c in ["username", "distance", "is_bidomatic", "bids_so_far", "bom_bids_so_far", "bom_streak", "perc_to_bin"])
+            + f", w{i}.prev_win_bids AS prev_win_bids{i}"
+            for i in range(4)
+        )
+        + " FROM full_table f "
+        + " ".join(
+            f"LEFT JOIN prior w{i} ON w{i}.auctionid = f.auctionid AND w{i}.bid = f.bid - f.distance{i}" for i in range(4)
+        ),
+        "full_table",
+        prior=PREV_WIN_BODY,
+    ),
     "w13_ev_chunks": sql(
         """SELECT a.chunk, round(a.ep, 6) AS low, round(b.ep, 6) AS high,
        (SELECT count(*) FROM bets WHERE ep >= a.ep AND ep < b.ep) AS bets,
