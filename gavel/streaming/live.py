@@ -22,8 +22,8 @@ from gavel.operators.history import lookup
 from gavel.operators.opponents import recent_users
 from gavel.schemas import FEATURE_COLUMNS, HISTORY_COLUMNS, OPPONENTS
 
-# The account that bids, and how far its clock is behind.
-MY_USERNAME = "AAAAAAHH"
+# The account that bids, by default; fixed value: how far the site clock is behind.
+MY_USERNAME = "me"
 CLOCK_OFFSET_HOURS = -4
 FIRST_SECONDS_LEFT = 350
 

@@ -65,7 +65,7 @@ bids_so_far, bom_bids_so_far, streak AS bom_streak FROM near n JOIN ends e ON e.
         """SELECT qauctionid AS auctionid, CAST(bid + 1 AS BIGINT) AS bid,
 auctiontime - INTERVAL 4 HOUR + to_seconds(runtime % 600) AS auctiontime,
 CASE WHEN cardvalue = 0 THEN 0e0 WHEN cardvalue < 50 THEN 1e0 ELSE 1.99e0 END AS fee, CAST(NULL AS BOOLEAN) AS is_winner,
-false AS is_locked, 'AAAAAAHH' AS username, true AS is_bidomatic
+false AS is_locked, 'me' AS username, true AS is_bidomatic
 FROM auctions JOIN (SELECT auctionid, max(bid) AS bid FROM bids GROUP BY auctionid) ON auctionid = qauctionid""",
         "auctions",
         "bids",
