@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import language, quality, urls
+from gavel.llm import language, neardup, quality, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def fold(doc_id: str, parts: int) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), neardup.NearParams())
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all texts, learned from the labelled rows outside fold 1 of 3."""
     docs = table(spark, sf_dir, "documents")
@@ -37,6 +41,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op5_language": op5_language,
     "op8_repetition": op8_repetition,
     "op9_urls": op9_urls,
