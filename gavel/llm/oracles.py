@@ -19,4 +19,21 @@ hit AS (
 SELECT page_id, host, path, rule, coalesce(kind, 'allow') AS verdict FROM p LEFT JOIN hit USING (n)
 """
 
-STATEMENTS: dict[str, str] = {"op9_urls": OP9}
+OP6 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS words FROM d, unnest(generate_series(1, len(w) - 12)) AS t(i)),
+hit AS (
+  SELECT doc_id, list(i) AS starts FROM (
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY words) AS first FROM win) WHERE first < doc_id GROUP BY doc_id),
+j AS (
+  SELECT d.doc_id, k, w[k] AS word, coalesce(list_bool_or(list_transform(starts, lambda s: s <= k AND k <= s + 12)), false) AS gone
+  FROM d LEFT JOIN hit USING (doc_id), unnest(generate_series(1, len(w))) AS t(k))
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed, sha256(coalesce(g.kept, '')) AS kept_sha256
+FROM d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY k) FILTER (NOT gone) AS kept FROM j GROUP BY doc_id) g
+USING (doc_id)
+"""
+
+STATEMENTS: dict[str, str] = {"op6_substrings": OP6, "op9_urls": OP9}
