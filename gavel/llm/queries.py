@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import language, neardup, quality, substrings, urls
+from gavel.llm import bpe, language, neardup, packing, quality, substrings, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,16 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), neardup.NearParams())
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = packing.PackParams(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(table(spark, sf_dir, "documents"), params).withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encoded(table(spark, sf_dir, "documents"), file, public_tokenizers.PATTERN, digests=True)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all texts, learned from the labelled rows outside fold 1 of 3."""
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +57,8 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_packing": op3_packing,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_language": op5_language,
     "op6_substrings": op6_substrings,
     "op8_repetition": op8_repetition,
