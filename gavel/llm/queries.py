@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import bpe, language, neardup, packing, quality, substrings, urls
+from gavel.llm import bpe, language, neardup, packing, quality, substrings, tokenfile, urls
+from gavel.session import work_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,12 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "tokens")
+    files = tokenfile.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read_tokens(spark, files)
+
+
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -61,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language": op5_language,
     "op6_substrings": op6_substrings,
+    "op7_token_files": op7_token_files,
     "op8_repetition": op8_repetition,
     "op9_urls": op9_urls,
 }
