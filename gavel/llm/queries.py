@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import bpe, language, neardup, packing, quality, substrings, tokenfile, urls
+from gavel.llm import bpe, language, neardup, neighbours, packing, quality, substrings, tokenfile, urls
 from gavel.session import work_folder
 
 
@@ -62,6 +62,10 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(pages, urls.rules_frame(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_packing": op3_packing,
@@ -71,4 +75,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_repetition": op8_repetition,
     "op9_urls": op9_urls,
+    "op10_neighbours": op10_neighbours,
 }
