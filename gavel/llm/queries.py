@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import bpe, language, neardup, neighbours, packing, quality, substrings, tokenfile, urls
+from gavel.llm import bpe, language, neardup, neighbours, ngrams, packing, quality, substrings, tokenfile, urls
 from gavel.session import work_folder
 
 
@@ -21,6 +21,14 @@ def fold(doc_id: str, parts: int) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+def op1_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts by a model of the texts outside fold 1 of 5."""
+    found = ngrams.scored(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+    return found.select(
+        "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), neardup.NearParams())
 
@@ -67,6 +75,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_scores": op1_ngram_scores,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
