@@ -36,4 +36,26 @@ FROM d LEFT JOIN (
 USING (doc_id)
 """
 
-STATEMENTS: dict[str, str] = {"op6_substrings": OP6, "op9_urls": OP9}
+OP2 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE
+    WHEN len(w) >= 4 THEN list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END)) AS shingle
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * common >= 80 * (nx.n + ny.n - common)),
+r(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, doc_id = c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) c USING (doc_id)
+"""
+
+STATEMENTS: dict[str, str] = {"op2_near_duplicates": OP2, "op6_substrings": OP6, "op9_urls": OP9}
