@@ -3,19 +3,27 @@
 1. Every text gives its set of word shingles, a digest of the set and the
    bottom-k sketch: the k least hashes. Equal sets are one class from here on,
    so copies cost one row each and are never paired.
-2. Inverted lists of retained values give candidates. Two classes similar
+2. Inverted lists of retained values generate overlaps. Two classes similar
    enough share at least `least_shared` retained values, so they meet in one
    of the rarest `size - least_shared + 1` values of each: a value that very
    many texts have (a shared passage) drops out without losing a pair, and a
    value of one class alone has no list.
-3. The sketch of the union estimates the similarity; pairs far below the
-   threshold go. The rest are confirmed by the exact Jaccard similarity of the
-   full sets.
-4. Only components are asked for, so pairs inside one component need no test.
-   First every class meets the least class of its lists, then the greatest;
-   at last, in lists that still hold several components, the classes outside
-   the list's largest component meet all others. Every pair of a list is thus
-   either tested or inside one component, with no cap on list or group size.
+3. Every class is compared, on the full sets, with one hub: the class of its
+   lists whose retained values are the most common, or nearly so and with a
+   smaller doc_id, as the original of a family of edited copies is. This links
+   most of a family with one pair each.
+4. What is left needs few pairs. Let c be the core of a hub's family: the hub's
+   shingles and those that many of the family share. Let x and y be of one
+   family and in different components, and let x' be the shingles of x that c
+   lacks. Then the similarity of x and y reaches the threshold t only if x' and
+   y' meet or the smaller of |x & c| and |y & c| is at least
+   t/(1+t) * (|x| + |y|), for nothing else can be in both. So inverted lists of
+   x', short as c has what is common, give the pairs of a family, a join on
+   sizes gives the second kind, and only classes of one list with different
+   hubs are paired directly.
+5. The sketch of the union estimates the similarity of these pairs; pairs far
+   below the threshold go. The rest are confirmed by the exact Jaccard
+   similarity of the full sets. No list or group has a cap.
 
 The chance that a pair at the threshold shares fewer than `least_shared` values
 or is estimated below the cut is that of a binomial six deviations off (about
@@ -32,12 +40,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavel.llm.tables import bitmap, components, empty, marked, place_of, stored
 from gavel.llm.words import Words, fold_ascii, mixed, rolling, slices, texts_of
 
+LEAST_COMMON, COMMON = 8, 32  # a family's core has what more than 8 members and one in 32 share
 FILTER_BITS = 26  # the bitmap of texts whose sets are needed: 8 MB, whatever the corpus
 
 
@@ -102,7 +111,10 @@ def sketches(docs: DataFrame, params: NearParams) -> DataFrame:
 
 
 def _postings(classes: DataFrame, params: NearParams) -> DataFrame:
-    """value, node: the rarest retained values of each class that other classes have too, as many as could miss."""
+    """value, node, common: the rarest retained values of each class that other classes have too, as many as could miss.
+
+    common is how often the class's retained values occur, all together.
+    """
     entries = classes.select("node", "n_shingles", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     shared = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     # Sets below this size have partners whose sketch is the whole set, too.
@@ -113,12 +125,23 @@ def _postings(classes: DataFrame, params: NearParams) -> DataFrame:
     by_node = (
         entries.join(shared, "value")
         .groupBy("node", "n_shingles", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("found"))  # k entries at most
+        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("found"), F.sum("df").alias("common"))  # k entries at most
     )
     room = (F.col("size") - least + 1) - (F.col("size") - F.size("found"))  # values of one class come first
-    return by_node.where(room > 0).select("node", F.explode(F.slice("found", 1, room.cast("int"))).alias("x")).select(
-        F.col("x.value").alias("value"), "node"
+    return by_node.where(room > 0).select(
+        "node", "common", F.explode(F.slice("found", 1, room.cast("int"))).alias("x")
+    ).select(F.col("x.value").alias("value"), "node", "common")
+
+
+def _hubs(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, hub. Which class is a family's hub decides how many pairs are left to test, not the result."""
+    own = met.groupBy("node").agg(F.first("common").alias("common"), F.max("top").alias("top"))
+    own = own.join(classes.select("node", "doc_id"), "node").select(
+        "node", "doc_id", "common", F.col("top.common").alias("most"), F.col("top.node").alias("hub")
     )
+    # Of those with nearly as common values the first document: copies follow their original.
+    lead = own.where(F.col("common") * 10 >= F.col("most") * 9).groupBy("hub").agg(F.min(F.struct("doc_id", "node")).alias("lead"))
+    return own.join(lead, "hub", "left").select("node", F.coalesce("lead.node", "hub").alias("hub"))
 
 
 def _pairs(left: DataFrame) -> DataFrame:
@@ -196,38 +219,30 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
         "classes",
     )
     lists = stored(_postings(classes, params), "postings")
-    hubs = lists.groupBy("value").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
-    met = stored(lists.join(hubs.where("n > 1"), "value"), "hubs")
-    sketch = classes.select("node", "sketch", "n_shingles")
-
-    low = stored(_estimated(_pairs(met.withColumnRenamed("low", "other")), sketch, params), "low_pairs")
-    high = stored(_estimated(_pairs(met.withColumnRenamed("high", "other")), sketch, params).join(low, ["a", "b"], "left_anti"), "high_pairs")
-    labels, links = None, None
-    sets = None
-    if not (empty(low) and empty(high)):
-        ends = lambda x: x.select(F.col("a").alias("node")).union(x.select(F.col("b").alias("node")))
-        # All classes of lists may be needed in the last step, so their sets are made once.
-        wanted = ends(low).union(ends(high)).distinct()
-        sets = stored(_sets(docs, classes.select("node", "doc_id").join(wanted, "node"), params), "sets")
-        links = stored(_confirmed(low, sets, params), "low_links")
+    top = lists.groupBy("value").agg(F.max(F.struct("common", "node")).alias("top"), F.count("*").alias("n")).where("n > 1")
+    met = lists.join(top, "value")
+    hubs = stored(_hubs(met, classes), "hubs")
+    size = hubs.count()
+    labels = None
+    if size:
+        sets = stored(_sets(docs, classes.select("node", "doc_id").join(hubs.select("node"), "node"), params), "sets")
+        family = stored(_against_hub(hubs, sets), "family")
+        links = family.where(_similar("n", "hub_n", "shared", params) & (F.col("node") != F.col("hub")))
+        links = stored(links.select(F.col("node").alias("a"), F.col("hub").alias("b")), "hub_links", size)
         if not empty(links):
             labels = components(links)
-        rest = _across(high, labels)
-        more = stored(_confirmed(rest, sets, params), "high_links")
-        if not empty(more):
-            links = links.union(more)
-            labels = components(links)
-    last = stored(_estimated(_outside(met, labels), sketch, params), "last_pairs")
-    last = _across(last.join(low.union(high), ["a", "b"], "left_anti"), labels)
-    last = stored(last, "last_pairs")
-    if not empty(last):
-        needed = last.select(F.col("a").alias("node")).union(last.select(F.col("b").alias("node"))).distinct()
-        if sets is not None:
-            needed = needed.join(sets.select("node"), "node", "left_anti")
-        extra = stored(_sets(docs, classes.select("node", "doc_id").join(needed, "node"), params), "more_sets")
-        more = stored(_confirmed(last, sets.union(extra) if sets is not None else extra, params), "last_links")
-        if not empty(more):
-            labels = components(links.union(more) if links is not None else more)
+        named = _labelled(family.select("node", "hub", "n", "shared"), labels)
+        rests = family.select("node", F.explode("rest").alias("item"))
+        named, rest_pairs = _same_rest(stored(named, "named", size), rests, size)
+        listed = _labelled(lists.select("value", "node").join(hubs, "node"), labels)
+        pairs = rest_pairs.union(_within_hub(named, params)).union(_other_hub(listed)).distinct()
+        pairs = _estimated(pairs, classes.select("node", "sketch", "n_shingles"), params)
+        pairs = stored(pairs, "pairs")
+        few = pairs.count()
+        if few:
+            more = stored(_confirmed(stored(pairs, "pairs", few), sets, params), "links", few)
+            if not empty(more):
+                labels = components(links.union(more))
     own = classes.select("node", F.col("doc_id").alias("class_id"))
     if labels is not None:
         named = labels.join(own, "node")
@@ -250,19 +265,62 @@ def _labelled(nodes: DataFrame, labels: DataFrame | None, name: str = "node", la
     return nodes.join(found, name, "left").withColumn(label, F.coalesce("__label", name)).drop("__label")
 
 
-def _across(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Pairs whose ends are in different components."""
-    ends = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb")
-    return ends.where("la <> lb").select("a", "b")
+def _similar(a: str, b: str, common: str, params: NearParams) -> Column:
+    """Whether sets of sizes a and b with `common` shared shingles reach the threshold."""
+    return F.col(common) * 100 >= (F.col(a) + F.col(b) - F.col(common)) * params.percent
+
+
+def _against_hub(hubs: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, hub, n, hub_n, shared and rest (the shingles that the hub lacks), from the full sets."""
+    own = hubs.join(sets, "node")
+    hub_sets = sets.select(F.col("node").alias("hub"), F.col("items").alias("hub_items"))
+    met = own.join(hub_sets, "hub").withColumn("rest", F.array_except("items", "hub_items"))
+    n = F.size("items")
+    return met.select("node", "hub", n.alias("n"), F.size("hub_items").alias("hub_n"), (n - F.size("rest")).alias("shared"), "rest")
+
+
+def _same_rest(named: DataFrame, rests: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """`named` with what each class shares with its family's core, and the pairs of one family and different
+    components that share a shingle outside of it."""
+    entries = rests.join(named.select("node", "hub", "label"), "node")
+    counts = entries.groupBy("hub", "item").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    counts = stored(counts.where("n > 1"), "rest_counts")
+    families = named.groupBy("hub").agg(F.count("*").alias("members"))
+    common = F.col("n") > F.greatest(F.lit(LEAST_COMMON), F.col("members") / COMMON)
+    counts = counts.join(families, "hub").select("hub", "item", common.alias("core"), (F.col("low") != F.col("high")).alias("open"))
+    found = stored(entries.join(counts.where("core OR open"), ["hub", "item"]), "rests")
+    more = found.where("core").groupBy("node").agg(F.count("*").alias("more"))
+    named = named.join(more, "node", "left").withColumn("shared", F.col("shared") + F.coalesce("more", F.lit(0))).drop("more")
+    found = found.where("open AND NOT core").select("hub", "item", "node", "label")
+    other = found.select("hub", "item", F.col("node").alias("other"), F.col("label").alias("other_label"))
+    pairs = _pairs(found.join(other, ["hub", "item"]).where("label <> other_label AND node < other"))
+    return stored(named, "named", size), pairs
+
+
+def _within_hub(named: DataFrame, params: NearParams) -> DataFrame:
+    """Pairs of one hub and different components that could be similar by what they share with the hub alone."""
+    # With t the threshold: the smaller of both `shared` is at least t/(1+t) * (n + other n).
+    # So a partner has at most `most` shingles, and both ways.
+    t = params.percent
+    reach = named.select(
+        "hub", "node", "label", "n", F.floor(F.col("shared") * (100 + t) / t + 1e-9).cast("int").alias("sum")
+    ).withColumn("most", F.col("sum") - F.col("n")).where(F.col("most") * 100 >= F.col("n") * t)
+    sizes = reach.select("hub", F.col("n").alias("other_n")).distinct()
+    fitting = reach.join(sizes, "hub").where((F.col("other_n") <= F.col("most")) & (F.col("other_n") * 100 >= F.col("n") * t))
+    other = reach.select(
+        "hub", F.col("n").alias("other_n"), F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("most").alias("other_most")
+    )
+    return _pairs(fitting.join(other, ["hub", "other_n"]).where("label <> other_label AND n <= other_most AND node <> other"))
 
 
-def _outside(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Pairs of a list that aren't yet in one component: those outside the list's largest component meet all others."""
-    own = stored(_labelled(lists.select("value", "node"), labels), "labelled")
-    sizes = own.groupBy("value", "label").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("value").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("kinds"))
+def _other_hub(listed: DataFrame) -> DataFrame:
+    """Pairs of one list that have different hubs and components: classes outside the list's largest hub meet all others."""
+    sizes = listed.groupBy("value", "hub").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("value").agg(F.max(F.struct("n", "hub")).alias("top"), F.count("*").alias("kinds"))
     open_lists = stored(
-        own.join(largest.where("kinds > 1").select("value", F.col("top.label").alias("top")), "value"), "open_lists"
+        listed.join(largest.where("kinds > 1").select("value", F.col("top.hub").alias("top")), "value"), "open_lists"
+    )
+    minor = open_lists.where("hub <> top").select(
+        "value", F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("hub").alias("other_hub")
     )
-    minor = open_lists.where("label <> top").select("value", F.col("node").alias("other"), F.col("label").alias("other_label"))
-    return _pairs(open_lists.join(minor, "value").where("label <> other_label").select("node", "other"))
+    return _pairs(open_lists.join(minor, "value").where("label <> other_label AND hub <> other_hub").select("node", "other"))

@@ -14,10 +14,19 @@ from gavel.session import work_folder
 BLOCK_BITS = 19  # bits of a bitmap that one row of the merge holds
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once to the shared folder and read back: cuts the lineage and survives lost executors."""
+ROWS_A_FILE = 100_000  # of working tables whose size is known before they are written
+
+
+def stored(df: DataFrame, label: str, most: int | None = None) -> DataFrame:
+    """`df` written once to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    `most` is a known bound of the rows; a table that can only be small then
+    takes few files, and Spark can tell that it may broadcast it.
+    """
     path = work_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    if most is not None:
+        df = df.coalesce(1 + most // ROWS_A_FILE)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -77,17 +86,18 @@ def components(edges: DataFrame) -> DataFrame:
     are aggregates and joins on keys, which a hub with many links doesn't
     gather in one task; every round is a stored table.
     """
-    both = stored(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links"
-    )
-    labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    edges = edges.select("a", "b")
+    most = 2 * edges.count()
+    both = stored(edges.union(edges.select("b", "a")).distinct(), "links", most)
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    labels = stored(labels, "labels", most)
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near.withColumnRenamed("a", "node"), "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        new = stored(step.join(up, "label").select("node", "old", F.least("label", "above").alias("label")), "labels")
+        new = stored(step.join(up, "label").select("node", "old", F.least("label", "above").alias("label")), "labels", most)
         if empty(new.where("old <> label")):
             return new.select("node", "label")
         labels = new.select("node", "label")
