@@ -19,6 +19,11 @@ def _number(text: Column, kind: str = "int") -> Column:
     return text.try_cast("double").cast(kind)
 
 
+def _rest(text: Column) -> Column:
+    """All but the first character."""
+    return F.substr(text, F.lit(2))
+
+
 def title_fields(title: Column, older: bool = False) -> Column:
     """Struct of cashvalue, cardvalue, cardtype and bidvalue; NULLs when unknown.
 
@@ -30,11 +35,11 @@ def title_fields(title: Column, older: bool = False) -> Column:
     lead = F.split_part(title, F.lit(" "), F.lit(1))
     body = F.regexp_extract(title, r"(?s)^[^ ]* (.*)$", 1)
     in_parens = F.split_part(F.split_part(body, F.lit("("), F.lit(2)), F.lit(")"), F.lit(1))
-    cashvalue = _number(F.substring(in_parens, 2, 100), "double")
+    cashvalue = _number(_rest(in_parens), "double")
     bids, card = body.contains("Bids"), body.contains("Gift Card")
-    face = _number(F.substring(lead, 2, 100))
+    face = _number(_rest(lead))
     given = _number(
-        F.substring(F.split_part(F.split_part(body, F.lit(" Gift Card AND"), F.lit(2)), F.lit(" Bids"), F.lit(1)), 2, 100)
+        _rest(F.split_part(F.split_part(body, F.lit(" Gift Card AND"), F.lit(2)), F.lit(" Bids"), F.lit(1)))
     )
     buster = F.lit(None).cast("int")
     for word, value in reversed(BUSTER_VALUES):

@@ -117,7 +117,7 @@ def upcoming_rows(pages: DataFrame) -> DataFrame:
             "pos",
             _text(F.col("c")[1]).alias("auctionid"),
             limited.alias("limited_allowed"),
-            F.when(limited, F.substring(description, 2, 10000)).otherwise(description).alias("title"),
+            F.when(limited, F.substr(description, F.lit(2))).otherwise(description).alias("title"),
             _text(F.col("c")[3]).alias("clock"),
         ),
         "title",
@@ -164,7 +164,7 @@ def missing_auctions(listed: DataFrame, stored: DataFrame, today: Column) -> Dat
     known = title.contains("Gift Card") | title.contains("Buster") | title.contains("Voucher")
     cheap = title.contains("$10 ") | title.contains("$15 ")
     after_percent = F.when(title.contains("%"), F.split_part(title, F.lit("%"), F.lit(2))).otherwise(title)
-    plain = F.when(after_percent.startswith("L"), F.substring(after_percent, 2, 10000)).otherwise(after_percent)
+    plain = F.when(after_percent.startswith("L"), F.substr(after_percent, F.lit(2))).otherwise(after_percent)
     wanted = (
         listed.where(known & ~cheap)
         .withColumn("day", F.to_date(day, "MMM-dd-yy"))
