@@ -16,12 +16,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from gavel.catalog import all_queries  # noqa: E402
 from gavel.session import local_session  # noqa: E402
+from gavel.sources import derived  # noqa: E402
 
 HEADLINE = [
     "w12_auction_full", "w03_bids_so_far", "w06_bom_streak", "w09_prev_win_bids", "w10_history_sums", "j01_bids_with_auctions",
     "j03_nearest_opponents", "j03_latest_bid_per_opponent", "a01_auction_user_rollup", "a12_win_rate_by_streak",
     "e02_strategy_profit", "e03_threshold_sweep", "e07_best_threshold", "e08_roc_auc", "w13_ev_chunks", "p04_history_pages",
-    "p11_feed_bids", "m05_undersample", "l05_next_bid_features",
+    "p11_feed_bids", "m05_undersample", "l05_next_bid_features", "s06_incremental", "j07_user_snapshot",
 ]
 RUNS = 2
 
@@ -42,7 +43,7 @@ def main() -> None:
     for name in HEADLINE:
         times[name] = round(min(timed(queries[name], spark, sf_dir) for _ in range(RUNS)), 3)
         print(f"{name} {times[name]}", file=sys.stderr, flush=True)
-    bids = 64992 if sf_dir.rstrip("/").endswith("sf0.1") else None
+    bids = derived.bids(spark, sf_dir).count()
     line = {
         "metric": "headline_total",
         "value": round(sum(times.values()), 3),
@@ -51,8 +52,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": cpus,
     }
-    if bids:
-        line["feature_rows_per_sec"] = round(bids / times["w12_auction_full"])
+    line["feature_rows_per_sec"] = round(bids / times["w12_auction_full"])
     print(json.dumps(line))
     spark.stop()
 

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
+from gavel.schemas import BASE_COLUMNS
+
 HISTORY = [
     ("prev_overbid", "prev_overbid"), ("prev_giveup_one", "prev_giveup_one"),
     ("prev_give_before_six", "prev_giveup_before_six"), ("prev_wins", "prev_wins"),
     ("prev_bids", "prev_bids"), ("prev_bom_bids", "prev_bom_bids"),
 ]
 PLAIN = ["is_bidomatic", "bids_so_far", "bom_bids_so_far", "bom_streak", "perc_to_bin"]
-BASE = (
-    "auctionid is_winner cardtype cashvalue cardvalue fee bidvalue limited_allowed is_locked auctiontime bid "
-    "is_bidomatic bids_so_far username prevusers giveup eventual_bids eventual_win_price debut bom_streak "
-    "bom_bids_so_far perc_to_bin"
-).split()
 
 
 def _wide() -> str:
@@ -30,24 +27,26 @@ def _wide() -> str:
 
 CTES = {
     "kept": """
-  SELECT event_id // 40 AS auctionid, CAST(event_id % 40 + 1 AS INTEGER) AS bid,
-         'u' || CAST(user_id % 23 AS VARCHAR) AS username,
+  SELECT CASE WHEN place < size THEN run * 2 ELSE run * 2 + 1 END AS auctionid,
+         CAST(CASE WHEN place < size THEN place + 1 ELSE place - size + 1 END AS INTEGER) AS bid,
+         'u' || CAST(user_id // 6 AS VARCHAR) AS username,
          event_type IN ('click', 'view') AS is_bidomatic, ts
-  FROM events WHERE event_id % 40 + 1 <= 12 + ((event_id // 40) * 7) % 29""",
+  FROM (SELECT *, event_id // 40 AS run, event_id % 40 AS place, 12 + ((event_id // 40) * 7) % 29 AS size FROM events)""",
     "bids": "SELECT auctionid, bid, username, is_bidomatic FROM kept",
     "auctions": """
-  SELECT k.auctionid AS qauctionid,
+  SELECT auctionid AS qauctionid,
          CAST(CASE p_size % 3 WHEN 0 THEN 0 WHEN 1 THEN 25 ELSE 75 END AS INTEGER) AS cardvalue,
          CAST(round((1 + p_size % 4 - CASE p_size % 3 WHEN 0 THEN 0 WHEN 1 THEN 25 ELSE 75 END) * 2.5e0) AS INTEGER) AS bidvalue,
-         CASE WHEN p_partkey % 50 = 0 THEN 99.5e0 ELSE 100.0e0 END AS tracking,
-         k.last_ts AS auctiontime,
-         CAST(date_diff('second', k.first_ts, k.last_ts) AS INTEGER) AS runtime,
+         CASE WHEN auctionid % 50 = 0 THEN 99.5e0 ELSE 100.0e0 END AS tracking,
+         last_ts AS auctiontime,
+         CAST(date_diff('second', first_ts, last_ts) AS INTEGER) AS runtime,
          p_size % 2 = 0 AS limited_allowed,
          CAST(1 + p_size % 4 AS INTEGER) AS cashvalue,
-         p_brand AS cardtype,
+         brand AS cardtype,
          CAST(CASE WHEN p_size % 5 = 0 THEN 10 ELSE 0 END AS INTEGER) AS lock_price
-  FROM (SELECT auctionid, max(ts) AS last_ts, min(ts) AS first_ts FROM kept GROUP BY auctionid) k
-  JOIN part ON p_partkey = k.auctionid""",
+  FROM (SELECT k.*, coalesce(part.p_size, 1) AS p_size, coalesce(p_brand, 'None') AS brand
+        FROM (SELECT auctionid, max(ts) AS last_ts, min(ts) AS first_ts FROM kept GROUP BY auctionid) k
+        LEFT JOIN part ON p_partkey = k.auctionid)""",
     "numbered": """
   SELECT b.*, a.* EXCLUDE (qauctionid, tracking, runtime),
          max(bid) OVER (PARTITION BY auctionid) AS eventual_win_price,
@@ -110,7 +109,7 @@ CTES = {
     + """
   FROM places q JOIN uni p ON p.auctionid = q.auctionid AND p.bid = q.max_bid WHERE q.place <= 4""",
     "wide": "\n  SELECT "
-    + ", ".join(f"any_value(m.{c}) AS {c}" if c not in ("auctionid", "bid") else f"m.{c}" for c in BASE)
+    + ", ".join(f"any_value(m.{c}) AS {c}" if c not in ("auctionid", "bid") else f"m.{c}" for c in BASE_COLUMNS)
     + ",\n  "
     + _wide()
     + "\n  FROM uni m LEFT JOIN opp o ON o.auctionid = m.auctionid AND o.bid = m.bid GROUP BY m.auctionid, m.bid",
@@ -149,6 +148,11 @@ def sql(body: str, *needs: str, **extra: str) -> str:
     return (f"WITH {', '.join(parts)}\n" if parts else "") + body
 
 
+def shuffled(seed: int) -> str:
+    """The pseudo-random number of a bid: the first 60 bits of an MD5 digest."""
+    return f"CAST('0x' || substr(md5(concat_ws(',', auctionid, bid, {seed})), 1, 15) AS BIGINT)"
+
+
 def day_times(statement: str) -> str:
     """The same statement over auctions whose end times are cut to the day."""
-    return statement.replace("k.last_ts AS auctiontime", "date_trunc('day', k.last_ts)::TIMESTAMP AS auctiontime")
+    return statement.replace(" last_ts AS auctiontime", " date_trunc('day', last_ts)::TIMESTAMP AS auctiontime")
