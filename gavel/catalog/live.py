@@ -22,7 +22,7 @@ SEEN = ["username", "distance", "is_bidomatic", "bids_so_far", "bom_bids_so_far"
 
 def _message(body, auction, at):
     text = F.concat(F.lit('cb({"a":{"'), auction.cast("string"), F.lit('":'), body, F.lit("}})"))
-    return [(auction * 100000 + at).alias("seq"), text.alias("message")]
+    return [(auction * feed.SEQUENCE_ROOM + at).alias("seq"), text.alias("message")]
 
 
 def whole_feed(t: Tables):
@@ -30,7 +30,7 @@ def whole_feed(t: Tables):
     ids = t.auctions.select("qauctionid", "limited_allowed", "cashvalue")
     countdown = ids.where("limited_allowed").select(*_message(F.lit('{"sl":20}'), F.col("qauctionid"), F.lit(0)))
     sold = ids.where(F.col("cashvalue") == 4).select(
-        *_message(F.lit('{"sl":0,"s":"x","bh":[]}'), F.col("qauctionid"), F.lit(99999))
+        *_message(F.lit('{"sl":0,"s":"x","bh":[]}'), F.col("qauctionid"), F.lit(feed.SEQUENCE_ROOM - 1))
     )
     return messages(t).unionByName(countdown).unionByName(sold)
 
@@ -140,10 +140,12 @@ def model_values(t: Tables):
     states = live.latest_per_auction(
         live.live_states_batch(t.bids, t.auctions, ME).withColumn("seq", F.col("n_bids"))
     )
-    known = t.auctions.join(rows.select("cardtype").distinct(), "cardtype", "left_semi")
+    # Card types that only the auctions have get a code, too.
+    types = F.array(*[F.lit(r.cardtype) for r in t.auctions.select("cardtype").distinct().orderBy("cardtype").collect()])
+    categories = rows.unionByName(rows.limit(1).withColumn("cardtype", F.explode(types)))
     users = written(snapshot(t), "snapshot")
-    features = live.live_features(states, known, users, now=F.lit("2024-02-01 12:00:00").cast("timestamp_ntz"), me=ME)
-    return live.live_ev(features, fitted(rows)).select("auctionid", "bid", "bom_proba", "manual_proba", "bom_ev", "manual_ev")
+    features = live.live_features(states, t.auctions, users, now=F.lit("2024-02-01 12:00:00").cast("timestamp_ntz"), me=ME)
+    return live.live_ev(features, fitted(rows, categories)).select("auctionid", "bid", "bom_proba", "manual_proba", "bom_ev", "manual_ev")
 
 
 def emitted(t: Tables):

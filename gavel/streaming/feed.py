@@ -54,6 +54,12 @@ def parse_feed(messages: DataFrame) -> DataFrame:
     return classify(messages).where(F.col("kind").isNotNull()).drop("message")
 
 
+def odd_messages(messages: DataFrame) -> DataFrame:
+    """Messages that say nothing, or carry bids without a countdown or a history: for a side table."""
+    odd = F.col("kind").isNull() | ((F.col("kind") == "bids") & (F.col("sl").isNull() | F.col("bh").isNull()))
+    return classify(messages).where(odd).select("seq", "message", "auction_id", "kind")
+
+
 def feed_bids(parsed: DataFrame, newest_only: bool = False) -> DataFrame:
     """Bids carried by the messages, one row each, newest first by `pos`."""
     rows = parsed.where(F.col("kind") == "bids")
@@ -74,6 +80,10 @@ def read_feed(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame
     return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files).json(path)
 
 
+# Sequence numbers of one auction: its 32-bit bid numbers, then the sold mark.
+SEQUENCE_ROOM = 1 << 32
+
+
 def render_feed(bids: DataFrame, window: int = 3) -> DataFrame:
     """One message per bid holding it and up to `window`-1 bids before it."""
     event = F.struct(
@@ -91,6 +101,6 @@ def render_feed(bids: DataFrame, window: int = 3) -> DataFrame:
     body = F.struct(F.lit(10).alias("sl"), F.col("bh"))
     key = F.col("auctionid").cast("string")
     return messages.select(
-        (F.col("auctionid") * 100000 + F.col("newest")).alias("seq"),
+        (F.col("auctionid") * SEQUENCE_ROOM + F.col("newest")).alias("seq"),
         F.concat(F.lit("cb("), F.to_json(F.create_map(F.lit("a"), F.create_map(key, body))), F.lit(")")).alias("message"),
     )

@@ -59,6 +59,8 @@ _KEPT = T.StructType(
         T.StructField("is_live", T.BooleanType()),
         T.StructField("usernames", T.ArrayType(T.StringType())),
         T.StructField("numbers", T.ArrayType(T.ArrayType(T.LongType()))),
+        T.StructField("seq", T.LongType()),
+        T.StructField("complete", T.BooleanType()),
     ]
 )
 
@@ -67,8 +69,9 @@ class _Auction:
     """What is known of one live auction. Users are kept latest bid last."""
 
     def __init__(self, kept: tuple | None) -> None:
-        n, last, sl, live, names, numbers = kept or (0, 0, FIRST_SECONDS_LEFT, False, [], [])
+        n, last, sl, live, names, numbers, seq, done = kept or (0, 0, FIRST_SECONDS_LEFT, False, [], [], -1, False)
         self.n, self.last, self.sl, self.live = int(n), int(last), int(sl), bool(live)
+        self.seq, self.complete = int(seq), bool(done)
         self.users = {u: [int(x) for x in row] for u, row in zip(names, numbers)}
 
     def take(self, message) -> None:
@@ -76,8 +79,11 @@ class _Auction:
         if message.kind == "live":
             self.live = True
             return
-        self.sl = int(message.sl)
-        for event in reversed(list(message.bh)):
+        if pd.notna(message.sl):  # a message without a countdown leaves the last one
+            self.sl = int(message.sl)
+        for event in reversed([] if message.bh is None else list(message.bh)):
+            if event is None or event["id"] is None or event["u"] is None:
+                continue
             bid, user, bom = int(event["id"]), event["u"], event["t"] == 2
             if self.n and bid != self.last + 1:
                 continue
@@ -87,9 +93,13 @@ class _Auction:
 
     def kept(self) -> tuple:
         return (
-            self.n, self.last, self.sl, self.live, list(self.users), list(self.users.values()),
+            self.n, self.last, self.sl, self.live, list(self.users), list(self.users.values()), self.seq, self.complete,
         )
 
+    def closed(self) -> tuple:
+        """What stays of a complete auction: enough to ignore whatever still comes."""
+        return self.n, self.last, self.sl, self.live, [], [], self.seq, True
+
     def row(self, auction_id: str, seq: int, me: str, complete: bool) -> dict:
         others = [(u, v) for u, v in reversed(self.users.items()) if u != me]
         return {
@@ -120,10 +130,14 @@ def _advance(me: str, every: bool, idle: str | None):
         auction_id = key[0]
         auction = _Auction(state.get if state.exists else None)
         fresh, before = not state.exists, (auction.n, auction.live)
-        rows, seq, done = [], 0, False
+        rows, seq, done = [], auction.seq, False
+        if auction.complete:
+            return
         messages = pd.concat(list(batches)).sort_values("seq")
         for message in messages.itertuples(index=False):
-            seq = int(message.seq)
+            if int(message.seq) <= auction.seq:
+                continue  # late or repeated: a later message has been taken already
+            seq = auction.seq = int(message.seq)
             if message.kind == "complete":
                 done = True
                 break
@@ -132,7 +146,9 @@ def _advance(me: str, every: bool, idle: str | None):
             if every and (auction.n, auction.live) != was:
                 rows.append(auction.row(auction_id, seq, me, False))
         if done:
-            state.remove()
+            state.update(auction.closed())
+            if idle:
+                state.setTimeoutDuration(idle)
             rows.append(auction.row(auction_id, seq, me, True))
         else:
             state.update(auction.kept())
@@ -152,10 +168,13 @@ def live_states(
 ) -> DataFrame:
     """Streaming state per auction; a row whenever its bids or live flag change.
 
-    Within a trigger messages are taken by `seq`. A bid is appended only if it
-    follows the last one, so repeats and late bids drop and a gap freezes the
-    list. `every` emits after each message instead of once per trigger; `idle`
-    (such as "1 hour") forgets auctions that never complete.
+    Messages are taken by `seq`; one at or before the last taken `seq` is
+    ignored, and so is everything after the sold mark, in the same trigger or a
+    later one. A bid is appended only if it follows the last one, so repeats
+    and late bids drop and a gap freezes the list. A message without countdown
+    or bid history changes what it has. `every` emits after each message
+    instead of once per trigger; `idle` (such as "1 hour") forgets auctions
+    that never complete, and the marks of those that did.
     """
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
     return (
@@ -357,6 +376,11 @@ def upcoming_candidates(upcoming: DataFrame, launched: DataFrame, within: int |
     return out if within is None else out.where(F.col("seconds_left") < within)
 
 
+def _shown(name: str) -> Column:
+    """A number to print: halves go up, whatever the last binary digit says."""
+    return F.round(F.col(name), 6) + F.lit(1e-9)
+
+
 def board_labels(tracking: DataFrame) -> DataFrame:
     """Display texts and flags of the board."""
     pack = F.concat(F.lit("Bid Pack "), F.col("bidvalue").cast("string"))
@@ -369,9 +393,9 @@ def board_labels(tracking: DataFrame) -> DataFrame:
         F.concat(
             F.expr("sl div 60").cast("string"), F.lit("m "), (seconds % 60).cast("string"), F.lit("s")
         ).alias("time_left"),
-        F.format_string("%.2f", "potential_profit").alias("profit_text"),
+        F.format_string("%.2f", _shown("potential_profit")).alias("profit_text"),
         F.format_string("%.4f", "bom_proba").alias("proba_text"),
-        F.format_string("%.2f", "bom_ev").alias("ev_text"),
+        F.format_string("%.2f", _shown("bom_ev")).alias("ev_text"),
         F.when(F.col("bom_ev") >= 0, "green").otherwise("red").alias("console_color"),
         F.when(F.col("bom_ev") <= 0, "red").otherwise("green").alias("page_color"),
         (F.col("is_live") & good).alias("alert"),

@@ -23,7 +23,7 @@ UNION ALL
 SELECT CAST(qauctionid AS VARCHAR), CASE qauctionid % 4 WHEN 0 THEN bidvalue || ' Voucher Bids' WHEN 1 THEN 'The One Buster'
     ELSE '$' || (cardvalue + 5) || ' Gift Card' END
 FROM auctions WHERE qauctionid % 4 < 3 AND NOT limited_allowed AND qauctionid % 3 = 0"""
-MESSAGES = """SELECT n.auctionid * 100000 + n.bid AS seq, CAST(n.auctionid AS VARCHAR) AS auction_id,
+MESSAGES = """SELECT n.auctionid * 4294967296 + n.bid AS seq, CAST(n.auctionid AS VARCHAR) AS auction_id,
   CAST(n.bid - e.bid AS INTEGER) AS pos, e.bid, e.username, e.is_bidomatic
 FROM bids n JOIN bids e ON e.auctionid = n.auctionid AND e.bid BETWEEN n.bid - 2 AND n.bid"""
 
@@ -58,7 +58,7 @@ CAST((p_size * 3 % 100) % 60 * 60 + p_size % 60 AS INTEGER) AS seconds_left FROM
         "SELECT title, count(*) AS n FROM missing WHERE title NOT LIKE '$%' GROUP BY title", "auctions", missing=MISSING
     ),
     "p09_unwrap_messages": sql(
-        "SELECT auctionid * 100000 + bid AS seq, CAST(auctionid AS VARCHAR) AS auction_id FROM bids", "bids"
+        "SELECT auctionid * 4294967296 + bid AS seq, CAST(auctionid AS VARCHAR) AS auction_id FROM bids", "bids"
     ),
     "p10_classify_messages": sql(
         """SELECT qauctionid AS seq, CAST(qauctionid AS VARCHAR) AS auction_id, CASE WHEN qauctionid % 6 = 0 THEN 'complete'

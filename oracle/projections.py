@@ -87,7 +87,7 @@ FROM upcoming""",
         """SELECT auction_id,
 auction_id || ': ' || CASE WHEN cardtype = 'None' THEN 'Bid Pack ' || bidvalue ELSE cardtype || ' $' || cardvalue END AS title,
 (sl // 60) || 'm ' || (sl % 60) || 's' AS time_left,
-printf('%.2f', potential_profit) AS profit_text, printf('%.4f', bom_proba) AS proba_text, printf('%.2f', bom_ev) AS ev_text,
+printf('%.2f', round(potential_profit, 6) + 1e-9) AS profit_text, printf('%.4f', bom_proba) AS proba_text, printf('%.2f', round(bom_ev, 6) + 1e-9) AS ev_text,
 CASE WHEN bom_ev >= 0 THEN 'green' ELSE 'red' END AS console_color,
 CASE WHEN bom_ev <= 0 THEN 'red' ELSE 'green' END AS page_color,
 is_live AND greatest(manual_ev, bom_ev) >= 0 AS alert,

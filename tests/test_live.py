@@ -47,6 +47,33 @@ def test_complete_leaves_the_board(spark):
     assert last.complete and last.is_live and board.count() == 0
 
 
+@pytest.mark.parametrize("max_files", [100, 1])
+def test_what_follows_the_sold_mark_is_ignored(spark, max_files):
+    """The same board and the same last state however messages fall into triggers."""
+    bodies = [body([1], sl=9), body([2, 1], sl=3, s="x"), body([9, 8], sl=9), '{"sl":20}', body([3, 2], sl=9)]
+    last, board = run_feed(spark, bodies, max_files=max_files)
+    assert last.complete and (last.n_bids, last.last_bid) == (1, 1) and board.count() == 0
+
+
+@pytest.mark.parametrize("max_files", [100, 1])
+def test_odd_messages_change_what_they_have(spark, max_files):
+    bodies = [body([1], sl=9), body([2, 1]), '{"sl":8,"bh":null}', '{"sl":7,"bh":[null,{"id":null,"u":"u1","t":1}]}', body([3, 2], sl=6)]
+    last, _ = run_feed(spark, bodies, max_files=max_files)
+    assert (last.n_bids, last.last_bid, last.sl, last.tracking_ok) == (3, 3, 6, True)
+    rows = [(i, f'cb({{"a":{{"7":{b}}}}})') for i, b in enumerate(bodies + ["5"])]
+    odd = feed.odd_messages(spark.createDataFrame(rows, "seq long, message string"))
+    assert {r.seq for r in odd.collect()} == {1, 2, 5}
+
+
+def test_sequence_numbers_of_a_long_auction(spark):
+    """Bid numbers above 100,000 stay before the next auction's."""
+    bids = spark.createDataFrame([(1, 250_000), (2, 1)], "auctionid long, bid int").withColumns(
+        {"username": F.lit("u1"), "is_bidomatic": F.lit(True)}
+    )
+    seq = {r.auction_id: r.seq for r in feed.parse_feed(feed.render_feed(bids)).collect()}
+    assert seq["1"] < seq["2"]
+
+
 def test_message_kinds(spark):
     bodies = [body([1], sl=1, s="x"), body([1], sl=1), '{"sl":20}', '{"sl":12}', "{}", "5"]
     rows = [(i, f'cb({{"a":{{"7":{b}}}}})') for i, b in enumerate(bodies)]
