@@ -19,8 +19,8 @@ KEY = ["auctionid", "bid"]
 def density_by_outcome(t: Tables):
     """Share of the price the nearest opponent spent, winners against losers."""
     share = scalar.perc_to_bin(F.col("bids_so_far0"), F.col("cashvalue"))
-    counts = x.histogram(t.plain.withColumn("share", share), F.col("share"), 0.0, 4.0, 64, ["is_winner"])
-    return x.density(counts, ["is_winner"], 4.0 / 64)
+    counts = x.histogram(t.plain.withColumn("share", share), F.col("share"), 1 / 16, ["is_winner"])
+    return x.density(counts, ["is_winner"], 1 / 16)
 
 
 def log_bids_per_user(t: Tables):
@@ -38,11 +38,12 @@ def win_rate_per_cluster_hour(t: Tables):
 
 
 def lowest_bids(t: Tables):
-    """Mean expected and actual profit for the thirty lowest bids."""
+    """Mean expected and actual profit for the thirty lowest bids; halves of the last digit go up."""
+    tie = F.lit(1e-9)
     return (
         ev.expected(t.scored)
         .groupBy("bid")
-        .agg(x.rounded(F.avg("ep")).alias("avg_ep"), x.rounded(F.avg("actual")).alias("avg_actual"))
+        .agg(x.rounded(F.avg("ep") + tie).alias("avg_ep"), x.rounded(F.avg("actual") + tie).alias("avg_actual"))
         .orderBy("bid")
         .limit(30)
     )
@@ -133,12 +134,12 @@ QUERIES = {
     "a15_bucket_means": lambda t: x.bucket_means(t.transform),
     "a16_giveup_histogram": lambda t: x.histogram(
         t.transform.where((F.col("perc_to_bin") > 0.1) & (F.col("perc_to_bin") < 1)),
-        F.col("perc_to_bin"), 0.0, 1.0, 32, ["giveup"],
+        F.col("perc_to_bin"), 1 / 32, ["giveup"],
     ),
     "a16_density_by_outcome": density_by_outcome,
     "a16_winning_bids_by_product": lambda t: x.histogram(
         with_auction(t.bids.groupBy("auctionid").agg(F.max("bid").alias("bid")), t.auctions),
-        F.col("bid"), 0.0, 64.0, 32, x.PRODUCT,
+        F.col("bid"), 2.0, x.PRODUCT,
     ),
     "a16_log_bids_per_user": log_bids_per_user,
     "a17_probability_counts": prob_counts,

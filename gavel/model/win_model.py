@@ -16,7 +16,7 @@ from gavel.session import written
 
 # What missing features become.
 MISSING_NUMBER, MISSING_TEXT = -1.0, "unknown"
-HASH_BUCKETS_BITS = 48
+HASH_BUCKETS_BITS = 44
 
 
 def model_rows(full: DataFrame, since: str | None = None) -> DataFrame:
@@ -64,8 +64,8 @@ def time_split(df: DataFrame, train_until: str, test_until: str) -> DataFrame:
 
 
 def random_order(keys: list[str], seed: int) -> Column:
-    """A reproducible pseudo-random number per row key."""
-    return F.xxhash64(*keys, F.lit(seed))
+    """A reproducible pseudo-random number per row key: the first 60 bits of an MD5 digest, which any engine can make."""
+    return F.conv(F.substring(F.md5(F.concat_ws(",", *keys, F.lit(seed))), 1, 15), 16, 10).cast("long")
 
 
 def _bucket(h: Column) -> Column:

@@ -144,7 +144,7 @@ def sweep_every_probability(scored: DataFrame, above: float = 0.4) -> DataFrame:
         (all_won - tp).alias("fn"),
         tp.alias("tp"),
         rounded(profit).alias("profit"),
-        rounded(profit / n).alias("profit_per_bet"),
+        rounded(profit / n + F.lit(1e-9)).alias("profit_per_bet"),
     )
 
 

@@ -138,18 +138,10 @@ def bucket_means(rows: DataFrame, top: int = 11) -> DataFrame:
     )
 
 
-def histogram(
-    rows: DataFrame, value: Column, low: float, high: float, bins: int, by: list[str] | None = None
-) -> DataFrame:
-    """Equi-width counts over [low, high]; the last bin includes its upper edge."""
-    width = (high - low) / bins
-    pos = F.floor((value - F.lit(low)) / F.lit(width)).cast("long")
-    bin_ = F.least(pos, F.lit(bins - 1).cast("long"))
-    return (
-        rows.where((value >= low) & (value <= high))
-        .groupBy(*(by or []), bin_.alias("bin"))
-        .agg(F.count("*").alias("n"))
-    )
+def histogram(rows: DataFrame, value: Column, width: float, by: list[str] | None = None) -> DataFrame:
+    """Equi-width counts; bin k holds values from k to k+1 widths, and there are as many bins as the values need."""
+    bin_ = F.floor(value / F.lit(width)).cast("long")
+    return rows.where(value.isNotNull()).groupBy(*(by or []), bin_.alias("bin")).agg(F.count("*").alias("n"))
 
 
 def density(counts: DataFrame, by: list[str], width: float) -> DataFrame:

@@ -66,7 +66,9 @@ FROM bt GROUP BY hour(auctiontime)""",
         f"SELECT auctiontime, {_avg('limited_allowed', True)}, {_avg('is_winner', True)} FROM bt GROUP BY auctiontime", "bt"
     ),
     "a09_lowest_bids": sql(
-        f"SELECT bid, {_avg('ep')}, {_avg('actual')} FROM ev GROUP BY bid ORDER BY bid LIMIT 30", "ev"
+        """SELECT bid, round(avg(ep) + 1e-9, 6) AS avg_ep, round(avg(actual) + 1e-9, 6) AS avg_actual
+FROM ev GROUP BY bid ORDER BY bid LIMIT 30""",
+        "ev",
     ),
     "a09_means_by_cardvalue": sql(
         f"SELECT cardvalue, {_avg('is_winner', True)}, {_avg('bid')}, {_avg('fee')} FROM bt GROUP BY cardvalue", "bt"
@@ -110,18 +112,18 @@ FROM (SELECT *, CAST(floor(floor(perc_to_bin * 300) / 30.0e0) AS BIGINT) AS buck
         "bt",
     ),
     "a16_giveup_histogram": sql(
-        """SELECT giveup, CAST(least(floor(perc_to_bin / 0.03125e0), 31) AS BIGINT) AS bin, count(*) AS n
+        """SELECT giveup, CAST(floor(perc_to_bin / 0.03125e0) AS BIGINT) AS bin, count(*) AS n
 FROM bt WHERE perc_to_bin > 0.1e0 AND perc_to_bin < 1 GROUP BY ALL""",
         "bt",
     ),
     "a16_density_by_outcome": sql(
         """SELECT is_winner, bin, n, round(n / (sum(n) OVER (PARTITION BY is_winner) * 0.0625e0), 6) AS density FROM
-(SELECT is_winner, CAST(least(floor(share / 0.0625e0), 63) AS BIGINT) AS bin, count(*) AS n
- FROM (SELECT is_winner, bids_so_far0 / (cashvalue * 2.5e0) AS share FROM full_table) WHERE share >= 0 AND share <= 4 GROUP BY ALL)""",
+(SELECT is_winner, CAST(floor(share / 0.0625e0) AS BIGINT) AS bin, count(*) AS n
+ FROM (SELECT is_winner, bids_so_far0 / (cashvalue * 2.5e0) AS share FROM full_table) WHERE share IS NOT NULL GROUP BY ALL)""",
         "full_table",
     ),
     "a16_winning_bids_by_product": sql(
-        """SELECT cardtype, cardvalue, bidvalue, CAST(least(eventual_win_price // 2, 31) AS BIGINT) AS bin, count(*) AS n
+        """SELECT cardtype, cardvalue, bidvalue, CAST(eventual_win_price // 2 AS BIGINT) AS bin, count(*) AS n
 FROM bt WHERE is_winner GROUP BY ALL""",
         "bt",
     ),

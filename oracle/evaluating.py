@@ -45,7 +45,7 @@ CAST(count(*) FILTER (WHERE s.prob >= p.prob AND NOT is_winner) AS BIGINT) AS fp
 CAST(count(*) FILTER (WHERE s.prob < p.prob AND is_winner) AS BIGINT) AS fn,
 CAST(count(*) FILTER (WHERE s.prob >= p.prob AND is_winner) AS BIGINT) AS tp,
 round(sum(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE 0e0 END - 0.4e0) FILTER (WHERE s.prob >= p.prob), 6) AS profit,
-round(avg(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE 0e0 END - 0.4e0) FILTER (WHERE s.prob >= p.prob), 6) AS profit_per_bet
+round(avg(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE 0e0 END - 0.4e0) FILTER (WHERE s.prob >= p.prob) + 1e-9, 6) AS profit_per_bet
 FROM (SELECT DISTINCT prob FROM scored WHERE prob > 0.4e0) p, scored s GROUP BY p.prob""",
         "scored",
     ),
@@ -113,7 +113,7 @@ FROM ev""",
 round(sum((cashvalue - fee - bid / 100.0e0) * CASE WHEN is_bidomatic THEN (bid * 7) % 100 / 100.0e0
 ELSE (bid * 3) % 100 / 100.0e0 END - 0.4e0), 6) AS live_ev,
 round(sum(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE -0.4e0 END), 6) AS actual
-FROM scored WHERE username IN ('u1', 'u2', 'u3') GROUP BY username""",
+FROM scored GROUP BY username""",
         "scored",
     ),
     "e13_next_bid_value": sql(

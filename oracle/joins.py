@@ -76,7 +76,7 @@ LEFT JOIN (SELECT username, round(avg(CAST(is_winner AS INTEGER)), 6) AS win_per
 round((cashvalue - fee - bid / 100.0e0) * CASE WHEN is_bidomatic THEN (bid * 7) % 100 / 100.0e0
 ELSE (bid * 3) % 100 / 100.0e0 END - 0.4e0, 6) AS live_ev,
 round(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE -0.4e0 END, 6) AS actual
-FROM scored WHERE username IN ('u1', 'u2', 'u3')""",
+FROM scored""",
         "scored",
     ),
     "j11_column_diff": sql(

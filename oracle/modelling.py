@@ -1,4 +1,4 @@
-from oracle.base import sql
+from oracle.base import shuffled, sql
 
 PER_OPPONENT = [
     "distance", "bids_so_far", "bom_bids_so_far", "bom_streak", "perc_to_bin", "prev_is_new_user", "prev_auction_count",
@@ -36,6 +36,15 @@ CAST(is_bidomatic0 IS NULL AS INTEGER) AS type_none FROM full_table""",
 FROM scored GROUP BY is_winner""",
         "scored",
     ),
+    "m05_undersample": sql(
+        f"""SELECT auctionid, bid, is_winner FROM (SELECT *, row_number() OVER (PARTITION BY is_winner ORDER BY {shuffled(17)}, auctionid, bid) AS place
+FROM scored) WHERE is_winner OR place <= 2 * (SELECT count(*) FROM scored WHERE is_winner)""",
+        "scored",
+    ),
+    "m14_random_split": sql(
+        f"""SELECT auctionid, bid, CASE WHEN {shuffled(0)} % 1000000 / 1000000e0 < 0.75e0 THEN 'train' ELSE 'test' END AS split FROM scored""",
+        "scored",
+    ),
     "m07_calibrated": sql(
         """SELECT auctionid, bid, round(yes / (yes + no), 6) AS prob FROM (SELECT auctionid, bid,
  prob * rate / (1e0 / 3) AS yes, (1 - prob) * (1 - rate) / (1 - 1e0 / 3) AS no FROM scored,

@@ -116,6 +116,23 @@ def test_running_totals_over_nested_blocks(spark):
                 assert got[(k, i)] == total
 
 
+def test_long_titles(spark):
+    """Numbers behind a hundred and more characters count."""
+    zeros = "0" * 300
+    titles = [f"${zeros}25 Shop Gift Card AND {zeros}30 Bids (${zeros}40)", f"{zeros}50 Voucher Bids (${zeros}20)"]
+    df = spark.createDataFrame([(t,) for t in titles], "title string")
+    got = {r.title: r for r in parse_titles(df, "title").collect()}
+    assert (got[titles[0]].cashvalue, got[titles[0]].cardvalue) == (40, 25)
+    assert got[titles[1]].bidvalue == 50
+
+
+def test_histogram_has_no_range(spark):
+    from gavel.operators.exploration import histogram
+
+    df = spark.createDataFrame([(-3.0,), (0.0,), (0.5,), (1000.0,), (None,)], "v double")
+    assert {r.bin: r.n for r in histogram(df, F.col("v"), 2.0).collect()} == {-2: 1, 0: 2, 500: 1}
+
+
 def test_titles(spark):
     given = {
         "$50 Amazon Gift Card AND 30 Bids ($62)": (62, 50, "Amazon", 30),
