@@ -39,19 +39,24 @@ def run_batch(spark: SparkSession, bids: DataFrame, auctions: DataFrame, out_dir
 
     Returns how many auctions were pending; with none, nothing is written. The
     written bid_transform rows are read back for the next step, so that step
-    does not compute them again. Each batch has its own folder in either table:
-    a batch cut short is not counted as done and is written over when run again.
+    does not compute them again. A batch also appends its (auction, user)
+    rollup; history and the list of finished auctions come from these rollups,
+    so no batch reads the bids of earlier ones. Each batch has its own folder in
+    every table: a batch cut short is not counted as done and is written over
+    when run again.
     """
-    transform_dir, full_dir = f"{out_dir}/bid_transform", f"{out_dir}/auction_full"
-    finished = [f.replace(full_dir, transform_dir) for f in _batches(spark, full_dir)]
-    done = read_batches(spark, transform_dir, finished)
+    transform_dir, rollup_dir, full_dir = (f"{out_dir}/{name}" for name in ("bid_transform", "rollup", "auction_full"))
+    finished = [f.replace(full_dir, rollup_dir) for f in _batches(spark, full_dir)]
+    done = read_batches(spark, rollup_dir, finished)
     n = pending_count(auctions, cutoff, done)
     if n == 0:
         return 0
     folder = f"{transform_dir}/batch={cutoff}"
     bid_transform(bids, auctions, cutoff, done).write.mode("overwrite").parquet(folder)
     new = spark.read.parquet(folder)
-    hist = h.user_history(h.rollup_transformed(spark.read.parquet(*finished, folder)))
+    own = f"{rollup_dir}/batch={cutoff}"
+    h.rollup_transformed(new).write.mode("overwrite").parquet(own)
+    hist = h.user_history(spark.read.parquet(*finished, own))
     full = directly_followed(opponents(h.unify(new, hist))).select(*FEATURE_COLUMNS)
     full.write.mode("overwrite").parquet(f"{full_dir}/batch={cutoff}")
     return n

@@ -51,9 +51,11 @@ def shared_dir(spark: SparkSession) -> str | None:
 
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder for a working table: in the shared folder, or in a local
-    one only where no shared folder is set, as in tests."""
+    one where none is set and driver and executors are one process, as in tests."""
     base = shared_dir(spark)
     if base is None:
+        if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "gavel-work")
     return f"{base}/gavel/{uuid.uuid4().hex}/{label}"
 
