@@ -22,7 +22,7 @@ HEADLINE = [
     "w12_auction_full", "w03_bids_so_far", "w06_bom_streak", "w09_prev_win_bids", "w10_history_sums", "j01_bids_with_auctions",
     "j03_nearest_opponents", "j03_latest_bid_per_opponent", "a01_auction_user_rollup", "a12_win_rate_by_streak",
     "e02_strategy_profit", "e03_threshold_sweep", "e07_best_threshold", "e08_roc_auc", "w13_ev_chunks", "p04_history_pages",
-    "p11_feed_bids", "m05_undersample", "l05_next_bid_features", "s06_incremental", "j07_user_snapshot",
+    "p11_feed_bids", "m05_undersample", "l05_next_bid_features", "j07_user_snapshot",
 ]
 RUNS = 2
 
