@@ -3,20 +3,25 @@
 A window is `window` consecutive words. A word goes if it lies in a window
 whose words also start in a text with a smaller doc_id.
 
-1. Every task counts, in a count-min sketch, in how many texts each window
+1. Texts that equal another text word by word leave all their words to the one
+   with the smallest doc_id, which stands for them from here on.
+2. Every task counts, in a count-min sketch, in how many texts each window
    occurs. Of a window only its anchor is counted: the run of `anchor` words
    in it with the least hash. Neighbouring windows mostly share their anchor,
    so there are several times fewer counts than windows, and a window's
-   estimate is still never below its true count. Sketches merge by block.
-2. A second pass over the texts sends on only windows estimated to be in two
+   estimate is still never below its true count. A task hands on its non-zero
+   cells only; sketches merge by block.
+3. A second pass over the texts sends on only windows estimated to be in two
    texts or more, by a 96-bit hash, and groups these exactly: the least doc_id
    of each window. A window that repeats is never lost; one that doesn't only
    costs a row.
-3. Windows with a smaller first text go back to their own text as word ranges.
+4. Windows with a smaller first text go back to their own text as word ranges.
+   Only texts that lose words are shuffled.
 
 The sketch grows with the corpus up to 2**MOST_BITS cells a row, which bounds
 what is broadcast; beyond that more windows pass the filter and the exact pass,
-an aggregate and a join on the window's hash, does more of the work.
+an aggregate and a join on the window's hash, does more of the work. The bitmaps
+of doc_ids are of a fixed size and only choose between two ways to one result.
 """
 
 from __future__ import annotations
@@ -28,18 +33,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gavel.llm.tables import stored
+from gavel.llm.tables import bitmap, marked, place_of, stored
 from gavel.llm.words import Words, inside, mixed, rolling, slices, texts_of
 
-LEAST_BITS, MOST_BITS = 16, 26  # cells of a sketch row, as a power of two
-CELLS_A_BYTE = 2  # cells for a byte of text; a text has about one anchor in 18 bytes
-ROWS = 2
-BLOCK = 1 << 18  # cells that one row of the merge holds
-TASK_BYTES = 256 << 20  # text after which a task hands on its sketch
+LEAST_BITS, MOST_BITS = 20, 27  # cells of a sketch row, as a power of two
+BYTES_A_CELL = 4  # bytes of text for a cell; a text has about one anchor in 20 bytes
+ROWS = 3
+BLOCK_BITS = 20  # cells that one row of the merge holds, as a power of two
+TASK_CELLS = 1 << 23  # cells after which a task hands on its sketch
+GAP = (1 << 14) - 1  # longest step between two cells of a handed-on list
+FILTER_BITS = 26  # bitmaps of doc_ids: 8 MB each
+# Odd multipliers, one a row.
+MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+PART = 4 << 20  # text whose windows are held at a time
 
 
 @dataclass(frozen=True)
@@ -49,7 +60,7 @@ class SubstringParams:
 
 
 def _bits(size: int) -> int:
-    return int(min(MOST_BITS, max(LEAST_BITS, np.ceil(np.log2(max(size, 1) * CELLS_A_BYTE / 8)))))
+    return int(min(MOST_BITS, max(LEAST_BITS, np.ceil(np.log2(max(size, 1) / BYTES_A_CELL)))))
 
 
 class _Windows:
@@ -79,79 +90,70 @@ class _Windows:
 
 def _cells(anchor: np.ndarray, bits: int) -> list[np.ndarray]:
     mask = np.uint64((1 << bits) - 1)
-    return [(anchor & mask).astype(np.int64), ((anchor >> np.uint64(64 - bits)) & mask).astype(np.int64)]
+    with np.errstate(over="ignore"):
+        return [((anchor * MULTIPLIERS[row]) >> np.uint64(64 - bits) & mask).astype(np.int64) for row in range(ROWS)]
 
 
-def _packed(marks: np.ndarray) -> bytes:
-    """Four counts of 0 to 3 in a byte."""
-    four = marks.reshape(-1, 4)
-    return (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes()
+def _stepped(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending cells with counts of 1 to 3, as 16-bit steps; a step too long is taken in parts with count 0."""
+    step = np.diff(cells, prepend=0)
+    extra = step // (GAP + 1)
+    at = np.arange(len(cells)) + np.cumsum(extra)
+    out = np.full(len(cells) + int(extra.sum()), (GAP << 2) & 0xFFFF, np.uint16)
+    out[at] = (step - extra * GAP) << 2 | counts
+    return out.tobytes()
 
 
-def _unpacked(data) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
-    return np.stack([raw & 3, raw >> 2 & 3, raw >> 4 & 3, raw >> 6], axis=1).reshape(-1)
+def _cells_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(data, np.uint16)
+    cells = np.cumsum(raw >> 2, dtype=np.int64)
+    real = (raw & 3) > 0
+    return cells[real], (raw & 3)[real].astype(np.uint8)
 
 
-def _merged_blocks(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: np.ndarray | None = None
-    for batch in batches:
-        for dense, data in zip(batch.column("dense").to_pylist(), batch.column("counts")):
-            if dense:
-                marks = _unpacked(data.as_buffer())
-            else:
-                marks = np.zeros(BLOCK, np.uint8)
-                cells = np.frombuffer(data.as_buffer(), np.uint32)
-                marks[cells >> 2] = cells & 3
-            total = marks.copy() if total is None else np.minimum(total + marks, 3)
-    flags = np.packbits(total >= 2).tobytes()
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([flags])], ["block", "flags"])
-
-
-def repeated_cells(docs: DataFrame, bits: int, params: SubstringParams) -> np.ndarray:
+def repeated_cells(rows: DataFrame, bits: int, params: SubstringParams, chosen) -> np.ndarray:
     """ROWS bitmaps (one after the other) of cells counted in two texts or more: 2**bits / 8 bytes each."""
     size = 1 << bits
-    block = min(BLOCK, size)
+    block = 1 << min(BLOCK_BITS, bits)
+
+    def handed(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cells = np.sort(np.concatenate(parts)) if parts else np.empty(0, np.uint32)
+        if not len(cells):
+            return
+        first = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+        counts = np.minimum(np.diff(np.append(first, len(cells))), 3)
+        cells = cells[first].astype(np.int64)
+        cuts = np.searchsorted(cells, np.arange(0, ROWS * size + 1, block))
+        for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if j > i:
+                data = _stepped(cells[i:j] - b * block, counts[i:j])
+                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([data], pa.binary())], ["block", "counts"])
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(ROWS * size, np.uint8)
-        seen = 0
-
-        def handed() -> Iterator[pa.RecordBatch]:
-            for b in range(ROWS * size // block):
-                own = counts[b * block : (b + 1) * block]
-                filled = np.flatnonzero(own)
-                if not len(filled):
-                    continue
-                # A block with few counts goes as a list of (cell, count), another one packed.
-                dense = len(filled) * 4 >= block // 4
-                data = _packed(own) if dense else (filled.astype(np.uint32) << 2 | own[filled]).tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b]), pa.array([dense]), pa.array([data], pa.binary())], ["block", "dense", "counts"]
-                )
-
-        for part in slices(batches):
+        parts, held = [], 0
+        for part in slices(chosen(batches), PART):
             found = _Windows(texts_of(part), params)
             for row, cell in enumerate(_once(found, bits)):
-                cell, times = np.unique(cell, return_counts=True)
-                at = cell + row * size
-                counts[at] = np.minimum(counts[at] + np.minimum(times, 3), 3)
-            seen += part.nbytes
-            if seen > TASK_BYTES:
-                yield from handed()
-                counts[:] = 0
-                seen = 0
-        if seen:
-            yield from handed()
+                parts.append((cell + row * size).astype(np.uint32))
+                held += len(cell)
+            if held > TASK_CELLS:
+                yield from handed(parts)
+                parts, held = [], 0
+        yield from handed(parts)
 
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _merged_blocks(key, batches)
-
-    partial = docs.select("text").mapInArrow(local, "block long, dense boolean, counts binary")
+        total = np.zeros(block, np.uint8)
+        for batch in batches:
+            for data in batch.column("counts").to_pylist():
+                cells, counts = _cells_of(data)
+                total[cells] = np.minimum(total[cells] + counts, 3)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([np.packbits(total >= 2).tobytes()])], ["block", "flags"])
+
+    partial = rows.mapInArrow(local, "block long, counts binary")
     out = np.zeros(ROWS * size // 8, np.uint8)
     width = block // 8
-    for row in partial.groupBy("block").applyInArrow(merged, "block long, flags binary").collect():
-        out[row.block * width : (row.block + 1) * width] = np.frombuffer(row.flags, np.uint8)[:width]
+    for row in partial.groupBy("block").applyInArrow(merged, "block long, flags binary").toLocalIterator():
+        out[row.block * width : (row.block + 1) * width] = np.frombuffer(row.flags, np.uint8)
     return out
 
 
@@ -178,17 +180,77 @@ def _estimated(found: _Windows, flags: np.ndarray, bits: int) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
-def repeated_ranges(docs: DataFrame, params: SubstringParams = SubstringParams()) -> DataFrame:
-    """doc_id, places: where windows start in a text (by doc_id) whose words start in a text with a smaller doc_id, too."""
-    rows = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+def _chooser(flags: np.ndarray | None, want: bool):
+    """Keeps rows whose place is marked (or isn't), and those that are `sure`."""
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if flags is not None:
+                hit = marked(flags, batch.column("__place").to_numpy(zero_copy_only=False)) == want
+                batch = batch.filter(pa.array(hit | batch.column("__sure").to_numpy(zero_copy_only=False)))
+            yield batch
+
+    return chosen
+
+
+def _placed(docs: DataFrame, sure: bool = False) -> DataFrame:
+    return docs.withColumns({"__place": place_of(F.col("doc_id"), FILTER_BITS), "__sure": F.lit(sure)})
+
+
+def _wholes(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, words (digest of the word sequence) of every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            words = [t.split() for t in texts_of(part).cast(pa.binary()).to_pylist()]
+            digests = [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([len(w) for w in words], pa.int64()), pa.array(digests, pa.binary())],
+                ["doc_id", "n_words", "words"],
+            )
+
+    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, n_words long, words binary")
+
+
+def _filtered(docs: DataFrame, columns: list[str], flags: np.ndarray, want: bool) -> DataFrame:
+    """Rows of `docs` whose doc_id the bitmap marks (or doesn't)."""
+    schema = T.StructType([docs.schema[c] for c in columns])
+    chosen = _chooser(flags, want)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(chosen(batches)):
+            yield part.select(columns)
+
+    return _placed(docs).mapInArrow(run, schema)
+
+
+def copies_of(docs: DataFrame, params: SubstringParams) -> DataFrame:
+    """doc_id of texts of a window or more that equal, word by word, a text with a smaller doc_id."""
+    whole = stored(_wholes(docs), "wholes").where(F.col("n_words") >= params.window)
+    first = whole.groupBy("words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
+    return stored(whole.join(first, "words").where("doc_id > first").select("doc_id").distinct(), "copies")
+
+
+def repeated_ranges(docs: DataFrame, copies: DataFrame, params: SubstringParams = SubstringParams()) -> DataFrame:
+    """doc_id, places: where windows start in a text whose words start in a text with a smaller doc_id, too.
+
+    Texts named in `copies` are left out: an equal text stands for them.
+    """
+    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = _bits(size)
-    flags = rows.sparkSession.sparkContext.broadcast(repeated_cells(rows, bits, params))
+    flags = bitmap(copies, FILTER_BITS)
+    # Texts that the bitmap takes for copies and that aren't: few, and put back exactly.
+    strays = stored(_filtered(rows, ["doc_id", "text"], flags, True).join(copies, "doc_id", "left_anti"), "strays")
+    rows = _placed(rows).union(_placed(strays, True))
+    chosen = _chooser(flags, False)
+    cells = rows.sparkSession.sparkContext.broadcast(repeated_cells(rows, bits, params, chosen))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(chosen(batches), PART):
             found = _Windows(texts_of(part), params)
-            which = _estimated(found, flags.value, bits)
+            which = _estimated(found, cells.value, bits)
             if not len(which):
                 continue
             one, two = found.keys(which)
@@ -200,29 +262,37 @@ def repeated_ranges(docs: DataFrame, params: SubstringParams = SubstringParams()
                 ["one", "two", "doc_id", "place"],
             )
 
-    passed = stored(rows.mapInArrow(windows, "one long, two int, doc_id long, place int"), "windows")
+    # Made twice, for the aggregate and for the join: cheaper than storing every window.
+    passed = rows.mapInArrow(windows, "one long, two int, doc_id long, place int")
     first = (
         passed.groupBy("one", "two")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("last > first")
+        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
         .select("one", "two", "first")
     )
+    # A table of its own, so that adaptive execution can split a window that very many texts have.
+    first = stored(first, "first")
     later = passed.join(first, ["one", "two"]).where(F.col("doc_id") > F.col("first"))
     # One text's places at most: bounded by the text itself.
-    return later.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    return stored(later.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
 
 
-def _kept(texts: pa.Array, places: pa.Array, window: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    for text, own in zip(texts.cast(pa.binary()).to_pylist(), places):
+def _kept(texts: pa.Array, places: pa.Array | None, whole: np.ndarray, window: int) -> Iterator[tuple[int, list[bytes], np.ndarray | None]]:
+    """Words, and which of them go (None: none), of every text."""
+    for i, text in enumerate(texts.cast(pa.binary()).to_pylist()):
         words = text.split()
-        gone = np.zeros(len(words) + 1, np.int32)
-        if own.is_valid:
-            at = own.values.to_numpy(zero_copy_only=False)
+        if whole[i] and len(words) >= window:
+            yield len(words), words, np.ones(len(words), bool)
+        elif places is not None and places[i].is_valid:
+            gone = np.zeros(len(words) + 1, np.int32)
+            at = places[i].values.to_numpy(zero_copy_only=False)
             # Rows that repeat a doc_id with another text may have places beyond their own end.
             at = at[at + window <= len(words)]
             np.add.at(gone, at, 1)
             np.add.at(gone, at + window, -1)
-        yield len(words), words, np.cumsum(gone[:-1]) > 0
+            yield len(words), words, np.cumsum(gone[:-1]) > 0
+        else:
+            yield len(words), words, None
 
 
 def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), text_out: bool = False) -> DataFrame:
@@ -239,26 +309,42 @@ def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams()
     carried = [c for c in docs.columns if c not in names and (text_out or c != "text")]
     added = T._parse_datatype_string("n_words long, n_removed long, kept_sha256 string")
     schema = T.StructType([docs.schema[c] for c in carried] + list(added))
-    places = repeated_ranges(docs, params).withColumnRenamed("doc_id", "__id")
-    rows = docs.select(*carried, *([] if text_out else ["text"])).join(places, F.col("doc_id") == F.col("__id"), "left").drop("__id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            count, removed, digests, new = [], [], [], []
-            old = part.column("text")
-            for n, words, gone in _kept(texts_of(part), part.column("places"), params.window):
-                lost = int(gone.sum())
-                kept = words if not lost else [w for w, g in zip(words, gone.tolist()) if not g]
-                joined = b" ".join(kept)
-                if text_out:
-                    new.append(joined.decode() if lost else None)
-                count.append(n)
-                removed.append(lost)
-                digests.append(hashlib.sha256(joined).hexdigest())
-            columns = {c: part.column(c) for c in carried}
+    copies = copies_of(docs, params)
+    places = repeated_ranges(docs, copies, params)
+    losing = copies.select("doc_id", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("places")).union(
+        places.select("doc_id", F.lit(False).alias("whole"), "places")
+    )
+    losing = losing.groupBy("doc_id").agg(F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places"))
+    flags = bitmap(losing, FILTER_BITS)
+    columns = carried if text_out else carried + ["text"]
+
+    def result(part: pa.RecordBatch, places: pa.Array | None, whole: np.ndarray) -> pa.RecordBatch:
+        count, removed, digests, new = [], [], [], []
+        for n, words, gone in _kept(texts_of(part), places, whole, params.window):
+            lost = int(gone.sum()) if gone is not None else 0
+            kept = b" ".join(words if not lost else [w for w, g in zip(words, gone.tolist()) if not g])
             if text_out:
-                columns["text"] = pc.coalesce(pa.array(new, pa.string()), old.cast(pa.string()))
-            more = [pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays([columns[c] for c in carried] + more, carried + names)
+                new.append(kept.decode() if lost else None)
+            count.append(n)
+            removed.append(lost)
+            digests.append(hashlib.sha256(kept).hexdigest())
+        out = {c: part.column(c) for c in carried}
+        if text_out:
+            out["text"] = pc.coalesce(pa.array(new, pa.string()), part.column("text").cast(pa.string()))
+        more = [pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
+        return pa.RecordBatch.from_arrays([out[c] for c in carried] + more, carried + names)
+
+    chosen = _chooser(flags, False)
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(chosen(batches)):
+            yield result(part, None, np.zeros(part.num_rows, bool))
+
+    def losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            whole = pc.fill_null(part.column("__whole"), False).to_numpy(zero_copy_only=False)
+            yield result(part, part.column("__places"), whole)
 
-    return rows.mapInArrow(run, schema)
+    lost = losing.select(F.col("doc_id").alias("__id"), F.col("whole").alias("__whole"), F.col("places").alias("__places"))
+    touched = _filtered(docs, columns, flags, True).join(lost, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    return _placed(docs.select(*columns)).mapInArrow(untouched, schema).union(touched.mapInArrow(losers, schema))
