@@ -55,7 +55,7 @@ SLICE, WORDS, BIGRAMS = 0, 1, 2
 @dataclass(frozen=True)
 class NgramParams:
     discount: float = 0.75
-    slice_bytes: int = 24 << 20  # text of a slice
+    slice_bytes: int = 12 << 20  # text of a slice
     shard_tokens: int = 2_000_000  # training and other tokens for a shard, about
     hot_share: float = 1 / 16  # of a shard's tokens: a context with more is split
 
@@ -213,11 +213,11 @@ class Layout:
     """How bigrams are dealt to shards; the same for asking and for reading the answers."""
 
     shards: int
-    hot: tuple[tuple[int, int], ...]  # contexts that are split (hash, number of parts)
+    hot: tuple[tuple[int, int, int], ...]  # contexts that are split (hash, number of parts, training count)
 
     def parts(self, contexts: np.ndarray) -> np.ndarray:
         out = np.ones(len(contexts), np.int64)
-        for h, n in self.hot:
+        for h, n, _ in self.hot:
             out[contexts == np.uint64(h)] = n
         return out
 
@@ -242,8 +242,8 @@ class Questions:
         self.bounds = np.searchsorted(shard[self.order], np.arange(layout.shards + 1))
         # Every part of a split context is asked for its kinds, also where the slice has none of its successors.
         self.extra: dict[int, list[int]] = {}
-        mine = set(own.vocab[np.isin(own.vocab, np.array([x for x, _ in layout.hot], np.uint64))].tolist()) | {int(START)}
-        for x, n in layout.hot:
+        mine = set(own.vocab[np.isin(own.vocab, np.array([x for x, _, _ in layout.hot], np.uint64))].tolist()) | {int(START)}
+        for x, n, _ in layout.hot:
             if x in mine and (x != int(START) or len(own.count)):
                 first = int(mixed(np.array([x], np.uint64))[0] % np.uint64(layout.shards))
                 for part in range(n):
@@ -263,28 +263,18 @@ class Questions:
         return (context, size, at) if len(context) else None
 
 
-def _asked_bigrams(parts: DataFrame, totals: DataFrame, layout: Layout, shards: int, starts: int) -> DataFrame:
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = list(_messages(batches))
-        own = Slice(next(b for _, _, k, b in found if k == SLICE))
-        counts = _vocabulary_counts(own, [(s, b) for _, s, k, b in found if k == WORDS], shards, starts)
-        asked = Questions(own, layout)
-        order = np.argsort(own.vocab)
-        ordered = own.vocab[order]
-        for s in range(layout.shards):
-            if (mine := asked.of(s)) is None:
-                continue
-            context, size, at = mine
-            edge = context <= END
-            place = np.minimum(np.searchsorted(ordered, context), max(0, len(ordered) - 1))
-            total = np.where(edge, starts, counts[order[place]] if len(order) else starts)
-            successor = asked.successor[at]
-            yield _message(
-                found[0][0], s, BIGRAMS,
-                _pack(context, _least(total), _least(size), successor.astype(np.uint32), (successor >> np.uint64(32)).astype(np.uint8), _least(asked.count[at])),
-            )
+def _asked_bigrams(parts: DataFrame, layout: Layout) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slice_, _, _, body in _messages(batches):
+            asked = Questions(Slice(body), layout)
+            for s in range(layout.shards):
+                if (mine := asked.of(s)) is not None:
+                    context, size, at = mine
+                    successor = asked.successor[at]
+                    low, high = successor.astype(np.uint32), (successor >> np.uint64(32)).astype(np.uint8)
+                    yield _message(slice_, s, BIGRAMS, _pack(context, _least(size), low, high, _least(asked.count[at])))
 
-    return parts.union(totals).groupBy("slice").applyInArrow(run, MESSAGE)
+    return parts.mapInArrow(run, MESSAGE)
 
 
 class Trie:
@@ -340,19 +330,17 @@ class Trie:
         return kinds, code
 
 
-def _answered_bigrams(asked: DataFrame, params: NgramParams) -> DataFrame:
+def _answered_bigrams(asked: DataFrame, layout: Layout, params: NgramParams) -> DataFrame:
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = key[0].as_py()
         questions = []
         for slice_, _, _, body in _messages(batches):
-            context, total, size, low, high, count = _unpack(body)
-            questions.append((slice_, context, total, size.astype(np.int64), low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), count))
+            context, size, low, high, count = _unpack(body)
+            questions.append((slice_, context, size.astype(np.int64), low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), count))
         contexts = np.unique(np.concatenate([q[1] for q in questions]))
-        total = np.zeros(len(contexts), np.int64)
         keys, counts = [], []
-        for _, context, own_total, size, successor, count in questions:
+        for _, context, size, successor, count in questions:
             at = np.searchsorted(contexts, context)
-            total[at] = own_total
             trained = count > 0
             keys.append((np.repeat(at, size).astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successor)[trained])
             counts.append(count[trained].astype(np.int64))
@@ -363,9 +351,13 @@ def _answered_bigrams(asked: DataFrame, params: NgramParams) -> DataFrame:
         count = np.add.reduceat(count, first) if len(key) else count
         key = key[first]
         rank = (key >> np.uint64(SUCCESSOR_BITS)).astype(np.int64)
+        # A context is followed by a token each time it occurs; a split one has its count in the layout.
+        total = np.bincount(rank, weights=count, minlength=len(contexts))
+        for x, _, n in layout.hot:
+            total[contexts == np.uint64(x)] = n
         probability = (count - params.discount) / np.maximum(total[rank], 1)
         trie = Trie(Trie.written(contexts[rank], key & np.uint64((1 << SUCCESSOR_BITS) - 1), probability))
-        for slice_, context, _, size, successor, _ in questions:
+        for slice_, context, size, successor, _ in questions:
             kinds, code = trie.find(context, size, successor)
             yield _message(slice_, shard, BIGRAMS, _pack(_least(kinds), code))
 
@@ -398,11 +390,10 @@ def scored(docs: DataFrame, train, params: NgramParams = NgramParams()) -> DataF
         hot += list(zip(words.tolist(), counts.tolist()))
     # At most 1/limit contexts can be hot, whatever the corpus.
     limit = max(1.0, tokens / shards * params.hot_share)
-    hot = [(w, min(shards, int(c / limit) + 1)) for w, c in [*hot, (int(START), starts)] if c > limit]
+    hot = [(w, min(shards, int(c / limit) + 1), c) for w, c in [*hot, (int(START), starts)] if c > limit]
     layout = Layout(shards, tuple(sorted(hot)))
     totals = answers.where("kind >= 0")
-    asked = _asked_bigrams(parts, totals, layout, shards, starts)
-    bigrams = stored(_answered_bigrams(asked, params), "bigrams")
+    bigrams = stored(_answered_bigrams(_asked_bigrams(parts, layout), layout, params), "bigrams")
     rest = tokens + 0.5 * (kinds + 1)
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
