@@ -6,8 +6,8 @@ rules in an equi-join on the first four bytes of SHA-256, and the full digest
 confirms. The rule with the longest expression wins.
 
 Only distinct (host, start of path) keys are expanded, so a host that holds a
-third of all pages costs one expansion; keys then meet the pages in a join
-whose skewed side adaptive execution can split.
+third of all pages costs one expansion; the keys that a rule fits are stored
+and then meet the pages in a join whose skewed side adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavel.llm.tables import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX_HEX = 8  # four bytes
 
@@ -82,6 +84,8 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
         .groupBy("host", "__start")
         .agg(F.max(F.struct(F.col("host_length") + F.col("path_length"), "host_length", "rule", "kind")).alias("won"))
     )
+    # A table of its own: a small one is broadcast, and of a large one's join adaptive execution can split a hot host.
+    best = stored(best, "best_rules")
     return found.join(best, ["host", "__start"], "left").select(
         *[F.col(f"`{c}`") for c in rest], "host", "path", F.col("won.rule").alias("rule"),
         F.coalesce("won.kind", F.lit(default)).alias("verdict"),
