@@ -45,12 +45,12 @@ LEAST_BITS, MOST_BITS = 20, 27  # cells of a sketch row, as a power of two
 BYTES_A_CELL = 4  # bytes of text for a cell; a text has about one anchor in 20 bytes
 ROWS = 3
 BLOCK_BITS = 20  # cells that one row of the merge holds, as a power of two
-TASK_CELLS = 1 << 23  # cells after which a task hands on its sketch
+TASK_CELLS = 1 << 22  # cells after which a task hands on its sketch
 GAP = (1 << 14) - 1  # longest step between two cells of a handed-on list
 FILTER_BITS = 26  # bitmaps of doc_ids: 8 MB each
 # Odd multipliers, one a row.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-PART = 4 << 20  # text whose windows are held at a time
+PART = 3 << 20  # text whose words and windows are held at a time
 
 
 @dataclass(frozen=True)
@@ -201,7 +201,7 @@ def _wholes(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, words (digest of the word sequence) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, PART):
             words = [t.split() for t in texts_of(part).cast(pa.binary()).to_pylist()]
             digests = [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]
             yield pa.RecordBatch.from_arrays(
@@ -219,7 +219,7 @@ def _filtered(docs: DataFrame, columns: list[str], flags: np.ndarray, want: bool
     chosen = _chooser(flags, want)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(chosen(batches)):
+        for part in slices(chosen(batches), PART):
             yield part.select(columns)
 
     return _placed(docs).mapInArrow(run, schema)
@@ -337,11 +337,11 @@ def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams()
     chosen = _chooser(flags, False)
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(chosen(batches)):
+        for part in slices(chosen(batches), PART):
             yield result(part, None, np.zeros(part.num_rows, bool))
 
     def losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, PART):
             whole = pc.fill_null(part.column("__whole"), False).to_numpy(zero_copy_only=False)
             yield result(part, part.column("__places"), whole)
 
