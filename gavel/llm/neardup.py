@@ -250,6 +250,8 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
         own = own.join(named.join(least, "label").select("node", "component_id"), "node", "left").select(
             "node", F.coalesce("component_id", "class_id").alias("class_id")
         )
+    # A table of its own, so that adaptive execution can split a class that very many rows have.
+    own = stored(own, "components")
     out = rows.select("doc_id", "n_shingles", "node").join(own, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(

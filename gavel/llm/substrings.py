@@ -229,6 +229,7 @@ def copies_of(docs: DataFrame, params: SubstringParams) -> DataFrame:
     """doc_id of texts of a window or more that equal, word by word, a text with a smaller doc_id."""
     whole = stored(_wholes(docs), "wholes").where(F.col("n_words") >= params.window)
     first = whole.groupBy("words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
+    first = stored(first.select("words", "first"), "first_copies")
     return stored(whole.join(first, "words").where("doc_id > first").select("doc_id").distinct(), "copies")
 
 
