@@ -21,7 +21,10 @@ whose words also start in a text with a smaller doc_id.
 The sketch grows with the corpus up to 2**MOST_BITS cells a row, which bounds
 what is broadcast; beyond that more windows pass the filter and the exact pass,
 an aggregate and a join on the window's hash, does more of the work. The bitmaps
-of doc_ids are of a fixed size and only choose between two ways to one result.
+of rows are of a fixed size and only choose between two ways to one result.
+
+A row is named by doc_id and a hash of id and text: rows with one id and
+different texts are judged each by its own words.
 """
 
 from __future__ import annotations
@@ -47,7 +50,8 @@ ROWS = 3
 BLOCK_BITS = 20  # cells that one row of the merge holds, as a power of two
 TASK_CELLS = 1 << 22  # cells after which a task hands on its sketch
 GAP = (1 << 14) - 1  # longest step between two cells of a handed-on list
-FILTER_BITS = 26  # bitmaps of doc_ids: 8 MB each
+FILTER_BITS = 26  # bitmaps of rows: 8 MB each
+ROW = ["doc_id", "__row"]  # names a text of a doc_id
 # Odd multipliers, one a row.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 PART = 3 << 20  # text whose words and windows are held at a time
@@ -193,28 +197,38 @@ def _chooser(flags: np.ndarray | None, want: bool):
     return chosen
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """`docs` with __row, which tells the texts of one doc_id apart."""
+    return docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, __row, text of the rows that have both id and text."""
+    rows = _named(docs).where("doc_id is not null and text is not null")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "__row", "text")
+
+
 def _placed(docs: DataFrame, sure: bool = False) -> DataFrame:
-    return docs.withColumns({"__place": place_of(F.col("doc_id"), FILTER_BITS), "__sure": F.lit(sure)})
+    return docs.withColumns({"__place": place_of(F.col("__row"), FILTER_BITS), "__sure": F.lit(sure)})
 
 
 def _wholes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, words (digest of the word sequence) of every text."""
+    """doc_id, __row, n_words, words (digest of the word sequence) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, PART):
             words = [t.split() for t in texts_of(part).cast(pa.binary()).to_pylist()]
             digests = [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(w) for w in words], pa.int64()), pa.array(digests, pa.binary())],
-                ["doc_id", "n_words", "words"],
+                [part.column("doc_id"), part.column("__row"), pa.array([len(w) for w in words], pa.int64()), pa.array(digests, pa.binary())],
+                [*ROW, "n_words", "words"],
             )
 
-    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_words long, words binary")
+    return _texts(docs).mapInArrow(run, "doc_id long, __row long, n_words long, words binary")
 
 
 def _filtered(docs: DataFrame, columns: list[str], flags: np.ndarray, want: bool) -> DataFrame:
-    """Rows of `docs` whose doc_id the bitmap marks (or doesn't)."""
+    """Rows of `docs` whose __row the bitmap marks (or doesn't)."""
     schema = T.StructType([docs.schema[c] for c in columns])
     chosen = _chooser(flags, want)
 
@@ -226,24 +240,24 @@ def _filtered(docs: DataFrame, columns: list[str], flags: np.ndarray, want: bool
 
 
 def copies_of(docs: DataFrame, params: SubstringParams) -> DataFrame:
-    """doc_id of texts of a window or more that equal, word by word, a text with a smaller doc_id."""
+    """doc_id, __row of texts of a window or more that equal, word by word, a text with a smaller doc_id."""
     whole = stored(_wholes(docs), "wholes").where(F.col("n_words") >= params.window)
     first = whole.groupBy("words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
     first = stored(first.select("words", "first"), "first_copies")
-    return stored(whole.join(first, "words").where("doc_id > first").select("doc_id").distinct(), "copies")
+    return stored(whole.join(first, "words").where("doc_id > first").select(*ROW).distinct(), "copies")
 
 
 def repeated_ranges(docs: DataFrame, copies: DataFrame, params: SubstringParams = SubstringParams()) -> DataFrame:
-    """doc_id, places: where windows start in a text whose words start in a text with a smaller doc_id, too.
+    """doc_id, __row, places: where windows start in a text whose words start in a text with a smaller doc_id, too.
 
     Texts named in `copies` are left out: an equal text stands for them.
     """
-    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = _texts(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = _bits(size)
-    flags = bitmap(copies, FILTER_BITS)
+    flags = bitmap(copies.select("__row"), FILTER_BITS)
     # Texts that the bitmap takes for copies and that aren't: few, and put back exactly.
-    strays = stored(_filtered(rows, ["doc_id", "text"], flags, True).join(copies, "doc_id", "left_anti"), "strays")
+    strays = stored(_filtered(rows, [*ROW, "text"], flags, True).join(copies, ROW, "left_anti"), "strays")
     rows = _placed(rows).union(_placed(strays, True))
     chosen = _chooser(flags, False)
     cells = rows.sparkSession.sparkContext.broadcast(repeated_cells(rows, bits, params, chosen))
@@ -257,14 +271,14 @@ def repeated_ranges(docs: DataFrame, copies: DataFrame, params: SubstringParams
             one, two = found.keys(which)
             doc = found.doc[which]
             place = found.at[which] - found.words.start[doc]
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, own = (part.column(c).to_numpy(zero_copy_only=False) for c in ROW)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(one), pa.array(two), pa.array(ids[doc]), pa.array(place.astype(np.int32))],
-                ["one", "two", "doc_id", "place"],
+                [pa.array(one), pa.array(two), pa.array(ids[doc]), pa.array(own[doc]), pa.array(place.astype(np.int32))],
+                ["one", "two", *ROW, "place"],
             )
 
     # Made twice, for the aggregate and for the join: cheaper than storing every window.
-    passed = rows.mapInArrow(windows, "one long, two int, doc_id long, place int")
+    passed = rows.mapInArrow(windows, "one long, two int, doc_id long, __row long, place int")
     first = (
         passed.groupBy("one", "two")
         .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
@@ -275,7 +289,7 @@ def repeated_ranges(docs: DataFrame, copies: DataFrame, params: SubstringParams
     first = stored(first, "first")
     later = passed.join(first, ["one", "two"]).where(F.col("doc_id") > F.col("first"))
     # One text's places at most: bounded by the text itself.
-    return stored(later.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
+    return stored(later.groupBy(*ROW).agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
 
 
 def _kept(texts: pa.Array, places: pa.Array | None, whole: np.ndarray, window: int) -> Iterator[tuple[int, list[bytes], np.ndarray | None]]:
@@ -287,8 +301,6 @@ def _kept(texts: pa.Array, places: pa.Array | None, whole: np.ndarray, window: i
         elif places is not None and places[i].is_valid:
             gone = np.zeros(len(words) + 1, np.int32)
             at = places[i].values.to_numpy(zero_copy_only=False)
-            # Rows that repeat a doc_id with another text may have places beyond their own end.
-            at = at[at + window <= len(words)]
             np.add.at(gone, at, 1)
             np.add.at(gone, at + window, -1)
             yield len(words), words, np.cumsum(gone[:-1]) > 0
@@ -302,9 +314,10 @@ def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams()
     Windows are judged on the input. Null texts have no words (and stay null
     in `text_out`); texts shorter than a window, and rows without doc_id, lose
     nothing; of equal texts the one with the smallest doc_id stays whole. Rows
-    that repeat a doc_id are one document. A text that loses nothing stays as
-    it is; otherwise its kept words are joined by one space. An empty table
-    gives an empty result.
+    that repeat a doc_id take nothing from each other, and each loses what its
+    own text shares with smaller doc_ids. A text that loses nothing stays as it
+    is; otherwise its kept words are joined by one space. An empty table gives
+    an empty result.
     """
     names = ["n_words", "n_removed", "kept_sha256"]
     carried = [c for c in docs.columns if c not in names and (text_out or c != "text")]
@@ -312,12 +325,13 @@ def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams()
     schema = T.StructType([docs.schema[c] for c in carried] + list(added))
     copies = copies_of(docs, params)
     places = repeated_ranges(docs, copies, params)
-    losing = copies.select("doc_id", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("places")).union(
-        places.select("doc_id", F.lit(False).alias("whole"), "places")
+    losing = copies.select(*ROW, F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("places")).union(
+        places.select(*ROW, F.lit(False).alias("whole"), "places")
     )
-    losing = losing.groupBy("doc_id").agg(F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places"))
-    flags = bitmap(losing, FILTER_BITS)
-    columns = carried if text_out else carried + ["text"]
+    losing = losing.groupBy(*ROW).agg(F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places"))
+    flags = bitmap(losing.select("__row"), FILTER_BITS)
+    columns = carried + ["__row"] if text_out else carried + ["text", "__row"]
+    rows = _named(docs)
 
     def result(part: pa.RecordBatch, places: pa.Array | None, whole: np.ndarray) -> pa.RecordBatch:
         count, removed, digests, new = [], [], [], []
@@ -346,6 +360,8 @@ def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams()
             whole = pc.fill_null(part.column("__whole"), False).to_numpy(zero_copy_only=False)
             yield result(part, part.column("__places"), whole)
 
-    lost = losing.select(F.col("doc_id").alias("__id"), F.col("whole").alias("__whole"), F.col("places").alias("__places"))
-    touched = _filtered(docs, columns, flags, True).join(lost, F.col("doc_id") == F.col("__id"), "left").drop("__id")
-    return _placed(docs.select(*columns)).mapInArrow(untouched, schema).union(touched.mapInArrow(losers, schema))
+    lost = losing.select(F.col("doc_id").alias("__id"), "__row", F.col("whole").alias("__whole"), F.col("places").alias("__places"))
+    touched = _filtered(rows, columns, flags, True).alias("d").join(
+        lost.alias("l"), (F.col("d.doc_id") == F.col("l.__id")) & (F.col("d.__row") == F.col("l.__row")), "left"
+    ).select("d.*", "__whole", "__places")
+    return _placed(rows.select(*columns)).mapInArrow(untouched, schema).union(touched.mapInArrow(losers, schema))

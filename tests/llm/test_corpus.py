@@ -12,7 +12,7 @@ from gavel.llm import neardup, neighbours, ngrams, oracles, queries, substrings
 from gavel.llm.eliasfano import EliasFano
 from gavel.llm.tables import components
 from tests.llm import brute
-from tests.llm.conftest import prose
+from tests.llm.conftest import DOCS, prose
 
 
 def test_elias_fano():
@@ -108,6 +108,18 @@ def test_substrings(docs, odd_texts, none):
         assert (r.text == texts[r.doc_id]) if r.n_removed == 0 else (len(brute.words(r.text)) == r.n_words - r.n_removed)
 
 
+def test_substrings_one_id_two_texts(spark):
+    """A row loses what its own text shares with smaller ids, whatever other rows of its id have."""
+    copied, own, passage, tail = prose(1, 40), prose(2, 40), prose(3, 20), prose(4, 30)
+    rows = [(1, copied), (5, copied), (5, own), (9, own), (2, passage), (7, passage + " " + tail), (7, prose(5, 60)), (None, own), (5, own)]
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), text_out=True).collect()
+    found = sorted((r.doc_id or -1, r.n_words, r.n_removed, r.text) for r in got)
+    assert found == sorted([
+        (1, 40, 0, copied), (5, 40, 40, ""), (5, 40, 0, own), (5, 40, 0, own), (9, 40, 40, ""), (2, 20, 0, passage),
+        (7, 50, 20, tail), (7, 60, 0, prose(5, 60)), (-1, 40, 0, own),
+    ])
+
+
 def test_substrings_survive_a_full_sketch(docs, odd_texts, monkeypatch):
     """With next to no cells every window passes the filter, and the result is the same."""
     monkeypatch.setattr(substrings, "_bits", lambda size: 5)
@@ -185,6 +197,14 @@ def test_pipeline(spark, sf_dir):
     assert {r.doc_id for r in rows} == set(after)
 
 
+def test_pipeline_passages_odd_ids(spark, sf_dir):
+    """A text that only another row of its id copies stays whole."""
+    a, b = prose(1, 50), prose(2, 50)
+    docs = spark.createDataFrame([(1, a, None, "", len(a)), (5, a, None, "", len(a)), (5, b, None, "", len(b))], DOCS)
+    found = sorted((r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.passages(spark, docs, sf_dir).collect())
+    assert found == [(1, a, len(a)), (5, "", 0), (5, b, len(b))]
+
+
 def test_pipeline_of_nothing(spark, none, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, sf_dir).count() == 0
