@@ -31,10 +31,22 @@ def repetition(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group (shingles of five words, similarity 0.8)."""
-    found = neardup.near_duplicates(docs.select("doc_id", "text"), neardup.NearParams(words=5))
-    gone = stored(found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)  # rows without id can't be named and stay
+    """Keeps one row of each group (shingles of five words, similarity 0.8).
+
+    It is the row with the smallest doc_id; a row without id stays only if its
+    whole group has none, and of rows with one id the least digest of the text
+    decides. Groups are of rows, numbered in a stored table, so ids may repeat
+    or lack. Rows without words are no group and all stay.
+    """
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = neardup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), neardup.NearParams(words=5))
+    found = stored(found.select(F.col("doc_id").alias("__row"), "component_id"), "groups")
+    # The digest is taken where the text is, so that no text is shuffled for it.
+    keys = rows.select("__row", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "__row")
+    first = keys.join(found, "__row").groupBy("component_id").agg(F.min(order).alias("first")).select("first.__row")
+    gone = stored(found.select("__row").join(first, "__row", "left_anti"), "dropped")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

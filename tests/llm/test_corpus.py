@@ -197,6 +197,17 @@ def test_pipeline(spark, sf_dir):
     assert {r.doc_id for r in rows} == set(after)
 
 
+def test_pipeline_near_duplicates_odd_ids(spark, sf_dir):
+    """One row of each group stays, also with repeated or null ids, and no other row goes."""
+    a, b, c, d, e = (prose(i, 50) for i in range(1, 6))
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, c), (6, c), (None, d), (None, d), (None, e), (8, e), (None, None), (9, ""), (9, "")]
+    docs = spark.createDataFrame([(i, t, None, f"s{k}", 0) for k, (i, t) in enumerate(rows)], DOCS).repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    found = sorted(((r.doc_id or -1, r.text or "") for r in out.collect()))
+    assert found == sorted([(1, a), (5, b), (6, c), (-1, d), (8, e), (-1, ""), (9, ""), (9, "")])
+
+
 def test_pipeline_passages_odd_ids(spark, sf_dir):
     """A text that only another row of its id copies stays whole."""
     a, b = prose(1, 50), prose(2, 50)
