@@ -93,7 +93,7 @@ def importances(t: Tables):
 
 def permuted(t: Tables):
     rows = modelled(t)
-    return wm.permutation_importance(fitted(rows), rows, ["bid", "cashvalue", "prevusers"])
+    return wm.permutation_importance(fitted(rows), rows)
 
 
 def shuffled_sums(t: Tables):

@@ -237,31 +237,42 @@ def feature_importances(fitted: WinModel, df: DataFrame) -> DataFrame:
     return out.withColumn("group", feature_group(F.col("feature"))).orderBy(F.desc("importance"), "feature")
 
 
+def _ranked(rows: DataFrame, keys: list[str], salt: int, name: str) -> DataFrame:
+    """`rows` with their place in a pseudo-random order: a running count in hash ranges."""
+    hashed = rows.withColumn("_h", random_order(keys, salt)).withColumn("_hb", _bucket(F.col("_h")))
+    return running(hashed, [], ["_hb"], ["_h", *keys], {name: F.lit(1)}).drop("_h", "_hb")
+
+
 def shuffled_column(df: DataFrame, col: str, keys: list[str], seed: int) -> DataFrame:
     """`df` with one column permuted.
 
-    Rows are ranked by two different hashes, each rank a running count in hash
-    ranges; row i of the one order takes the value of row i of the other.
+    Rows are ranked by two different hashes; row i of the one order takes the
+    value of row i of the other.
     """
-
-    def ranked(rows: DataFrame, salt: int) -> DataFrame:
-        hashed = rows.withColumn("_h", random_order(keys, salt)).withColumn("_hb", _bucket(F.col("_h")))
-        return running(hashed, [], ["_hb"], ["_h", *keys], {"_at": F.lit(1)}).drop("_h", "_hb")
-
-    values = ranked(df.select(*keys, F.col(col).alias("_v")), seed + 1).select("_at", "_v")
-    rest = ranked(df, seed).drop(col)
+    values = _ranked(df.select(*keys, F.col(col).alias("_v")), keys, seed + 1, "_at").select("_at", "_v")
+    rest = _ranked(df, keys, seed, "_at").drop(col)
     return rest.join(values, "_at").withColumnRenamed("_v", col).select(*df.columns)
 
 
-def permutation_importance(fitted: WinModel, df: DataFrame, cols: list[str], seed: int = 7) -> DataFrame:
-    """Loss of accuracy when one column is shuffled, for each column."""
-    hit = (F.col("predicted") == F.col(fitted.label)).cast("double")
-    base = fitted.score(df, calibrated=False).agg(F.avg(hit).alias("base"))
-    parts = None
-    for col in cols:
-        scored = fitted.score(shuffled_column(df, col, fitted.KEYS, seed), calibrated=False)
-        one = scored.agg(F.avg(hit).alias("shuffled")).select(F.lit(col).alias("feature"), "shuffled")
-        parts = one if parts is None else parts.unionByName(one)
+def permutation_importance(fitted: WinModel, df: DataFrame, cols: list[str] | None = None, seed: int = 7) -> DataFrame:
+    """Loss of accuracy when one feature is shuffled, for each feature (all of the model by default).
+
+    Rows are ranked by two hashes once and written; row i of the one order meets
+    row i of the other, and is scored once a feature, with that feature's value
+    from the other row.
+    """
+    cols = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES] if cols is None else cols
+    keys = fitted.KEYS
+    ranked = written(_ranked(_ranked(df, keys, seed, "_at"), keys, seed + 1, "_from"), "ranked")
+    rows = impute(model_features(ranked)).select(
+        *dict.fromkeys(["_at", "_from", fitted.label, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES])
+    )
+    other = rows.select(F.col("_from").alias("_at"), F.struct(*cols).alias("_other"))
+    each = rows.join(other, "_at").withColumn("feature", F.explode(F.array(*[F.lit(c) for c in cols])))
+    each = each.withColumns({c: F.when(F.col("feature") == c, F.col(f"_other.{c}")).otherwise(F.col(c)) for c in cols})
+    hit = (F.col("prediction").cast("boolean") == F.col(fitted.label)).cast("double")
+    base = fitted.model.transform(rows).agg(F.avg(hit).alias("base"))
+    parts = fitted.model.transform(each).groupBy("feature").agg(F.avg(hit).alias("shuffled"))
     return parts.select(
         "feature", base.scalar().alias("accuracy"), "shuffled", (base.scalar() - F.col("shuffled")).alias("importance")
     )

@@ -5,12 +5,15 @@ import random
 
 from pyspark.sql import functions as F
 
+from gavel.catalog import modelling
+from gavel.catalog.tables import Tables
 from gavel.functions import scalar
 from gavel.functions.titles import parse_titles
 from gavel.model import win_model as wm
 from gavel.operators import evaluation as ev
 from gavel.operators import exploration as x
 from gavel.operators.blocks import running
+from gavel.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 SCORED = "auctionid long, bid int, is_winner boolean, cashvalue int, fee double, is_bidomatic boolean, prob double"
 
@@ -156,3 +159,18 @@ def test_voucher_value_rounds_away_from_zero(spark):
     df = spark.createDataFrame([(4, 75), (1, 0), (75, 50)], "cash int, card int")
     got = [r[0] for r in df.select(scalar.voucher_value(F.col("cash"), F.col("card"))).collect()]
     assert got == [-178, 3, 63]
+
+
+def test_permutation_importance_of_every_feature(spark):
+    """All features in one job, equal to shuffling and scoring a column by itself."""
+    rows = modelling.modelled(Tables(spark, "/root/testdata/sf0.01"))
+    model = modelling.fitted(rows)
+    got = {r.feature: r for r in wm.permutation_importance(model, rows).collect()}
+    assert set(got) == {*NUMERIC_FEATURES, *CATEGORICAL_FEATURES}
+    hit = F.avg((F.col("predicted") == F.col("is_winner")).cast("double"))
+    accuracy = model.score(rows).agg(hit).first()[0]
+    for col in ("cashvalue", "prevusers", "is_bidomatic0"):
+        alone = model.score(wm.shuffled_column(rows, col, model.KEYS, 7)).agg(hit).first()[0]
+        r = got[col]
+        assert math.isclose(r.accuracy, accuracy) and math.isclose(r.shuffled, alone)
+        assert math.isclose(r.importance, accuracy - alone, abs_tol=1e-12)
