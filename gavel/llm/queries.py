@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import bpe, language, neardup, neighbours, ngrams, packing, quality, substrings, tokenfile, urls
+from gavel.llm import (
+    bpe, language, neardup, neighbours, ngrams, packing, phrases, prefixtrie, quality, simhash, substrings, tokenfile, urls,
+)
 from gavel.session import work_folder
 
 
@@ -74,6 +76,18 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_scores": op1_ngram_scores,
     "op2_near_duplicates": op2_near_duplicates,
@@ -85,4 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repetition": op8_repetition,
     "op9_urls": op9_urls,
     "op10_neighbours": op10_neighbours,
+    "op11_collocations": op11_collocations,
+    "op12_simhash": op12_simhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -120,3 +122,83 @@ def ngram_scores(rows, trains, discount: float = 0.75) -> dict:
             score += math.log10(mine + (discount * followers[a] / c if c else 1.0) * p)
         out[i] = (len(own), sum(count[w] > 0 for w in own), total, base, score)
     return out
+
+
+def fingerprint(text: str | None, n: int = 3) -> int:
+    own = words(fold(text))
+    grams = [own[i : i + n] for i in range(len(own) - n + 1)] or ([own] if own else [])
+    hashes = [xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components_within(prints, distance: int) -> dict:
+    """print -> the least print reachable over links of at most `distance` bits"""
+    prints = sorted(set(prints))
+    label = {x: x for x in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (a ^ b).bit_count() <= distance and label[b] < label[a]:
+                    label[a], changed = label[b], True
+    return label
+
+
+def collocations(rows, least: int = 30, longest: int = 4, top: int = 2000) -> list:
+    """rows (lang, text) -> (lang, rank, phrase, a, l, r, n, score)"""
+    count, size = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", fold(text)):
+            own = re.findall(r"[^\x20\x09]+", piece)
+            size[lang] += len(own)
+            for m in range(1, longest + 1):
+                count.update((lang, tuple(own[i : i + m])) for i in range(len(own) - m + 1))
+    found = {k: a for k, a in count.items() if len(k[1]) > 1 and a >= least}
+    longer = Counter()
+    for (lang, w), a in found.items():
+        for m in range(2, len(w)):
+            for i in range(len(w) - m + 1):
+                longer[lang, w[i : i + m]] = max(longer[lang, w[i : i + m]], a)
+    by_lang = defaultdict(list)
+    for (lang, w), a in found.items():
+        if 100 * longer[lang, w] >= 80 * a:
+            continue
+        cuts = [(2_000_000 * a // (count[lang, w[:k]] + count[lang, w[k:]]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        by_lang[lang].append((-score, -a, " ".join(w).encode(), count[lang, w[:k]], count[lang, w[k:]]))
+    return sorted(
+        (lang, i + 1, p.decode(), -a, l, r, size[lang], -score)
+        for lang, own in by_lang.items() for i, (score, a, p, l, r) in enumerate(sorted(own)[:top])
+    )
+
+
+def trie(rows, group: int = 20) -> list:
+    """rows (conv_id, turn, role, text) -> the contract's columns in order"""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            own[c].append(((turn is not None, turn or 0), tie, (role, text)))
+    own = {c: [x[2] for x in sorted(v)] for c, v in own.items()}
+    members, ends, kids = defaultdict(list), defaultdict(list), Counter()
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - math.copysign(abs(c) % group, c)
+        s = tuple(own.get(base, [])[:h] + own[c][h:])
+        for d in range(len(s) + 1):
+            members[s[:d]].append(c)
+        ends[s].append(c)
+    kids.update(s[:-1] for s in members if s)
+    leaves, saved = Counter(), Counter()
+    for s, m in members.items():
+        x = (len(m) - 1) * len(words(s[-1][1])) if s else 0
+        for d in range(len(s) + 1):
+            saved[s[:d]] += x
+            leaves[s[:d]] += not kids[s]
+    return sorted(
+        (m[0], len(s), members[s[:-1]][0] if s else None, len(m), kids[s], leaves[s], saved[s],
+         hashlib.sha256(",".join(map(str, ends[s])).encode()).hexdigest()) for s, m in list(members.items())
+    )
