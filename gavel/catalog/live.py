@@ -10,8 +10,9 @@ from gavel.catalog.parsing import messages
 from gavel.catalog.projections import board, upcoming_list
 from gavel.catalog.tables import Tables
 from gavel.functions import scalar
+from gavel.operators.evaluation import live_expected
 from gavel.operators.exploration import rounded
-from gavel.schemas import HISTORY_COLUMNS
+from gavel.schemas import HISTORY_COLUMNS, LIVE_STATE
 from gavel.session import written
 from gavel.streaming import feed, live, run
 
@@ -83,7 +84,7 @@ def auction_rows(t: Tables):
     states = states.join(
         t.auctions.select(F.col("qauctionid").cast("string").alias("auction_id"), (F.col("runtime") % 600).alias("sl"), F.col("auctiontime").alias("now")),
         "auction_id",
-    ).withColumns({"opponents": F.array().cast(live.LIVE_STATE["opponents"].dataType), "prevusers": F.lit(0)})
+    ).withColumns({"opponents": F.array().cast(LIVE_STATE["opponents"].dataType), "prevusers": F.lit(0)})
     rows = live.live_features(states, t.auctions, now=F.col("now"))
     return rows.select("auctionid", "bid", "auctiontime", "fee", "is_winner", "is_locked", "username", "is_bidomatic")
 
@@ -111,14 +112,42 @@ def own_bids(t: Tables):
     return live.own_last_bids(states, ME).select("auction_id", "my_bid", "n_bids", "last_user", "prevusers")
 
 
+def streamed_own_bids(t: Tables):
+    """The same rows as the stream sends them when it reaches a bid of mine."""
+    folder = t.folder("live")
+    run.write_feed(whole_feed(t), f"{folder}/feed")
+    run.track(t.spark, f"{folder}/feed", folder, ME)
+    rows = run.emitted_states(t.spark, folder).where("my_bid IS NOT NULL")
+    return rows.select("auction_id", "my_bid", "n_bids", "last_user", "prevusers")
+
+
+def pseudo_values(rows):
+    """Expected values from the pseudo-probability of the next bid."""
+    prob = lambda bom: ((F.col("auctionid") * 31 + F.col("bid") * 17 + bom) % 100) / F.lit(100.0)
+    return live_expected(rows.withColumns({"bom_proba": prob(1), "manual_proba": prob(0)}))
+
+
+def valued_board(t: Tables):
+    """One streaming query from messages to a board with features, history and both expected values."""
+    folder = t.folder("live")
+    run.write_feed(whole_feed(t), f"{folder}/feed")
+    rows = run.valued_rows(written(t.auctions, "auctions"), written(snapshot(t), "snapshot"), pseudo_values, ME)
+    board = run.track(t.spark, f"{folder}/feed", folder, ME, valued=rows)[1]
+    return board.select(
+        *STATE, "is_live", "username0", "distance0", "prev_is_new_user0", rounded(F.col("prev_auction_count0")).alias("prev_auction_count0"),
+        rounded(F.col("prev_bids0")).alias("prev_bids0"), "username3", rounded(F.col("prev_bids3")).alias("prev_bids3"),
+        *[rounded(F.col(c)).alias(c) for c in ("potential_profit", "bom_ev", "manual_ev")],
+    )
+
+
 def replaced_upcoming(t: Tables):
-    """Two lists arrive; the later one is the current one."""
+    """Two lists arrive in several files each, the later one first in part; the later whole list is the current one."""
     folder = t.folder("upcoming")
-    everything = upcoming_list(t).coalesce(1)
-    everything.write.mode("append").json(f"{folder}/lists")
-    later = live.upcoming_candidates(everything, t.auctions.select(F.col("qauctionid").cast("string").alias("auctionid")))
-    later.coalesce(1).write.mode("append").json(f"{folder}/lists")
-    return run.replace_latest(t.spark, f"{folder}/lists", everything.schema, f"{folder}/out", live.upcoming_sink)
+    everything = live.listed(upcoming_list(t), 1)
+    later = live.listed(live.upcoming_candidates(upcoming_list(t), t.auctions.select(F.col("qauctionid").cast("string").alias("auctionid"))), 2)
+    for rows in (everything, later):
+        rows.repartition(3, "auctionid").write.mode("append").json(f"{folder}/lists")
+    return run.replace_latest(t.spark, f"{folder}/lists", everything.schema, f"{folder}/out")
 
 
 def live_values(t: Tables):
@@ -166,7 +195,9 @@ QUERIES = {
     "l08_snapshot_join": with_snapshot,
     "l09_emit_on_change": emitted,
     "l10_current_board": current_board,
+    "l10_valued_board": valued_board,
     "l11_state_before_own_bid": own_bids,
+    "l11_stream_state_before_own_bid": streamed_own_bids,
     "l12_upcoming_replaced": replaced_upcoming,
     "l13_first_on_board": lambda t: live.first_on_board(
         board(t).withColumn("bom_ev", F.when(F.col("is_live"), F.col("bom_ev")))

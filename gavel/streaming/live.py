@@ -6,13 +6,8 @@ with windows; `live_states` keeps the same facts as streaming state.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gavel.functions import scalar
 from gavel.operators.bid_features import bid_transform
@@ -20,168 +15,17 @@ from gavel.operators.blocks import WIDTH, block_of, running
 from gavel.operators.evaluation import live_expected
 from gavel.operators.history import lookup
 from gavel.operators.opponents import recent_users
-from gavel.schemas import FEATURE_COLUMNS, HISTORY_COLUMNS, OPPONENTS
+from gavel.schemas import FEATURE_COLUMNS, HISTORY_COLUMNS, OPPONENT_STATE, OPPONENTS
+from gavel.streaming.tracker import FIRST_SECONDS_LEFT, tracked_states
 
 # The account that bids, by default; fixed value: how far the site clock is behind.
 MY_USERNAME = "me"
 CLOCK_OFFSET_HOURS = -4
-FIRST_SECONDS_LEFT = 350
-
-OPPONENT_STATE = T.StructType(
-    [
-        T.StructField("username", T.StringType()),
-        T.StructField("bid", T.IntegerType()),
-        T.StructField("is_bidomatic", T.BooleanType()),
-        T.StructField("bids_so_far", T.LongType()),
-        T.StructField("bom_bids_so_far", T.LongType()),
-        T.StructField("bom_streak", T.LongType()),
-    ]
-)
-LIVE_STATE = T.StructType(
-    [
-        T.StructField("auction_id", T.StringType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("n_bids", T.LongType()),
-        T.StructField("last_bid", T.IntegerType()),
-        T.StructField("last_user", T.StringType()),
-        T.StructField("sl", T.IntegerType()),
-        T.StructField("is_live", T.BooleanType()),
-        T.StructField("complete", T.BooleanType()),
-        T.StructField("prevusers", T.LongType()),
-        T.StructField("opponents", T.ArrayType(OPPONENT_STATE)),
-    ]
-)
-_KEPT = T.StructType(
-    [
-        T.StructField("n_bids", T.LongType()),
-        T.StructField("last_bid", T.IntegerType()),
-        T.StructField("sl", T.IntegerType()),
-        T.StructField("is_live", T.BooleanType()),
-        T.StructField("usernames", T.ArrayType(T.StringType())),
-        T.StructField("numbers", T.ArrayType(T.ArrayType(T.LongType()))),
-        T.StructField("seq", T.LongType()),
-        T.StructField("complete", T.BooleanType()),
-    ]
-)
-
-
-class _Auction:
-    """What is known of one live auction. Users are kept latest bid last."""
-
-    def __init__(self, kept: tuple | None) -> None:
-        n, last, sl, live, names, numbers, seq, done = kept or (0, 0, FIRST_SECONDS_LEFT, False, [], [], -1, False)
-        self.n, self.last, self.sl, self.live = int(n), int(last), int(sl), bool(live)
-        self.seq, self.complete = int(seq), bool(done)
-        self.users = {u: [int(x) for x in row] for u, row in zip(names, numbers)}
-
-    def take(self, message) -> None:
-        """One message: unseen bids are appended oldest first while they follow on."""
-        if message.kind == "live":
-            self.live = True
-            return
-        if pd.notna(message.sl):  # a message without a countdown leaves the last one
-            self.sl = int(message.sl)
-        for event in reversed([] if message.bh is None else list(message.bh)):
-            if event is None or event["id"] is None or event["u"] is None:
-                continue
-            bid, user, bom = int(event["id"]), event["u"], event["t"] == 2
-            if self.n and bid != self.last + 1:
-                continue
-            _, bids, boms, streak, _ = self.users.pop(user, [0, 0, 0, 0, 0])
-            self.users[user] = [bid, bids + 1, boms + bom, streak + 1 if bom else 0, int(bom)]
-            self.n, self.last = self.n + 1, bid
-
-    def kept(self) -> tuple:
-        return (
-            self.n, self.last, self.sl, self.live, list(self.users), list(self.users.values()), self.seq, self.complete,
-        )
-
-    def closed(self) -> tuple:
-        """What stays of a complete auction: enough to ignore whatever still comes."""
-        return self.n, self.last, self.sl, self.live, [], [], self.seq, True
-
-    def row(self, auction_id: str, seq: int, me: str, complete: bool) -> dict:
-        others = [(u, v) for u, v in reversed(self.users.items()) if u != me]
-        return {
-            "auction_id": auction_id,
-            "seq": seq,
-            "n_bids": self.n,
-            "last_bid": self.last if self.n else None,
-            "last_user": next(reversed(self.users), None),
-            "sl": self.sl,
-            "is_live": self.live,
-            "complete": complete,
-            "prevusers": len(others),
-            "opponents": [
-                {
-                    "username": u, "bid": v[0], "is_bidomatic": bool(v[4]), "bids_so_far": v[1],
-                    "bom_bids_so_far": v[2], "bom_streak": v[3],
-                }
-                for u, v in others[:OPPONENTS]
-            ],
-        }
 
 
-def _advance(me: str, every: bool, idle: str | None):
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        auction_id = key[0]
-        auction = _Auction(state.get if state.exists else None)
-        fresh, before = not state.exists, (auction.n, auction.live)
-        rows, seq, done = [], auction.seq, False
-        if auction.complete:
-            return
-        messages = pd.concat(list(batches)).sort_values("seq")
-        for message in messages.itertuples(index=False):
-            if int(message.seq) <= auction.seq:
-                continue  # late or repeated: a later message has been taken already
-            seq = auction.seq = int(message.seq)
-            if message.kind == "complete":
-                done = True
-                break
-            was = (auction.n, auction.live)
-            auction.take(message)
-            if every and (auction.n, auction.live) != was:
-                rows.append(auction.row(auction_id, seq, me, False))
-        if done:
-            state.update(auction.closed())
-            if idle:
-                state.setTimeoutDuration(idle)
-            rows.append(auction.row(auction_id, seq, me, True))
-        else:
-            state.update(auction.kept())
-            if idle:
-                state.setTimeoutDuration(idle)
-            changed = (auction.n, auction.live) != before or auction.n == 0
-            if not every and (changed or fresh):
-                rows.append(auction.row(auction_id, seq, me, False))
-        if rows:
-            yield pd.DataFrame(rows, columns=LIVE_STATE.names)
-
-    return step
-
-
-def live_states(
-    parsed: DataFrame, me: str = MY_USERNAME, every: bool = False, idle: str | None = None
-) -> DataFrame:
-    """Streaming state per auction; a row whenever its bids or live flag change.
-
-    Messages are taken by `seq`; one at or before the last taken `seq` is
-    ignored, and so is everything after the sold mark, in the same trigger or a
-    later one. A bid is appended only if it follows the last one, so repeats
-    and late bids drop and a gap freezes the list. A message without countdown
-    or bid history changes what it has. `every` emits after each message
-    instead of once per trigger; `idle` (such as "1 hour") forgets auctions
-    that never complete, and the marks of those that did.
-    """
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
-    return (
-        parsed.select("auction_id", "seq", "kind", "sl", "bh")
-        .groupBy("auction_id")
-        .applyInPandasWithState(_advance(me, every, idle), LIVE_STATE, _KEPT, "update", timeout)
-    )
+def live_states(parsed: DataFrame, me: str = MY_USERNAME, every: bool = False, idle_ms: int | None = None) -> DataFrame:
+    """Streaming state per auction; a row whenever its bids or live flag change (see `tracked_states`)."""
+    return tracked_states(parsed, me, every, idle_ms).where(F.col("my_bid").isNull()).drop("my_bid")
 
 
 def tracking_ok() -> Column:
@@ -249,8 +93,9 @@ def live_features(
 ) -> DataFrame:
     """The feature row for the next bid of each state, padded to four opponents.
 
-    `auctions` and `snapshot` are static: with a stream this is a stream-static
-    join. The next bid is one more than the bids kept, even after a gap.
+    `auctions` and `snapshot` are static, `states` may be a stream; a batch of
+    states is joined with the snapshot once for all its opponents. The next bid
+    is one more than the bids kept, even after a gap.
     """
     info = auctions.select(
         F.col("qauctionid").cast("string").alias("auction_id"),
@@ -269,8 +114,11 @@ def live_features(
         attributes[f"perc_to_bin{i}"] = scalar.perc_to_bin(e["bids_so_far"], F.col("cashvalue"))
     out = out.withColumns(attributes)
     if snapshot is not None:
-        for i in range(OPPONENTS):
-            out = _with_history(out, snapshot, i)
+        if states.isStreaming:
+            for i in range(OPPONENTS):
+                out = _with_history(out, snapshot, i)
+        else:
+            out = _with_histories(out, snapshot)
     unknown = {
         "is_winner": "boolean", "bids_so_far": "long", "giveup": "boolean", "eventual_bids": "long",
         "eventual_win_price": "int", "debut": "int", "bom_streak": "long", "bom_bids_so_far": "long",
@@ -304,6 +152,17 @@ def _with_history(df: DataFrame, snapshot: DataFrame, i: int) -> DataFrame:
     )
 
 
+def _with_histories(df: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """The same for all opponents of a batch: one row per seat meets the snapshot, then seats are gathered by place."""
+    names = ["prev_is_new_user", *HISTORY_COLUMNS]
+    key = ["auction_id", "seq" if "seq" in df.columns else "n_bids"]
+    seats = df.select(*key, F.posexplode("opponents").alias("place", "e")).select(*key, "place", "e.username")
+    known = lookup(seats, snapshot.select("username", *[f"{c}0" for c in HISTORY_COLUMNS]))
+    gathered = known.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("place", *names))).alias("_seats"))
+    cells = [F.get("_seats", F.lit(i))[c].alias(f"{c}{i}") for i in range(OPPONENTS) for c in names]
+    return df.join(gathered, key, "left").select(*df.columns, *cells)
+
+
 def scenarios(features: DataFrame) -> DataFrame:
     """Each row twice: the next bid by the bidomatic, and by hand."""
     return features.withColumn("is_bidomatic", F.explode(F.array(F.lit(True), F.lit(False))))
@@ -334,34 +193,69 @@ def merge_board(board: DataFrame, batch: DataFrame) -> DataFrame:
     return kept.unionByName(new.select(*board.columns)).where(~F.coalesce("complete", F.lit(False)))
 
 
+# Board versions take turns in so many folders: the one before is whole while the next is written, and old ones go.
+SLOTS = 3
+
+
+def board_path(path: str, batch_id: int) -> str:
+    return f"{path}/slot={(batch_id + 1) % SLOTS}"
+
+
 def board_sink(path: str):
-    """A foreachBatch writer that keeps the board as numbered table versions.
+    """A foreachBatch writer that keeps the board as table versions in turning slots.
 
-    Version n+1 is written from version n and the batch, then readers move on,
-    so a lost executor or a replayed batch leaves a whole board behind.
+    The next version is written from the one before and the batch, then readers
+    move on, so a lost executor or a replayed batch leaves a whole board behind.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        target = f"{path}/v={batch_id + 1}"
         if batch_id == 0:
             board = batch.limit(0)
         else:
-            board = spark.read.schema(batch.schema).parquet(f"{path}/v={batch_id}")
-        merge_board(board, batch).write.mode("overwrite").parquet(target)
+            board = spark.read.schema(batch.schema).parquet(board_path(path, batch_id - 1))
+        merge_board(board, batch).write.mode("overwrite").parquet(board_path(path, batch_id))
 
     return write
 
 
 def upcoming_sink(path: str):
-    """A foreachBatch writer that replaces the list of upcoming auctions."""
+    """A foreachBatch writer of lists of upcoming auctions whose rows name their list and its size.
+
+    Rows are kept by trigger, written over if it is replayed. A list counts once
+    all its rows are there, in however many files and triggers they came; then
+    a line names it, after its rows are stored. The list with the greatest id
+    named so far is the current one (`current_list`).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/v={batch_id + 1}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/rows/trigger={batch_id}")
+        rows = _listed_rows(spark, path, batch.schema)
+        whole = rows.groupBy("list_id").agg(F.count("*").alias("n"), F.max("list_size").alias("of")).where(F.col("n") >= F.col("of"))
+        whole.select("list_id").write.mode("overwrite").parquet(f"{path}/whole/trigger={batch_id}")
 
     return write
 
 
+def _listed_rows(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All rows so far; a file that was sent again brings its rows once."""
+    return spark.read.schema(schema).parquet(f"{path}/rows").select(*schema.names).distinct()
+
+
+def current_list(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The latest whole list."""
+    last = spark.read.schema("list_id long").parquet(f"{path}/whole").agg(F.max("list_id").alias("list_id"))
+    rows = _listed_rows(spark, path, schema)
+    return rows.join(last, "list_id", "left_semi").drop("list_id", "list_size")
+
+
+def listed(rows: DataFrame, list_id: int) -> DataFrame:
+    """Rows of one list with its id and size, as a source sends them."""
+    size = rows.agg(F.count("*").alias("list_size"))
+    return rows.select(F.lit(list_id).cast("long").alias("list_id"), "*").join(size)
+
+
 def own_last_bids(states: DataFrame, me: str = MY_USERNAME) -> DataFrame:
     """For each bid of mine, the state just before it (one bid fewer)."""
     mine = states.where(F.col("last_user") == me).select("auction_id", F.col("last_bid").alias("my_bid"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.streaming.feed import MESSAGE_SCHEMA, parse_feed, read_feed
-from gavel.streaming.live import board_sink, live_states
+from gavel.streaming.live import board_path, board_sink, current_list, latest_per_auction, live_features, upcoming_sink
+from gavel.streaming.tracker import OUT as TRACKED
+from gavel.streaming.tracker import tracked_states
 
 
 def _finish(query) -> None:
@@ -36,18 +40,21 @@ def track(
     me: str,
     every: bool = False,
     max_files: int = 100,
+    valued: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(all emitted states, current board) after the arrived files.
+    """(all emitted states, current board) after the arrived files, in one streaming query.
 
+    `valued` turns a trigger's states into rows of the board, such as `valued_rows`.
     A trigger's states go to its own folder, written over if it is replayed.
     """
-    states = live_states(parse_feed(read_feed(spark, feed_dir, max_files)), me, every)
+    states = tracked_states(parse_feed(read_feed(spark, feed_dir, max_files)), me, every)
     to_board = board_sink(f"{out_dir}/board")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{out_dir}/states/trigger={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
-        to_board(batch.sparkSession.read.schema(batch.schema).parquet(folder), batch_id)
+        new = batch.sparkSession.read.schema(batch.schema).parquet(folder).where("my_bid IS NULL").drop("my_bid")
+        to_board(new if valued is None else valued(latest_per_auction(new)), batch_id)
 
     query = (
         states.writeStream.foreachBatch(write)
@@ -57,22 +64,40 @@ def track(
         .start()
     )
     _finish(query)
-    emitted = spark.read.schema(states.schema).parquet(f"{out_dir}/states")
-    last = query.lastProgress["batchId"]
-    return emitted, spark.read.schema(states.schema).parquet(f"{out_dir}/board/v={last + 1}")
+    board = spark.read.parquet(board_path(f"{out_dir}/board", query.lastProgress["batchId"]))
+    return emitted_states(spark, out_dir).where("my_bid IS NULL").drop("my_bid"), board
+
+
+def emitted_states(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Every row that `track` has sent out, those before own bids included."""
+    return spark.read.schema(TRACKED).parquet(f"{out_dir}/states")
+
+
+def valued_rows(auctions: DataFrame, snapshot: DataFrame | None, value: Callable[[DataFrame], DataFrame], me: str) -> Callable[[DataFrame], DataFrame]:
+    """States to rows of a board: features of the next bid, then `value` adds the expected values of both ways to bid.
+
+    `auctions` and `snapshot` are read again by each trigger, as their tables are by then.
+    """
+
+    def board_rows(states: DataFrame) -> DataFrame:
+        rows = value(live_features(states, auctions, snapshot, now=F.current_timestamp().cast("timestamp_ntz"), me=me))
+        return states.join(rows.drop(*[c for c in rows.columns if c in states.columns and c != "auction_id"]).withColumn(
+            "auction_id", F.col("auctionid").cast("string")), "auction_id")
+
+    return board_rows
 
 
-def replace_latest(spark: SparkSession, source_dir: str, schema, out_dir: str, sink) -> DataFrame:
-    """Run a foreachBatch sink over arriving files; the last batch's list."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(source_dir)
+def replace_latest(spark: SparkSession, source_dir: str, schema, out_dir: str, max_files: int = 1) -> DataFrame:
+    """Take arriving files of upcoming auctions (columns list_id and list_size beside the list's); the latest whole list."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(source_dir)
     query = (
-        stream.writeStream.foreachBatch(sink(out_dir))
+        stream.writeStream.foreachBatch(upcoming_sink(out_dir))
         .option("checkpointLocation", f"{out_dir}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     _finish(query)
-    return spark.read.schema(schema).parquet(f"{out_dir}/v={query.lastProgress['batchId'] + 1}")
+    return current_list(spark, out_dir, schema)
 
 
 def write_feed(messages: DataFrame, path: str) -> None:

@@ -108,6 +108,27 @@ limited_allowed AS is_live FROM ends JOIN auctions ON auctionid = qauctionid WHE
 FROM bids m JOIN bids p ON p.auctionid = m.auctionid AND p.bid = m.bid - 1 WHERE m.username = '{ME}'""",
         "bids",
     ),
+    "l10_valued_board": sql(
+        """SELECT CAST(e.auctionid AS VARCHAR) AS auction_id, CAST(e.last_bid AS BIGINT) AS n_bids, e.last_bid, e.last_user, e.prevusers, a.limited_allowed AS is_live,
+any_value(n.username) FILTER (WHERE place = 1) AS username0, any_value(e.last_bid + 1 - n."at") FILTER (WHERE place = 1) AS distance0,
+any_value(CAST(s.username IS NULL AS INTEGER)) FILTER (WHERE place = 1) AS prev_is_new_user0,
+CAST(any_value(CASE WHEN s.username IS NULL THEN 1 ELSE prev_auction_count0 END) FILTER (WHERE place = 1) AS DOUBLE) AS prev_auction_count0,
+any_value(CASE WHEN s.username IS NULL THEN 0e0 ELSE round(prev_bids0, 6) END) FILTER (WHERE place = 1) AS prev_bids0,
+any_value(n.username) FILTER (WHERE place = 4) AS username3,
+any_value(CASE WHEN s.username IS NULL THEN 0e0 ELSE round(prev_bids0, 6) END) FILTER (WHERE place = 4) AS prev_bids3,
+any_value(round(pot, 6)) AS potential_profit, any_value(round(bp * pot - (1e0 - bp) * 0.4e0, 6)) AS bom_ev,
+any_value(round(mp * pot - (1e0 - mp) * 0.4e0, 6)) AS manual_ev
+FROM (SELECT *, cashvalue - CASE WHEN cardvalue = 0 THEN 0e0 WHEN cardvalue < 50 THEN 1e0 ELSE 1.99e0 END - (last_bid + 1) / 100.0e0 - 0.4e0 AS pot,
+        (auctionid * 31 + (last_bid + 1) * 17 + 1) % 100 / 100.0e0 AS bp, (auctionid * 31 + (last_bid + 1) * 17) % 100 / 100.0e0 AS mp
+      FROM ends JOIN auctions ON auctionid = qauctionid WHERE cashvalue < 4) e JOIN auctions a ON a.qauctionid = e.auctionid
+LEFT JOIN near n ON n.auctionid = e.auctionid AND n.bid = e.last_bid LEFT JOIN snap s ON s.username = n.username
+GROUP BY e.auctionid, e.last_bid, e.last_user, e.prevusers, a.limited_allowed""",
+        "full_table",
+        "auctions",
+        **CHAIN,
+        ends=ENDS,
+        snap=SNAP,
+    ),
     "l12_upcoming_replaced": sql(
         """SELECT * FROM (SELECT CAST(p_partkey AS VARCHAR) AS auctionid,
   CASE p_size % 4 WHEN 0 THEN 'None' WHEN 1 THEN 'Buster' ELSE p_brand END AS cardtype,
@@ -129,3 +150,4 @@ WHERE (cardtype IN ('None', 'Buster') OR cardvalue >= 25) AND auctionid NOT IN (
         "bt",
     ),
 }
+STATEMENTS["l11_stream_state_before_own_bid"] = STATEMENTS["l11_state_before_own_bid"]

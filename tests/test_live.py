@@ -1,6 +1,7 @@
 """The feed, the stream state, and the pages."""
 
 import json
+import os
 import tempfile
 
 import pytest
@@ -11,6 +12,7 @@ from gavel.plans.batch import cutoffs, read_batches, run_batch, run_incremental,
 from gavel.operators.opponents import auction_full
 from gavel.sources import derived, pages
 from gavel.streaming import feed, live, run
+from gavel.streaming.tracker import tracked_states
 from tests.conftest import same
 
 
@@ -42,6 +44,105 @@ def test_late_join_is_flagged(spark):
     assert (last.n_bids, last.last_bid, last.tracking_ok) == (2, 6, False)
 
 
+def test_state_writes_follow_the_users_touched(spark):
+    """Two bids in an auction of very many users rewrite two entries and the auction's own value."""
+    n, folder = 30_000, tempfile.mkdtemp(prefix="gavel-test-")
+    first = json.dumps({"sl": 9, "bh": [{"id": b, "u": f"u{b}", "t": 1} for b in range(n, 0, -1)]})
+    later = json.dumps({"sl": 9, "bh": [{"id": n + 2, "u": "u7", "t": 2}, {"id": n + 1, "u": "u3", "t": 2}]})
+    updates = []
+    for i, text in enumerate((first, later)):
+        send(f"{folder}/feed", spark, [text], start=i)
+        parsed = feed.parse_feed(feed.read_feed(spark, f"{folder}/feed"))
+        query = (
+            tracked_states(parsed, "me").writeStream
+            .foreachBatch(lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{folder}/out/b={batch_id}"))
+            .outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        updates.append(max(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress))
+    assert updates[0] >= n and updates[1] <= 10
+    last = live.latest_per_auction(spark.read.parquet(f"{folder}/out").where("my_bid IS NULL")).first()
+    assert (last.n_bids, last.prevusers) == (n + 2, n)
+    assert [(e.username, e.bids_so_far, e.bom_streak) for e in last.opponents[:3]] == [("u7", 2, 1), ("u3", 2, 1), (f"u{n}", 1, 0)]
+
+
+@pytest.mark.parametrize("max_files", [100, 1])
+def test_state_before_own_bids(spark, max_files):
+    """Repeats and late messages give no second row; my first bid of an auction has no state before it."""
+    folder = tempfile.mkdtemp(prefix="gavel-test-")
+    mine = lambda bids, **more: json.dumps({**more, "bh": [{"id": b, "u": "me" if b % 2 else f"u{b % 3}", "t": 2} for b in bids]})
+    send(f"{folder}/feed", spark, [mine([1], sl=9), mine([3, 2, 1], sl=9), mine([3, 2], sl=9), mine([5, 4], sl=9), mine([9, 8], sl=9)])
+    send(f"{folder}/feed", spark, [mine([7, 6], sl=9)], start=1)  # late: seq 1 again
+    run.track(spark, f"{folder}/feed", folder, "me", max_files=max_files)
+    rows = run.emitted_states(spark, folder).where("my_bid IS NOT NULL").orderBy("my_bid").collect()
+    assert [(r.my_bid, r.n_bids, r.last_user, r.prevusers) for r in rows] == [(3, 2, "u2", 1), (5, 4, "u1", 2)]
+
+
+def test_board_slots_turn(spark):
+    """More triggers than slots: the board is whole, and only so many versions are kept."""
+    folder = tempfile.mkdtemp(prefix="gavel-test-")
+    for i in range(5):
+        send(f"{folder}/feed", spark, [body([1], sl=9)], auction=str(i))
+    _, board = run.track(spark, f"{folder}/feed", folder, "me", max_files=1)
+    assert {r.auction_id for r in board.collect()} == {str(i) for i in range(5)}
+    assert len([x for x in os.listdir(f"{folder}/board") if x.startswith("slot=")]) == live.SLOTS
+
+
+@pytest.fixture(scope="module")
+def fitted(spark, sf_dir):
+    from gavel.catalog.tables import Tables
+    from gavel.model.win_model import WinModel, model_rows
+    from pyspark.ml.classification import RandomForestClassifier
+
+    t = Tables(spark, sf_dir)
+    rows = model_rows(t.full).cache()
+    # Few rows: every category gets at least two values, and each card type one.
+    names = [r.cardtype for r in t.auctions.select("cardtype").distinct().collect()]
+    flags = ["is_bidomatic", "limited_allowed", *[f"is_bidomatic{i}" for i in range(4)]]
+    more = rows.limit(1).withColumn("cardtype", F.explode(F.array(*map(F.lit, names))))
+    more = more.withColumn("auctiontime", F.explode(F.array(*[F.lit(f"2024-01-0{d} 10:00:00").cast("timestamp_ntz") for d in (7, 8)])))
+    more = more.withColumn("flag", F.explode(F.array(F.lit(True), F.lit(False), F.lit(None)))).withColumns({c: F.col("flag") for c in flags})
+    seen = rows.unionByName(more.drop("flag"))
+    path = tempfile.mkdtemp(prefix="gavel-test-") + "/model"
+    WinModel(RandomForestClassifier(numTrees=3, maxDepth=3, seed=1), sampling_ratio=1.0).fit(rows, seen).save(path)
+    return path
+
+
+def test_board_valued_by_a_loaded_model(spark, sf_dir, fitted):
+    """Messages to expected values in one streaming query, the same as the batch features scored afterwards."""
+    from gavel.catalog.joins import snapshot
+    from gavel.catalog.tables import Tables
+    from gavel.model.win_model import WinModel
+
+    t = Tables(spark, sf_dir)
+    few = t.bids.where("auctionid < 6")
+    users, folder = snapshot(t).cache(), tempfile.mkdtemp(prefix="gavel-test-")
+    run.write_feed(feed.render_feed(few).repartition(2), f"{folder}/feed")
+    model = WinModel.load(spark, fitted)
+    value = lambda rows: live.live_ev(rows.withColumn("auctiontime", F.lit("2024-02-01 12:00:00").cast("timestamp_ntz")), model)
+    _, board = run.track(spark, f"{folder}/feed", folder, "u1", valued=run.valued_rows(t.auctions, users, value, "u1"))
+    states = live.latest_per_auction(live.live_states_batch(few, t.auctions, "u1").withColumn("seq", F.col("n_bids")))
+    want = value(live.live_features(states, t.auctions, users, me="u1"))
+    cols = ["auctionid", "bid", "bom_proba", "manual_proba", "potential_profit", "bom_ev", "manual_ev"]
+    assert board.count() > 0
+    same(board.select(*cols), want.select(*cols), ["auctionid"])
+
+
+def test_latest_whole_list(spark):
+    """Lists of several files, mixed and sent twice: a list counts when all of it is there."""
+    folder = tempfile.mkdtemp(prefix="gavel-test-")
+    lists = {k: live.listed(spark.range(n).withColumn("name", F.lit(f"list {k}")), k) for k, n in ((1, 7), (2, 5), (3, 9))}
+    for k in (2, 1):
+        lists[k].repartition(3).write.mode("append").json(f"{folder}/lists")
+    lists[3].where("id < 8").repartition(2).write.mode("append").json(f"{folder}/lists")  # one row is still to come
+    lists[2].where("id = 1").write.mode("append").json(f"{folder}/lists")
+    schema = lists[1].schema
+    got = run.replace_latest(spark, f"{folder}/lists", schema, f"{folder}/out", max_files=2)
+    assert sorted((r.id, r.name) for r in got.collect()) == [(i, "list 2") for i in range(5)]
+    lists[3].where("id = 8").write.mode("append").json(f"{folder}/lists")
+    assert run.replace_latest(spark, f"{folder}/lists", schema, f"{folder}/out").count() == 9
+
+
 def test_complete_leaves_the_board(spark):
     last, board = run_feed(spark, [body([1], sl=9), '{"sl":20}', body([2, 1], sl=3, s="x")])
     assert last.complete and last.is_live and board.count() == 0
