@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 # and the checkout fee by card value.
 BIDS_PER_DOLLAR = 2.5
 BID_COST = 0.4
+BID_CENTS = 40
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -52,6 +53,19 @@ def flag_text(flag: Column) -> Column:
     return F.coalesce(F.initcap(flag.cast("string")), F.lit("None"))
 
 
+def gain_cents(cashvalue: Column, fee_: Column, bid: Column) -> Column:
+    """What a won bid brings before its cost, in whole cents: sums of it don't depend on the order of rows."""
+    return cashvalue.cast("long") * 100 - F.round(fee_ * 100).cast("long") - bid.cast("long")
+
+
+def exact_ratio(num: Column, den: Column, places: int = 6) -> Column:
+    """num / den of whole numbers, rounded half away from zero in whole numbers; NULL for a zero divisor."""
+    wide = lambda x: x.cast("decimal(20,0)")
+    scaled = F.abs(wide(num)) * F.lit(2 * 10**places).cast("decimal(10,0)") + wide(den)
+    whole = F.call_function("div", scaled, F.nullif(wide(den) * F.lit(2).cast("decimal(1,0)"), F.lit(0).cast("decimal(1,0)")))
+    return F.signum(num.cast("double")) * whole.cast("double") / F.lit(float(10**places))
+
+
 def potential_profit(cashvalue: Column, fee_: Column, bid: Column) -> Column:
     return cashvalue - fee_ - bid / F.lit(100.0) - F.lit(BID_COST)
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavel.functions import scalar
-from gavel.functions.scalar import BID_COST, grid_below
+from gavel.functions.scalar import BID_CENTS, BID_COST, grid_below
 from gavel.operators.blocks import running
 from gavel.operators.exploration import rounded
 from gavel.session import written
@@ -56,16 +56,21 @@ def _grid(spark, cell: str, first: int, last: int) -> DataFrame:
     return spark.range(first, last + 1).select(F.col("id").alias(cell))
 
 
+def _won_cents() -> Column:
+    """What the won bids bring, in whole cents."""
+    gain = scalar.gain_cents(F.col("cashvalue"), F.col("fee"), F.col("bid"))
+    return F.sum(F.when(F.col("is_winner"), gain).otherwise(0))
+
+
 def _sweep_cells(scored: DataFrame, step: int, first: int, last: int, by: list[str], strict: bool) -> DataFrame:
     """Sums per threshold cell: rows whose highest passed threshold is `cell`."""
     cell = grid_below(F.col("prob"), step, strict) - 1
     cell = F.when(cell < first, F.lit(first - 1)).otherwise(F.least(cell, F.lit(last))).cast("long")
     won = F.col("is_winner").cast("int")
-    gain = F.col("cashvalue") - F.col("fee") - F.col("bid") / F.lit(100.0)
     return scored.groupBy(*by, cell.alias("cell")).agg(
         F.count("*").alias("n"),
         F.sum(won).alias("won"),
-        F.sum(F.when(F.col("is_winner"), gain).otherwise(0.0)).alias("gain"),
+        _won_cents().alias("gain"),
     )
 
 
@@ -85,7 +90,7 @@ def threshold_sweep(scored: DataFrame, step: int = 20, first: int = 8, last: int
     all_n, all_won = totals.select("all_n").scalar(), totals.select("all_won").scalar()
     fn = all_won - tp
     tn = all_n - n - fn
-    profit = F.col("gain") - n * F.lit(BID_COST)
+    profit = F.col("gain") - n * F.lit(BID_CENTS)
     return passed.select(
         (F.col("cell") / F.lit(float(step))).alias("thresh"),
         tn.alias("tn"),
@@ -95,9 +100,9 @@ def threshold_sweep(scored: DataFrame, step: int = 20, first: int = 8, last: int
         rounded((tp + tn) * 100 / all_n).alias("accuracy"),
         rounded(scalar.ratio(tp * 100, n)).alias("precision"),
         rounded(scalar.ratio(tp * 100, all_won)).alias("recall"),
-        rounded(profit).alias("profit"),
-        rounded(scalar.ratio(profit, n)).alias("profit_per_bet"),
-        rounded(scalar.ratio(profit, all_n)).alias("profit_per_row"),
+        scalar.exact_ratio(profit, F.lit(100)).alias("profit"),
+        scalar.exact_ratio(profit, n * 100).alias("profit_per_bet"),
+        scalar.exact_ratio(profit, all_n * 100).alias("profit_per_row"),
     )
 
 
@@ -121,11 +126,10 @@ def sweep_every_probability(scored: DataFrame, above: float = 0.4) -> DataFrame:
     in blocks of probability, so many distinct values stay spread out.
     """
     won = F.col("is_winner").cast("long")
-    gain = F.col("cashvalue") - F.col("fee") - F.col("bid") / F.lit(100.0)
     points = scored.groupBy("prob").agg(
         F.count("*").alias("n"),
         F.sum(won).alias("won"),
-        F.sum(F.when(F.col("is_winner"), gain).otherwise(0.0)).alias("gain"),
+        _won_cents().alias("gain"),
     )
     points = written(points, "points")
     down = points.withColumns(
@@ -136,15 +140,15 @@ def sweep_every_probability(scored: DataFrame, above: float = 0.4) -> DataFrame:
     all_n = points.select(F.sum("n")).scalar()
     all_won = points.select(F.sum("won")).scalar()
     n, tp = F.col("n_up"), F.col("won_up")
-    profit = F.col("gain_up") - n * F.lit(BID_COST)
+    profit = F.col("gain_up") - n * F.lit(BID_CENTS)
     return totals.where(F.col("prob") > above).select(
         F.col("prob").alias("thresh"),
         (all_n - n - (all_won - tp)).alias("tn"),
         (n - tp).alias("fp"),
         (all_won - tp).alias("fn"),
         tp.alias("tp"),
-        rounded(profit).alias("profit"),
-        rounded(profit / n + F.lit(1e-9)).alias("profit_per_bet"),
+        scalar.exact_ratio(profit, F.lit(100)).alias("profit"),
+        scalar.exact_ratio(profit, n * 100).alias("profit_per_bet"),
     )
 
 
@@ -251,7 +255,7 @@ def best_threshold(scored: DataFrame, bands: list[tuple[float, float]] = PROFIT_
         .withColumn("band", band)
         .where(F.col("band").isNotNull())
         .groupBy("band", cell.alias("cell"))
-        .agg(F.sum("actual").alias("profit"))
+        .agg((_won_cents() - F.count("*") * BID_CENTS).alias("profit"))
     )
     spark = scored.sparkSession
     edges = spark.createDataFrame(
@@ -259,14 +263,13 @@ def best_threshold(scored: DataFrame, bands: list[tuple[float, float]] = PROFIT_
     )
     grid = edges.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(99)).cast("array<long>")))
     sums = _suffix_totals(
-        grid.join(cells, ["band", "cell"], "left").na.fill(0.0, ["profit"]), ["low", "high"], "cell", ["profit"]
+        grid.join(cells, ["band", "cell"], "left").na.fill(0, ["profit"]), ["low", "high"], "cell", ["profit"]
     )
     best = Window.partitionBy("low", "high").orderBy(F.desc("profit"), "cell")
     return (
-        sums.withColumn("profit", rounded(F.col("profit")))
-        .withColumn("place", F.row_number().over(best))
+        sums.withColumn("place", F.row_number().over(best))
         .where(F.col("place") == 1)
-        .select("low", "high", (F.col("cell") / F.lit(100.0)).alias("p"), "profit")
+        .select("low", "high", (F.col("cell") / F.lit(100.0)).alias("p"), scalar.exact_ratio(F.col("profit"), F.lit(100)).alias("profit"))
     )
 
 

@@ -4,17 +4,25 @@ BETS = """CAST(count(*) FILTER (WHERE is_winner) AS BIGINT) AS winners, count(*)
 round(sum(actual), 6) AS actual FROM ev WHERE ep > 0"""
 
 
+# Profits are summed in whole cents and rounded in whole numbers, so no sum depends on the order of rows.
+CENTS = "(CASE WHEN is_winner THEN cashvalue * 100 - CAST(round(fee * 100) AS BIGINT) - bid ELSE 0 END - 40)"
+
+
+def _exact(num: str, den: str) -> str:
+    return f"(sign({num}) * ((abs({num})::HUGEINT * 2000000 + ({den})::HUGEINT) // nullif(({den})::HUGEINT * 2, 0))::DOUBLE / 1e6)"
+
+
 def _sweep(first: int, last: int, op: str) -> str:
     return sql(
         f"""SELECT thresh, tn, fp, fn, tp, round((tp + tn) * 100 / total, 6) AS accuracy,
 round(tp * 100 / nullif(tp + fp, 0), 6) AS precision, round(tp * 100 / nullif(tp + fn, 0), 6) AS recall,
-round(profit, 6) AS profit, round(profit / nullif(tp + fp, 0), 6) AS profit_per_bet, round(profit / total, 6) AS profit_per_row
+{_exact("profit", "100")} AS profit, {_exact("profit", "(tp + fp) * 100")} AS profit_per_bet, {_exact("profit", "total * 100")} AS profit_per_row
 FROM (SELECT t.k / 20.0e0 AS thresh, count(*) AS total,
   CAST(count(*) FILTER (WHERE NOT prob {op} t.k / 20.0e0 AND NOT is_winner) AS BIGINT) AS tn,
   CAST(count(*) FILTER (WHERE prob {op} t.k / 20.0e0 AND NOT is_winner) AS BIGINT) AS fp,
   CAST(count(*) FILTER (WHERE NOT prob {op} t.k / 20.0e0 AND is_winner) AS BIGINT) AS fn,
   CAST(count(*) FILTER (WHERE prob {op} t.k / 20.0e0 AND is_winner) AS BIGINT) AS tp,
-  coalesce(sum(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE 0e0 END - 0.4e0)
+  coalesce(sum({CENTS})
     FILTER (WHERE prob {op} t.k / 20.0e0), 0) AS profit
  FROM scored, range({first}, {last + 1}) t(k) GROUP BY t.k)""",
         "scored",
@@ -39,14 +47,14 @@ WHERE is_winner AND prob >= t.k / 20.0e0 GROUP BY cashvalue, t.k""",
         "scored",
     ),
     "e03_sweep_every_probability": sql(
-        """SELECT p.prob AS thresh,
+        f"""SELECT thresh, tn, fp, fn, tp, {_exact("profit", "100")} AS profit, {_exact("profit", "(tp + fp) * 100")} AS profit_per_bet
+FROM (SELECT p.prob AS thresh,
 CAST(count(*) FILTER (WHERE s.prob < p.prob AND NOT is_winner) AS BIGINT) AS tn,
 CAST(count(*) FILTER (WHERE s.prob >= p.prob AND NOT is_winner) AS BIGINT) AS fp,
 CAST(count(*) FILTER (WHERE s.prob < p.prob AND is_winner) AS BIGINT) AS fn,
 CAST(count(*) FILTER (WHERE s.prob >= p.prob AND is_winner) AS BIGINT) AS tp,
-round(sum(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE 0e0 END - 0.4e0) FILTER (WHERE s.prob >= p.prob), 6) AS profit,
-round(avg(CASE WHEN is_winner THEN cashvalue - fee - bid / 100.0e0 ELSE 0e0 END - 0.4e0) FILTER (WHERE s.prob >= p.prob) + 1e-9, 6) AS profit_per_bet
-FROM (SELECT DISTINCT prob FROM scored WHERE prob > 0.4e0) p, scored s GROUP BY p.prob""",
+sum({CENTS}) FILTER (WHERE s.prob >= p.prob) AS profit
+FROM (SELECT DISTINCT prob FROM scored WHERE prob > 0.4e0) p, scored s GROUP BY p.prob)""",
         "scored",
     ),
     "e03_label_above_cutoffs": sql(
@@ -73,9 +81,9 @@ FROM bets WHERE ep >= (SELECT min(ep) FROM bounds) AND ep < (SELECT max(ep) FROM
         bounds="""SELECT ep FROM (SELECT ep, row_number() OVER (ORDER BY ep) - 1 AS place FROM bets) WHERE place % 1000 = 0""",
     ),
     "e07_best_threshold": sql(
-        """SELECT low, high, p, profit FROM (SELECT *, row_number() OVER (PARTITION BY low, high ORDER BY profit DESC, p) AS place FROM
+        f"""SELECT low, high, p, profit / 100e0 AS profit FROM (SELECT *, row_number() OVER (PARTITION BY low, high ORDER BY profit DESC, p) AS place FROM
 (SELECT CAST(b.low AS DOUBLE) AS low, CAST(b.high AS DOUBLE) AS high, t.k / 100.0e0 AS p,
-        round(coalesce(sum(actual) FILTER (WHERE prob > t.k / 100.0e0), 0), 6) AS profit
+        coalesce(sum({CENTS}) FILTER (WHERE prob > t.k / 100.0e0), 0) AS profit
  FROM range(0, 100) t(k), bands b LEFT JOIN valued v ON v.potential > b.low AND v.potential < b.high GROUP BY b.low, b.high, t.k))
 WHERE place = 1""",
         "valued",
