@@ -38,7 +38,7 @@ from gavel.llm.words import Words, mixed, rolling, slices
 UNKNOWN = "und"  # language of rows without one
 BREAK = "."  # stands for every character that ends a piece; never part of a word
 TOTAL = ""  # key of the word count of a language; never a word
-SEED = 42  # of Spark's xxhash64
+SEED = 42
 
 
 @dataclass(frozen=True)
@@ -135,17 +135,27 @@ def _summed(kind: np.ndarray, weights: np.ndarray, kinds: int) -> tuple[np.ndarr
     return found, total[found]
 
 
-def _key(lang: Column, phrase: Column) -> Column:
-    """One text for both; no word holds a tab."""
-    return F.concat(lang, F.lit("\t"), phrase)
+def _hashes(words: np.ndarray, langs: np.ndarray, n: int, at: np.ndarray) -> np.ndarray:
+    """Hashes of the phrases of n words at the places `at`, from those of words and of their text's language."""
+    return mixed(rolling(words, n)[at] + langs[at]) if len(at) else np.empty(0, np.uint64)
 
 
-def _frequent(flags: np.ndarray, bits: int, langs: pa.Array, texts: pa.Array) -> np.ndarray:
-    """Which phrases of which languages are marked."""
-    keys = pc.binary_join_element_wise(langs, texts, "\t").cast(pa.binary())
-    h = xxhash.xxh64_intdigest
-    place = np.fromiter((h(k, SEED) for k in keys.to_pylist()), np.uint64, len(keys)) & np.uint64((1 << bits) - 1)
-    return marked(flags, place.astype(np.int64))
+def _name_hashes(names: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(x.encode(), SEED) for x in names.to_pylist()), np.uint64, len(names))
+
+
+def _flags(found: DataFrame, order: int, bits: int) -> np.ndarray:
+    """A bitmap of frequent phrases of `order` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coded = batch.column("lang").cast(pa.string()).dictionary_encode()
+            langs = _name_hashes(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)] if batch.num_rows else np.empty(0, np.uint64)
+            words = Words(batch.column("phrase"))
+            own = _hashes(words.hashes(), langs[words.doc], order, words.start[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["hash"])
+
+    return bitmap(found.where(F.col("phrase") != TOTAL).select("lang", "phrase").mapInArrow(run, "hash long"), bits, hashed=False)
 
 
 def phrase_counts(dictionary: DataFrame, order: int, filters: list[np.ndarray], params: PhraseParams = PhraseParams()) -> DataFrame:
@@ -168,20 +178,22 @@ def phrase_counts(dictionary: DataFrame, order: int, filters: list[np.ndarray],
                 own = at[inside[at]]
                 which, n = _summed(lang[doc[own]], freq[own], len(names))
                 yield _counted(names.take(pa.array(which)), pa.array([TOTAL] * len(which)), n)
+            elif len(code):
+                langs, hashes = _name_hashes(names)[lang][doc], words.hashes()
+                for n in range(1, order):
+                    place = _hashes(hashes, langs, n, at) & np.uint64((1 << params.bits) - 1)
+                    at = at[marked(filters[n - 1], place.astype(np.int64))]
+                    follows = np.zeros(len(code) + 1, bool)
+                    follows[at] = True
+                    at = at[follows[at + 1] & (doc[at] == doc[np.minimum(at + 1, len(code) - 1)])]
             # kind: a number for each distinct (language, phrase) at the places `at`, with its language and text.
             kind, distinct = pd.factorize(lang[doc[at]] * kinds + code[at])
             langs, texts = distinct // kinds, words.vocab.take(pa.array(distinct % kinds))
             for n in range(1, order):
-                ok = _frequent(filters[n - 1], params.bits, names.take(pa.array(langs)), texts)[kind]
-                at, kind = at[ok], kind[ok]
-                follows = np.zeros(len(code) + 1, bool)
-                follows[at] = True
-                ok = follows[at + 1] & (doc[at] == doc[np.minimum(at + 1, max(0, len(code) - 1))])
-                at, kind = at[ok], kind[ok]
-                new, distinct = pd.factorize(kind * kinds + code[at + n])
-                head = pa.array(distinct // kinds)
-                texts = pc.binary_join_element_wise(texts.take(head), words.vocab.take(pa.array(distinct % kinds)), " ")
-                langs, kind = langs[distinct // kinds], new
+                kind, distinct = pd.factorize(kind * kinds + code[at + n])
+                head = distinct // kinds
+                texts = pc.binary_join_element_wise(texts.take(pa.array(head)), words.vocab.take(pa.array(distinct % kinds)), " ")
+                langs = langs[head]
             own = inside[at]
             which, n = _summed(kind[own], freq[at[own]], len(langs))
             yield _counted(names.take(pa.array(langs[which])), texts.take(pa.array(which)), n)
@@ -202,7 +214,7 @@ def frequent_phrases(docs: DataFrame, params: PhraseParams = PhraseParams()) ->
     for order in range(1, params.longest + 1):
         found = stored(phrase_counts(dictionary, order, filters, params), f"phrases-{order}")
         if order < params.longest:
-            filters.append(bitmap(found.where(F.col("phrase") != TOTAL).select(_key(F.col("lang"), F.col("phrase"))), params.bits))
+            filters.append(_flags(found, order, params.bits))
         out.append(found)
     return out
 

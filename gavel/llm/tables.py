@@ -34,13 +34,14 @@ def empty(df: DataFrame) -> bool:
     return not df.take(1)
 
 
-def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of 2**bits places with those of the first column's hash set.
+def bitmap(keys: DataFrame, bits: int, hashed: bool = True) -> np.ndarray:
+    """A bitmap of 2**bits places with those of the first column's hash set (or of the column itself, if it is a hash).
 
     Tasks set their own bits; blocks of the partial bitmaps are merged by key.
     What reaches the driver is 2**bits / 8 bytes at most, whatever the keys.
     """
-    places = keys.select(F.pmod(F.xxhash64(keys.columns[0]), F.lit(1 << bits)).alias("place"))
+    own = F.xxhash64(keys.columns[0]) if hashed else F.col(keys.columns[0])
+    places = keys.select(F.pmod(own, F.lit(1 << bits)).alias("place"))
     block = min(bits, BLOCK_BITS)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
