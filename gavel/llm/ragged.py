@@ -19,18 +19,19 @@ def gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
 class RunCache:
     """Runs of ids by key, kept between slices and tasks of a Python worker.
 
-    `make` gives the runs of keys that are new. Beyond `most` keys the cache
-    starts anew, which bounds its memory and changes no result.
+    `make` gives the runs of keys that are new. Beyond `most` keys, or `room`
+    characters of keys and ids, the cache starts anew before the next slice,
+    which bounds its memory and changes no result.
     """
 
-    def __init__(self, make: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000) -> None:
-        self.make, self.most = make, most
+    def __init__(self, make: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000, room: int = 1 << 25) -> None:
+        self.make, self.most, self.room = make, most, room
         self._clear()
 
     def _clear(self) -> None:
         self.row: dict = {}
         self.flat = np.empty(1 << 16, np.int32)
-        self.used = 0
+        self.used = self.held = 0  # ids, and characters of keys
         self.start = np.empty(1 << 12, np.int64)
         self.length = np.empty(1 << 12, np.int32)
 
@@ -44,7 +45,7 @@ class RunCache:
 
     def rows(self, keys: Sequence) -> np.ndarray:
         """The row of every key; `start` and `length` describe the run of a row in `flat`."""
-        if len(self.row) + len(keys) > self.most:
+        if len(self.row) + len(keys) > self.most or self.used + self.held > self.room:
             self._clear()
         find = self.row
         new = [k for k in keys if k not in find]
@@ -58,6 +59,7 @@ class RunCache:
             self.length[n : n + len(new)] = sizes
             self.start[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.used += len(ids)
+            self.held += sum(map(len, new))
             find.update(zip(new, range(n, n + len(new))))
         return np.fromiter(map(find.__getitem__, keys), np.int64, len(keys))
 

@@ -1,7 +1,8 @@
 """Token ids of whole texts by the tokenizers library, one distinct word at a time.
 
 The vocabulary's tokenizer drops white space and never joins across it, so a
-text's ids are those of its words in order. Each distinct word of a slice is
+text's ids are those of its words in order (markers such as an end of text that
+a text spells out become their own ids, as in the library). Each distinct word of a slice is
 encoded once. Words of Latin letters, with or without punctuation behind, are
 encoded as their two parts: the letters, already lower-cased, need no
 normaliser and no splitting pattern, and many words share them.
@@ -30,9 +31,7 @@ class WordTokens:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.full = Tokenizer.from_file(file)
-        self.full.encode_special_tokens = True
         self.letters = Tokenizer.from_file(file)
-        self.letters.encode_special_tokens = True
         self.letters.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]

@@ -24,7 +24,6 @@ WORD_FILE, RANKS = public_tokenizers.path("word_bpe_49k.json"), public_tokenizer
 @pytest.fixture(scope="module")
 def library():
     found = Tokenizer.from_file(WORD_FILE)
-    found.encode_special_tokens = True
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
