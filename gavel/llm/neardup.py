@@ -12,18 +12,25 @@
    lists whose retained values are the most common, or nearly so and with a
    smaller doc_id, as the original of a family of edited copies is. This links
    most of a family with one pair each.
-4. What is left needs few pairs. Let c be the core of a hub's family: the hub's
-   shingles and those that many of the family share. Let x and y be of one
-   family and in different components, and let x' be the shingles of x that c
-   lacks. Then the similarity of x and y reaches the threshold t only if x' and
-   y' meet or the smaller of |x & c| and |y & c| is at least
-   t/(1+t) * (|x| + |y|), for nothing else can be in both. So inverted lists of
-   x', short as c has what is common, give the pairs of a family, a join on
-   sizes gives the second kind, and only classes of one list with different
-   hubs are paired directly.
-5. The sketch of the union estimates the similarity of these pairs; pairs far
-   below the threshold go. The rest are confirmed by the exact Jaccard
-   similarity of the full sets. No list or group has a cap.
+4. What is left of a family is compared by differences from its hub. Let d(x) be
+   what only one of x and the hub h has. x and y differ in what only one of d(x)
+   and d(y) has, which for similar sets is at most the share a = (1-t)/(1+t) of
+   |x| + |y|, t being the threshold; so differences and sizes give the exact
+   answer. If neither x nor y is linked to the hub, |d(x)| and |d(y)| exceed that
+   share with h, so they share about half of their differences. Inverted lists of
+   the rarest differences (all but those that must be shared, and one more) elect
+   a class each, and members are compared with it, as long as that finds links.
+   Let c be the core of a family: the hub's shingles and those that many of the
+   family share, and x' the shingles of x that c lacks. Classes x and y that are
+   then still in different components are similar only if x' and y' meet or the
+   smaller of |x & c| and |y & c| is at least t/(1+t) * (|x| + |y|), for nothing
+   else can be in both. Lists of x', short as c has what is common, and a join on
+   sizes give these pairs. Where very many of a family stay apart, with the same
+   few edits in many of them, the second kind is not linear in the family.
+5. Only classes of one list with different hubs are paired directly. The sketch
+   of the union estimates their similarity; pairs far below the threshold go. The
+   rest are confirmed by the exact Jaccard similarity of the full sets. No list
+   or group has a cap.
 
 The chance that a pair at the threshold shares fewer than `least_shared` values
 or is estimated below the cut is that of a binomial six deviations off (about
@@ -43,10 +50,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.tables import bitmap, components, empty, marked, place_of, stored
+from gavel.llm.tables import bitmap, components, dropped, empty, marked, place_of, stored, working_tables
 from gavel.llm.words import Words, fold_ascii, mixed, rolling, slices, texts_of
 
 LEAST_COMMON, COMMON = 8, 32  # a family's core has what more than 8 members and one in 32 share
+HOT_SHARE = 64  # a value that more than one class in 64 retains: at most k * 64 of them, whatever the corpus
+MEMBERS = 512  # members of a family that meet a copy of their hub's set in one place, about
 FILTER_BITS = 26  # the bitmap of texts whose sets are needed: 8 MB, whatever the corpus
 
 
@@ -116,14 +125,18 @@ def _postings(classes: DataFrame, params: NearParams) -> DataFrame:
     common is how often the class's retained values occur, all together.
     """
     entries = classes.select("node", "n_shingles", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
-    shared = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    shared = stored(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared")
+    # Common values are few (the bound is proven: k * HOT_SHARE rows), so their many rows needn't meet in one place.
+    common = shared.where(F.col("df") * HOT_SHARE > classes.count())
+    hot = entries.join(F.broadcast(common), "value")
+    cold = entries.join(F.broadcast(common.select("value")), "value", "left_anti").join(shared, "value")
     # Sets below this size have partners whose sketch is the whole set, too.
     whole = math.floor(params.k * params.percent / 100)
     least = F.when(
         F.col("n_shingles") <= whole, F.ceil(F.col("n_shingles") * params.percent / 100)
     ).otherwise(F.lit(params.least_shared))
     by_node = (
-        entries.join(shared, "value")
+        cold.union(hot)
         .groupBy("node", "n_shingles", "size")
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("found"), F.sum("df").alias("common"))  # k entries at most
     )
@@ -202,15 +215,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, params: NearParams) -> DataFra
     return met.where(common * 100 >= (F.size("ia") + F.size("ib") - common) * params.percent).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of `docs` (doc_id, text).
-
-    component_id is the smallest doc_id reachable over links, kept tells the
-    row that has it. A null or empty text has no shingles, is linked with
-    nothing and is kept. Rows that repeat a doc_id and text count as one
-    document and are kept or dropped together; a row without doc_id is kept
-    only if its whole component has none. An empty table gives an empty result.
-    """
+def _classes(docs: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n_shingles, node of every row, and node, class_id (the least doc_id of its component) of every class, stored."""
     rows = stored(sketches(docs, params), "sketches")
     classes = stored(
         rows.where("node is not null").groupBy("node").agg(
@@ -226,21 +232,16 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
     labels = None
     if size:
         sets = stored(_sets(docs, classes.select("node", "doc_id").join(hubs.select("node"), "node"), params), "sets")
-        family = stored(_against_hub(hubs, sets), "family")
-        links = family.where(_similar("n", "hub_n", "shared", params) & (F.col("node") != F.col("hub")))
-        links = stored(links.select(F.col("node").alias("a"), F.col("hub").alias("b")), "hub_links", size)
+        family = stored(_against_hub(hubs, sets, size, params), "family")
+        links = stored(family.where("linked AND node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), "hub_links")
         if not empty(links):
             labels = components(links)
-        named = _labelled(family.select("node", "hub", "n", "shared"), labels)
-        rests = family.select("node", F.explode("rest").alias("item"))
-        named, rest_pairs = _same_rest(stored(named, "named", size), rests, size)
-        listed = _labelled(lists.select("value", "node").join(hubs, "node"), labels)
-        pairs = rest_pairs.union(_within_hub(named, params)).union(_other_hub(listed)).distinct()
-        pairs = _estimated(pairs, classes.select("node", "sketch", "n_shingles"), params)
-        pairs = stored(pairs, "pairs")
-        few = pairs.count()
-        if few:
-            more = stored(_confirmed(stored(pairs, "pairs", few), sets, params), "links", few)
+        links, labels = _by_differences(family, links, labels, size, params)
+        dropped(family)
+        pairs = _other_hub(_labelled(lists.select("value", "node").join(hubs, "node"), labels))
+        pairs = stored(_estimated(pairs, classes.select("node", "sketch", "n_shingles"), params), "pairs")
+        if not empty(pairs):
+            more = stored(_confirmed(pairs, sets, params), "links")
             if not empty(more):
                 labels = components(links.union(more))
     own = classes.select("node", F.col("doc_id").alias("class_id"))
@@ -252,6 +253,22 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
         )
     # A table of its own, so that adaptive execution can split a class that very many rows have.
     own = stored(own, "components")
+    return rows, own
+
+
+def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of `docs` (doc_id, text).
+
+    component_id is the smallest doc_id reachable over links, kept tells the
+    row that has it. A null or empty text has no shingles, is linked with
+    nothing and is kept. Rows that repeat a doc_id and text count as one
+    document and are kept or dropped together; a row without doc_id is kept
+    only if its whole component has none. An empty table gives an empty result.
+    """
+    keep: list[DataFrame] = []
+    with working_tables(keep):
+        rows, own = _classes(docs, params)
+        keep += [rows, own]
     out = rows.select("doc_id", "n_shingles", "node").join(own, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
@@ -267,18 +284,85 @@ def _labelled(nodes: DataFrame, labels: DataFrame | None, name: str = "node", la
     return nodes.join(found, name, "left").withColumn(label, F.coalesce("__label", name)).drop("__label")
 
 
-def _similar(a: str, b: str, common: str, params: NearParams) -> Column:
-    """Whether sets of sizes a and b with `common` shared shingles reach the threshold."""
-    return F.col(common) * 100 >= (F.col(a) + F.col(b) - F.col(common)) * params.percent
+def _against_hub(hubs: DataFrame, sets: DataFrame, size: int, params: NearParams) -> DataFrame:
+    """node, hub, n, hub_n, shared, rest (what the hub lacks), diff (what only one of both has), d (its size), linked, from the full sets."""
+    # A large family is spread over copies of its hub's set, one for every MEMBERS members.
+    large = hubs.groupBy("hub").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts")).where("parts > 1")
+    large = stored(large, "large_families", size // MEMBERS)
+    parts = F.coalesce("parts", F.lit(1))
+    own = hubs.join(large, "hub", "left").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).drop("parts")
+    hub_sets = sets.join(hubs.select("hub").distinct().withColumnRenamed("hub", "node"), "node", "left_semi").select(
+        F.col("node").alias("hub"), F.col("items").alias("hub_items")
+    )
+    spread = hub_sets.join(large, "hub", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    met = own.join(sets, "node").join(spread, ["hub", "part"])
+    met = met.withColumn("rest", F.array_except("items", "hub_items"))
+    diff = F.concat("rest", F.array_except("hub_items", "items"))
+    met = met.select("node", "hub", F.size("items").alias("n"), F.size("hub_items").alias("hub_n"), "rest", diff.alias("diff"))
+    met = met.withColumn("d", F.size("diff")).withColumn("shared", F.col("n") - F.size("rest"))
+    t = params.percent
+    return met.withColumn("linked", F.col("d") * (100 + t) <= (F.col("n") + F.col("hub_n")) * (100 - t))
+
 
+def _difference_lists(family: DataFrame, params: NearParams) -> DataFrame:
+    """hub, item, node, n, d, common: entries of inverted lists of the differences of classes that their hub doesn't link."""
+    t = params.percent
+    some = family.where("NOT linked")
+    entries = some.select("node", "hub", F.explode("diff").alias("item"))
+    shared = stored(entries.groupBy("hub", "item").agg(F.count("*").alias("df")).where("df > 1"), "shared_differences")
+    # A list is as long as the differences of one class at most.
+    ranked = entries.join(shared, ["hub", "item"]).groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("df", "item"))).alias("found"), F.sum("df").alias("common")
+    )
+    ranked = ranked.join(some.select("node", "hub", "n", "hub_n", "d"), "node")
+    alone = F.col("d") - F.size("found")  # differences of one class come first
+    least = F.floor((F.col("d") * (100 + t) + (F.col("hub_n") - F.col("n")) * (100 - t)) / (2 * (100 + t)) - 1e-9) + 1
+    length = (F.col("d") - least + 1 - alone).cast("int")
+    return ranked.withColumn("length", length).where("length > 0").select(
+        "node", "hub", "n", "d", "common", F.explode(F.slice("found", 1, F.col("length"))).alias("x")
+    ).select("hub", F.col("x.item").alias("item"), "node", "n", "d", "common")
 
-def _against_hub(hubs: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, hub, n, hub_n, shared and rest (the shingles that the hub lacks), from the full sets."""
-    own = hubs.join(sets, "node")
-    hub_sets = sets.select(F.col("node").alias("hub"), F.col("items").alias("hub_items"))
-    met = own.join(hub_sets, "hub").withColumn("rest", F.array_except("items", "hub_items"))
-    n = F.size("items")
-    return met.select("node", "hub", n.alias("n"), F.size("hub_items").alias("hub_n"), (n - F.size("rest")).alias("shared"), "rest")
+
+def _by_differences(family: DataFrame, links: DataFrame, labels: DataFrame | None, size: int, params: NearParams) -> tuple[DataFrame, DataFrame | None]:
+    """All links and components after those of one family have been added."""
+    t = params.percent
+    if empty(family.where("NOT linked")):
+        return links, labels
+    lists = stored(_difference_lists(family, params), "difference_lists")
+    # What the two can share at most has to reach what similar sets of their sizes share.
+    fits = (F.least("d", "other_d") * 2 - F.col("d") - F.col("other_d")) * (100 + t) + (F.col("n") + F.col("other_n")) * (100 - t) >= 0
+    close = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * t
+    side = family.select("node", "n", "d", "diff")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        a = side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("diff").alias("ia"))
+        b = side.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("diff").alias("ib"))
+        apart = F.col("da") + F.col("db") - 2 * F.size(F.array_intersect("ia", "ib"))
+        met = pairs.join(b, "b").join(a, "a").where(apart * (100 + t) <= (F.col("na") + F.col("nb")) * (100 - t))
+        return stored(met.select("a", "b"), "difference_links")
+
+    while True:
+        named = stored(_labelled(lists, labels), "named_lists")
+        # Each list elects the class with the most common differences: half a family's copies may stem from it.
+        top = named.groupBy("hub", "item").agg(
+            F.max(F.struct("common", "node", "label", "n", "d")).alias("top"), F.count("*").alias("size")
+        ).where("size > 1")
+        met = named.join(top, ["hub", "item"]).select(
+            "node", "n", "d", "label", F.col("top.node").alias("other"), F.col("top.label").alias("other_label"),
+            F.col("top.n").alias("other_n"), F.col("top.d").alias("other_d"),
+        )
+        new = confirmed(_pairs(met.where((F.col("label") != F.col("other_label")) & fits & close)))
+        if empty(new):
+            break
+        links = stored(links.union(new), "links")
+        labels = components(links)
+    some = _labelled(family.select("node", "hub", "n", "shared", "rest"), labels)
+    named, pairs = _same_rest(stored(some.drop("rest"), "named", size), some.select("node", F.explode("rest").alias("item")), size)
+    new = confirmed(pairs.union(_within_hub(named, params)).distinct())
+    if not empty(new):
+        links = stored(links.union(new), "links")
+        labels = components(links)
+    return links, labels
 
 
 def _same_rest(named: DataFrame, rests: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:

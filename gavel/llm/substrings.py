@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gavel.llm.tables import bitmap, marked, place_of, stored
+from gavel.llm.tables import bitmap, marked, place_of, stored, working_tables
 from gavel.llm.words import Words, inside, mixed, rolling, slices, texts_of
 
 LEAST_BITS, MOST_BITS = 20, 27  # cells of a sketch row, as a power of two
@@ -323,8 +323,11 @@ def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams()
     carried = [c for c in docs.columns if c not in names and (text_out or c != "text")]
     added = T._parse_datatype_string("n_words long, n_removed long, kept_sha256 string")
     schema = T.StructType([docs.schema[c] for c in carried] + list(added))
-    copies = copies_of(docs, params)
-    places = repeated_ranges(docs, copies, params)
+    keep: list[DataFrame] = []
+    with working_tables(keep):
+        copies = copies_of(docs, params)
+        places = repeated_ranges(docs, copies, params)
+        keep += [copies, places]
     losing = copies.select(*ROW, F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("places")).union(
         places.select(*ROW, F.lit(False).alias("whole"), "places")
     )

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ BLOCK_BITS = 19  # bits of a bitmap that one row of the merge holds
 
 
 ROWS_A_FILE = 100_000  # of working tables whose size is known before they are written
+_made: ContextVar[dict[str, DataFrame] | None] = ContextVar("made", default=None)  # folders of the tables of the open scope
 
 
 def stored(df: DataFrame, label: str, most: int | None = None) -> DataFrame:
@@ -27,7 +31,48 @@ def stored(df: DataFrame, label: str, most: int | None = None) -> DataFrame:
     if most is not None:
         df = df.coalesce(1 + most // ROWS_A_FILE)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if (made := _made.get()) is not None:
+        made[path] = out
+    return out
+
+
+@contextmanager
+def working_tables(keep: list[DataFrame]) -> Iterator[None]:
+    """Deletes the tables stored inside when they are no longer needed: at the end, all but those in `keep`.
+
+    What is kept passes to the scope around this one, if any. Results that are
+    not computed yet may read kept tables only. If the block fails, its tables
+    stay. Shared folders that Arrow has no file system for are left to their owner.
+    """
+    outer, own = _made.get(), {}
+    token = _made.set(own)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+    for path, table in own.items():
+        if any(table is k for k in keep):
+            if outer is not None:
+                outer[path] = table
+        else:
+            _delete(path)
+
+
+def _delete(path: str) -> None:
+    try:
+        files, name = FileSystem.from_uri(path)
+    except pa.ArrowInvalid:  # no such kind of file system
+        return
+    files.delete_dir(name)
+
+
+def dropped(table: DataFrame) -> None:
+    """Deletes a table of the open scope before its end."""
+    made = _made.get() or {}
+    for path in [p for p, t in made.items() if t is table]:
+        del made[path]
+        _delete(path)
 
 
 def empty(df: DataFrame) -> bool:

@@ -1,6 +1,7 @@
 """Operators on the whole corpus: scores, near-duplicates, passages, neighbours, the pipeline."""
 
 import math
+import os
 
 import duckdb
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gavel.llm import neardup, neighbours, ngrams, oracles, queries, substrings
 from gavel.llm.eliasfano import EliasFano
-from gavel.llm.tables import components
+from gavel.llm.tables import components, stored, working_tables
 from tests.llm import brute
 from tests.llm.conftest import DOCS, prose
 
@@ -219,3 +220,50 @@ def test_pipeline_passages_odd_ids(spark, sf_dir):
 def test_pipeline_of_nothing(spark, none, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, sf_dir).count() == 0
+
+
+def test_stages_carry_clashing_columns(spark, docs, sf_dir):
+    names = ["score", "lang_pred", "kept", "n_words", "n_removed", "__row", "component_id"]
+    wide = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        wide = spark.createDataFrame(stage(spark, wide, sf_dir).collect(), wide.schema)
+        assert wide.columns[-len(names):] == names
+        rows = wide.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
+def test_working_tables_go_but_for_those_kept(spark):
+    folder = lambda df: df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    keep = []
+    with working_tables(keep):
+        one, two = stored(spark.range(5), "one"), stored(spark.range(7), "two")
+        gone, kept = folder(one), folder(two)
+        keep.append(two)
+    assert not os.path.exists(gone) and os.path.exists(kept) and two.count() == 7
+    with pytest.raises(ZeroDivisionError), working_tables([]):
+        left = folder(stored(spark.range(3), "left"))
+        1 / 0
+    assert os.path.exists(left)
+
+
+def test_near_duplicate_pairs_of_a_family_below_the_threshold(spark, monkeypatch):
+    """Copies with many edits each, linked with nobody, and two sub-families that leave the hub together."""
+    rng = np.random.default_rng(3)
+    base = prose(50, 200).split()
+    rows = [(0, " ".join(base))]
+    for k in range(1, 150):
+        own = list(base)
+        if k % 3 == 0:
+            for at in range(k % 2, 200, 12):
+                own[at] = f"sub{k % 2}x{at}"
+        else:
+            for at in rng.choice(200, size=int(rng.integers(8, 20)), replace=False):
+                own[at] = f"w{at}x{rng.integers(0, 40)}"
+        own[int(rng.integers(0, 200))] = f"only{k}"
+        rows.append((k, " ".join(own)))
+    tested = []
+    plain = neardup._pairs
+    monkeypatch.setattr(neardup, "_pairs", lambda left: tested.append(plain(left).count()) or plain(left))
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    check_near(found.collect(), rows)
+    assert sum(tested) < 150 * 149 / 2 / 4  # members of one sub-family are never paired with each other
