@@ -1,7 +1,8 @@
 """The corpus pipeline: language, quality, near-duplicates, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
-kept; stages but the last return the columns of `documents`.
+kept; stages but the last return the columns of `documents`. Extra columns are
+carried as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,23 +12,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.llm import language, neardup, packing, quality, substrings
-from gavel.llm.tables import stored
+from gavel.llm.tables import stored, working_tables
 
 LEAST_SCORE = 0.5  # share of a text that its language must have
 ORACLE_SQL = None  # mixtures and packing have no SQL: tests/llm compares with brute force
 
 
+READ = {"doc_id", "text", "lang", "n_chars"}  # columns that stages use
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    """`docs` with names that no operator adds for all columns that are only carried."""
+    return docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c not in READ})
+
+
+def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` under their names again."""
+    return found.select(*[F.col(c if c in READ else f"__own_{c}").alias(c) for c in docs.columns])
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with one language that is most of their text; texts without a letter go."""
     model = language.learn(docs.select("text", "lang"))
-    found = language.identified(docs, model)
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*docs.columns)
+    found = language.identified(_aside(docs), model)
+    return _back(found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)), docs)
 
 
 def repetition(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that neither are too short nor repeat themselves too much."""
-    return quality.repetition(docs).where("kept").select(*docs.columns)
+    return _back(quality.repetition(_aside(docs)).where("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,22 +51,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     decides. Groups are of rows, numbered in a stored table, so ids may repeat
     or lack. Rows without words are no group and all stay.
     """
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = neardup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), neardup.NearParams(words=5))
-    found = stored(found.select(F.col("doc_id").alias("__row"), "component_id"), "groups")
-    # The digest is taken where the text is, so that no text is shuffled for it.
-    keys = rows.select("__row", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "__row")
-    first = keys.join(found, "__row").groupBy("component_id").agg(F.min(order).alias("first")).select("first.__row")
-    gone = stored(found.select("__row").join(first, "__row", "left_anti"), "dropped")
-    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
+    keep: list[DataFrame] = []
+    with working_tables(keep):
+        rows = stored(_aside(docs).withColumn("__row", F.monotonically_increasing_id()), "numbered")
+        found = neardup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), neardup.NearParams(words=5))
+        found = stored(found.select(F.col("doc_id").alias("__row"), "component_id"), "groups")
+        # The digest is taken where the text is, so that no text is shuffled for it.
+        keys = rows.select("__row", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "__row")
+        first = keys.join(found, "__row").groupBy("component_id").agg(F.min(order).alias("first")).select("first.__row")
+        gone = stored(found.select("__row").join(first, "__row", "left_anti"), "dropped")
+        keep += [rows, gone]
+    return _back(rows.join(gone, "__row", "left_anti"), docs)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes passages that an earlier document has, too; n_chars follows the text."""
-    kept = substrings.without_repeats(docs, text_out=True)
+    kept = substrings.without_repeats(_aside(docs), text_out=True)
     size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return _back(kept.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,5 +89,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        kept: list[DataFrame] = []
+        with working_tables(kept):
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+            kept.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
