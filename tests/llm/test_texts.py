@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gavel.llm import bpe, language, packing, quality, queries, tokenfile, urls
+from gavel.llm.ragged import RunCache
 from gavel.llm.wordtokens import word_tokens
 from gavel.session import work_folder
 from tests.llm import brute
@@ -205,3 +206,18 @@ def test_urls(spark):
             assert (r.host, r.path, r.rule, r.verdict) == cases[r.url]
     assert urls.judged(pages.limit(0), urls.rules_frame(spark)).count() == 0
     assert {r.verdict for r in urls.judged(pages, urls.rules_frame(spark).limit(0)).collect()} == {"allow"}
+
+
+def test_markers_in_texts_are_ids_of_their_own(library):
+    texts = ["Hello <|endoftext|> world", "a<|startoftext|>b<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext|><|endoftext|>", "<|endoftext"]
+    ids, bounds, _ = word_tokens(WORD_FILE).encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [library(t) for t in texts]
+    assert 49407 in ids
+
+
+def test_run_cache_starts_anew_beyond_its_room():
+    cache = RunCache(lambda keys: (np.array([len(k) for k in keys], np.int32), np.ones(len(keys), np.int64)), room=50)
+    for k in range(20):
+        keys = ["x" * (k + 1), "y" * 30, "x" * (k + 1)]
+        assert cache.joined(cache.rows(keys)).tolist() == [k + 1, 30, k + 1]
+        assert cache.held + cache.used <= 50 + 2 * 54
