@@ -23,6 +23,21 @@ def density_by_outcome(t: Tables):
     return x.density(counts, ["is_winner"], 1 / 16)
 
 
+def streaks_by_outcome(t: Tables):
+    """Streaks of the nearest opponent where that is a bidomatic, winners against losers."""
+    rows = t.plain.where("is_bidomatic0")
+    return x.histogram(rows, F.col("bom_streak0"), 2.0, ["is_winner"])
+
+
+def bid_density_by_outcome(t: Tables):
+    return x.density(x.histogram(t.scored, F.col("bid"), 4.0, ["is_winner"]), ["is_winner"], 4.0)
+
+
+def values_of_bets(t: Tables):
+    """Expected values of the bets worth placing, in bins of a sixteenth."""
+    return x.histogram(ev.expected(t.scored).where(F.col("ep") > 0.1), F.col("ep"), 1 / 16)
+
+
 def log_bids_per_user(t: Tables):
     """Users by bid count in bins of 50, split at a count of 200."""
     counts = x.bids_per_user(t.bids)
@@ -141,6 +156,10 @@ QUERIES = {
         with_auction(t.bids.groupBy("auctionid").agg(F.max("bid").alias("bid")), t.auctions),
         F.col("bid"), 2.0, x.PRODUCT,
     ),
+    "a16_streaks_by_outcome": streaks_by_outcome,
+    "a16_bid_density_by_outcome": bid_density_by_outcome,
+    "a16_winners_bids_by_product": lambda t: x.winning_bids_by_product(t.transform),
+    "a16_values_of_bets": values_of_bets,
     "a16_log_bids_per_user": log_bids_per_user,
     "a17_probability_counts": prob_counts,
     "a18_overall_counts": outcome_counts,

@@ -36,11 +36,24 @@ def fitted(rows, categories=None, ratio: float = 0.5):
     return wm.WinModel(forest, sampling_ratio=ratio).fit(rows, categories)
 
 
+def split_by_time(t: Tables):
+    """All rows to model, the earlier auctions' to fit on and the later ones' to score."""
+    rows = modelled(t)
+    split = wm.time_split(rows, MIDWAY, "2024-02-01")
+    return rows, *[split.where(F.col("split") == part).drop("split") for part in ("train", "test")]
+
+
 def scores(t: Tables):
     """Calibrated probabilities of a forest trained on the earlier auctions."""
-    rows = wm.time_split(modelled(t), MIDWAY, "2024-02-01")
-    model = fitted(rows.where(F.col("split") == "train"), rows)
-    return model.score(rows.where(F.col("split") == "test").drop("split")).select(*KEY, "prob", "predicted")
+    rows, earlier, later = split_by_time(t)
+    return fitted(earlier, rows).score(later).select(*KEY, "prob", "predicted")
+
+
+def scored_rows(t: Tables):
+    """Per later auction its rows with a score, and how many are probabilities."""
+    return scores(t).groupBy("auctionid").agg(
+        F.count("*").alias("n"), F.count_if(F.col("prob").between(0, 1)).alias("n_probabilities")
+    )
 
 
 def encoded(t: Tables):
@@ -78,8 +91,8 @@ def calibrated(t: Tables):
 
 
 def scenario_scores(t: Tables):
-    rows = modelled(t)
-    scored = fitted(rows).score(scenarios(rows))
+    rows, earlier, later = split_by_time(t)
+    scored = fitted(earlier, rows).score(scenarios(later))
     return scored.groupBy(*KEY).agg(
         F.max(F.when(F.col("is_bidomatic"), F.col("prob"))).alias("bom_proba"),
         F.max(F.when(~F.col("is_bidomatic"), F.col("prob"))).alias("manual_proba"),
@@ -87,13 +100,14 @@ def scenario_scores(t: Tables):
 
 
 def importances(t: Tables):
-    rows = modelled(t)
-    return wm.feature_importances(fitted(rows), rows)
+    rows, earlier, _ = split_by_time(t)
+    return wm.feature_importances(fitted(earlier, rows), rows)
 
 
 def permuted(t: Tables):
-    rows = modelled(t)
-    return wm.permutation_importance(fitted(rows), rows)
+    """Importances on auctions that the model has not seen."""
+    rows, earlier, later = split_by_time(t)
+    return wm.permutation_importance(fitted(earlier, rows), later)
 
 
 def shuffled_sums(t: Tables):
@@ -115,31 +129,32 @@ def cluster_means(t: Tables):
 
 
 def profit_regression(t: Tables):
-    rows = wm.impute(wm.model_features(ev.profits(modelled(t))))
-    prepared = Pipeline(stages=wm.encoder_stages()).fit(rows).transform(rows)
+    rows, earlier, later = [wm.impute(wm.model_features(ev.profits(part))) for part in split_by_time(t)]
+    encoder = Pipeline(stages=wm.encoder_stages()).fit(rows)
     forest = RandomForestRegressor(numTrees=TREES, maxDepth=DEPTH, seed=17, labelCol="actual")
-    return forest.fit(prepared).transform(prepared).select(*KEY, "actual", "prediction")
+    return forest.fit(encoder.transform(earlier)).transform(encoder.transform(later)).select(*KEY, "actual", "prediction")
 
 
 def feed_forward(t: Tables):
     """Two hidden layers of 30 (sigmoid units; the output layer is softmax)."""
-    rows = wm.impute(wm.model_features(modelled(t))).withColumn("label", F.col("is_winner").cast("double"))
+    label = F.col("is_winner").cast("double")
+    rows, earlier, later = [wm.impute(wm.model_features(part)).withColumn("label", label) for part in split_by_time(t)]
     encoder = Pipeline(stages=wm.encoder_stages()).fit(rows)
-    sample = wm.undersample(rows, "is_winner", 0.5, KEY)
+    sample = wm.undersample(earlier, "is_winner", 0.5, KEY)
     width = len(wm.feature_names(encoder, rows))
     net = MultilayerPerceptronClassifier(layers=[width, 30, 30, 2], maxIter=30, seed=17)
     model = net.fit(encoder.transform(sample).select("features", "label"))
-    return model.transform(encoder.transform(rows)).select(*KEY, vector_to_array("probability")[1].alias("prob"))
+    return model.transform(encoder.transform(later)).select(*KEY, vector_to_array("probability")[1].alias("prob"))
 
 
 def model_saved(t: Tables):
     """Scores of a model that was saved and loaded, next to the original's."""
-    rows, path = modelled(t), t.folder("model")
-    model = fitted(rows)
+    (rows, earlier, later), path = split_by_time(t), t.folder("model")
+    model = fitted(earlier, rows)
     model.save(path)
     again = wm.WinModel.load(t.spark, path)
-    return again.score(rows).select(*KEY, F.col("prob").alias("loaded")).join(
-        model.score(rows).select(*KEY, F.col("prob").alias("fitted")), KEY
+    return again.score(later).select(*KEY, F.col("prob").alias("loaded")).join(
+        model.score(later).select(*KEY, F.col("prob").alias("fitted")), KEY
     )
 
 
@@ -155,6 +170,7 @@ QUERIES = {
     "m05_undersample": undersampled,
     "m05_undersample_size": undersample_size,
     "m06_forest_scores": scores,
+    "m06_scored_rows": scored_rows,
     "m07_calibrated": calibrated,
     "m08_scenario_scores": scenario_scores,
     "m09_feature_importances": importances,

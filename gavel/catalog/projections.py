@@ -126,6 +126,10 @@ QUERIES = {
     ).groupBy("bidvalue", x.rounded(F.col("perc_to_bin")).alias("perc_of_bin")).agg(
         x.rate("giveup").alias("giveup_frac")
     ),
+    "f16_giveup_against_parameter": lambda t: x.giveup_against_group(
+        t.transform.where((F.col("cardvalue") == 0) & F.col("bidvalue").isin(3, 5, 8, 10, 15, 25)),
+        "bidvalue", x.rounded(F.col("perc_to_bin")), "perc_of_bin",
+    ).where((F.col("perc_of_bin") > 0) & (F.col("perc_of_bin") < 5)),
     "f17_fill_zero": lambda t: t.transform.groupBy("username").agg(
         F.count("*").alias("n"), x.rounded(F.avg(F.when(F.col("giveup"), F.col("bids_so_far")))).alias("avg_giveup")
     ).na.fill(0),

@@ -16,7 +16,8 @@ from gavel.session import written
 
 # What missing features become.
 MISSING_NUMBER, MISSING_TEXT = -1.0, "unknown"
-HASH_BUCKETS_BITS = 44
+# A 60-bit hash is refined 16 bits at a time.
+HASH_LEVELS = (44, 28)
 
 
 def model_rows(full: DataFrame, since: str | None = None) -> DataFrame:
@@ -68,39 +69,45 @@ def random_order(keys: list[str], seed: int) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(",", *keys, F.lit(seed))), 1, 15), 16, 10).cast("long")
 
 
-def _bucket(h: Column) -> Column:
-    """Top bits of the hash, in hash order: about even 2**16 ranges."""
-    return F.shiftright(h, HASH_BUCKETS_BITS)
+def _bucket(h: Column, level: int) -> Column:
+    """Top bits of the hash, in hash order: about 2**16 even ranges within a range of the level above."""
+    return F.shiftright(h, HASH_LEVELS[level])
+
+
+def _cut(counts: DataFrame, wanted: Column) -> DataFrame:
+    """range, keep: the range in which the first `wanted` rows end, and how many of its rows are among them."""
+    upto = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
+    falls = counts.withColumns({"upto": upto, "wanted": wanted}).where(
+        (F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))
+    )
+    return falls.select("range", (F.col("wanted") - F.col("upto") + F.col("n")).alias("keep"))
 
 
 def undersample(df: DataFrame, label: str, ratio: float, keys: list[str], seed: int = 17) -> DataFrame:
     """All positives, and exactly positives/ratio random negatives.
 
     Negatives are ordered by a hash. Counts per hash range (at most 2**16) show
-    in which range the cut falls, and ranking that range alone gives the last
-    key to keep. The rows themselves are then filtered where they are, without
-    a shuffle.
+    in which range the cut falls. Its keys are set aside and counted again by
+    finer ranges, and ranking the finest, about one in 2**32 of the negatives,
+    gives the last key to keep. The rows themselves are then filtered where
+    they are, without a shuffle.
     """
     h = random_order(keys, seed)
     negative = ~F.col(label)
     counts = written(
-        df.groupBy(F.when(negative, _bucket(h)).alias("range")).agg(F.count("*").alias("n")), "counts"
+        df.groupBy(F.when(negative, _bucket(h, 0)).alias("range")).agg(F.count("*").alias("n")), "counts"
     )
     wanted = F.coalesce(counts.where(F.col("range").isNull()).select(F.floor(F.max("n") / F.lit(float(ratio)))).scalar(), F.lit(0))
-    upto = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
-    cut = (
-        counts.where(F.col("range").isNotNull())
-        .withColumns({"upto": upto, "wanted": wanted})
-        .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-        .select("range", (F.col("wanted") - F.col("upto") + F.col("n")).alias("keep"))
-    )
-    cut = written(cut, "cut")
+    cut = written(_cut(counts.where(F.col("range").isNotNull()), wanted), "cut")
     place = F.struct(h.alias("h"), *keys)
-    in_range = Window.orderBy("place")
+    falls = written(df.where(negative & (_bucket(h, 0) == cut.select("range").scalar())).select(place.alias("place")), "falls")
+    for level in range(1, len(HASH_LEVELS)):
+        finer = _bucket(F.col("place.h"), level)
+        counted = falls.groupBy(finer.alias("range")).agg(F.count("*").alias("n"))
+        cut = written(_cut(counted, cut.select("keep").scalar()), "cut")
+        falls = falls.where(finer == cut.select("range").scalar())
     last = (
-        df.where(negative & (_bucket(h) == cut.select("range").scalar()))
-        .select(place.alias("place"))
-        .withColumn("rank", F.row_number().over(in_range))
+        falls.withColumn("rank", F.row_number().over(Window.orderBy("place")))
         .where(F.col("rank") == cut.select("keep").scalar())
         .select("place")
     )
@@ -239,8 +246,9 @@ def feature_importances(fitted: WinModel, df: DataFrame) -> DataFrame:
 
 def _ranked(rows: DataFrame, keys: list[str], salt: int, name: str) -> DataFrame:
     """`rows` with their place in a pseudo-random order: a running count in hash ranges."""
-    hashed = rows.withColumn("_h", random_order(keys, salt)).withColumn("_hb", _bucket(F.col("_h")))
-    return running(hashed, [], ["_hb"], ["_h", *keys], {name: F.lit(1)}).drop("_h", "_hb")
+    blocks = {f"_h{level}": _bucket(F.col("_h"), level) for level in range(len(HASH_LEVELS))}
+    hashed = rows.withColumn("_h", random_order(keys, salt)).withColumns(blocks)
+    return running(hashed, [], list(blocks), ["_h", *keys], {name: F.lit(1)}).drop("_h", *blocks)
 
 
 def shuffled_column(df: DataFrame, col: str, keys: list[str], seed: int) -> DataFrame:

@@ -305,20 +305,29 @@ def with_prev_win_bids(transformed: DataFrame) -> DataFrame:
         ),
         "last_bids",
     )
-    per_time = last_bids.groupBy("username", F.to_date("auctiontime").alias("day"), "auctiontime").agg(
+    ts = F.col("auctiontime")
+    placed = last_bids.withColumns({"day": F.to_date(ts), "minute": scalar.minute_of_day(ts)})
+    per_time = placed.groupBy("username", "day", "minute", "auctiontime").agg(
         F.count("*").alias("n_auctions"), F.max_by("worth", F.struct("last", "auctionid")).alias("worth")
     )
-    in_day = Window.partitionBy("username", "day").orderBy("auctiontime")
+    # The time before is looked for in the same minute, else in the day's minute before, else in the user's day before.
+    in_minute = Window.partitionBy("username", "day", "minute").orderBy("auctiontime")
+    in_day = Window.partitionBy("username", "day").orderBy("minute")
     by_day = Window.partitionBy("username").orderBy("day")
-    day_before = per_time.groupBy("username", "day").agg(F.max_by("worth", "auctiontime").alias("day_worth")).select(
+    latest = F.max_by("worth", "auctiontime")
+    minute_before = per_time.groupBy("username", "day", "minute").agg(latest.alias("minute_worth")).select(
+        "username", "day", "minute", F.lag("minute_worth").over(in_day).alias("minute_before")
+    )
+    day_before = per_time.groupBy("username", "day").agg(latest.alias("day_worth")).select(
         "username", "day", F.lag("day_worth").over(by_day).alias("day_before")
     )
-    before = per_time.select("*", F.lag("worth").over(in_day).alias("earlier")).join(day_before, ["username", "day"])
+    carry = minute_before.join(day_before, ["username", "day"])
+    before = per_time.select("*", F.lag("worth").over(in_minute).alias("earlier")).join(carry, ["username", "day", "minute"])
     before = before.select(
         "username",
         "auctiontime",
         (F.col("n_auctions") > 1).alias("_tied"),
-        F.coalesce("earlier", "day_before", F.lit(0)).alias("_before"),
+        F.coalesce("earlier", "minute_before", "day_before", F.lit(0)).alias("_before"),
     )
     known = last_bids.select("auctionid", "username", "auctiontime").join(before, ["username", "auctiontime"])
     rows = transformed.join(known.drop("auctiontime"), ["auctionid", "username"])

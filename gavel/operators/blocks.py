@@ -21,6 +21,24 @@ def block_of(col: Column, width: int = WIDTH) -> Column:
     return F.floor(col / F.lit(width)).cast("long")
 
 
+def double_blocks(df: DataFrame, col: Column, prefix: str) -> tuple[DataFrame, list[str]]:
+    """`df` with nested block columns that follow the order of a double, and their names.
+
+    The levels are the value's power of two with 5 bits behind it, 16 bits more
+    and 16 bits more, so however close the values lie, no block holds more than
+    2**16 distinct lower blocks or, innermost, 2**15 distinct values.
+    """
+    size = F.abs(col)
+    power = F.floor(F.log2(size))
+    # Close to a power of two the logarithm may be rounded past it: such values join the block at that end.
+    digits = F.least(F.greatest(size / F.pow(F.lit(2.0), power), F.lit(1.0)), F.lit(2.0 - 2.0**-52))
+    levels = [power * 32 + F.lit(1100 * 32) + F.floor(digits * 32) - 32, F.floor(digits * F.lit(2.0**21)), F.floor(digits * F.lit(2.0**37))]
+    names = [f"{prefix}_{i}" for i in range(len(levels))]
+    # Null for zero, which lies between both signs.
+    signed = [F.coalesce(F.signum(col).cast("long") * level, F.lit(0).cast("long")) for level in levels]
+    return df.withColumns(dict(zip(names, signed))), names
+
+
 def carry_in(df: DataFrame, keys: list[str], block: str, measures: dict[str, Column]) -> DataFrame:
     """Per (keys, block): the totals of `measures` over all earlier blocks."""
     totals = df.groupBy(*keys, block).agg(*[F.sum(c).alias(f"_{n}") for n, c in measures.items()])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gavel.functions import scalar
 from gavel.functions.scalar import BID_CENTS, BID_COST, grid_below
-from gavel.operators.blocks import running
+from gavel.operators.blocks import double_blocks, running
 from gavel.operators.exploration import rounded
 from gavel.session import written
 
@@ -132,11 +132,9 @@ def sweep_every_probability(scored: DataFrame, above: float = 0.4) -> DataFrame:
         _won_cents().alias("gain"),
     )
     points = written(points, "points")
-    down = points.withColumns(
-        {"below": -F.col("prob"), "below_block": F.floor(-F.col("prob") * 1000)}
-    )
+    down, blocks = double_blocks(points.withColumn("below", -F.col("prob")), F.col("below"), "below")
     measures = {f"{c}_up": F.col(c) for c in ("n", "won", "gain")}
-    totals = running(down, [], ["below_block"], ["below"], measures)
+    totals = running(down, [], blocks, ["below"], measures)
     all_n = points.select(F.sum("n")).scalar()
     all_won = points.select(F.sum("won")).scalar()
     n, tp = F.col("n_up"), F.col("won_up")
@@ -206,8 +204,8 @@ def ev_chunks(scored: DataFrame, size: int = 1000) -> DataFrame:
     """
     bets = expected(scored).where(F.col("ep") > 0)
     points = bets.groupBy("ep").agg(F.count("*").alias("n"), F.sum("actual").alias("profit"))
-    points = written(points, "points").withColumn("ep_block", F.floor(F.col("ep") * 1000))
-    totals = running(points, [], ["ep_block"], ["ep"], {"upto": F.col("n"), "profit_upto": F.col("profit")})
+    points, blocks = double_blocks(written(points, "points"), F.col("ep"), "ep")
+    totals = running(points, [], blocks, ["ep"], {"upto": F.col("n"), "profit_upto": F.col("profit")})
     before = F.col("upto") - F.col("n")
     first_k = F.ceil(before / size).cast("long")
     last_k = F.floor((F.col("upto") - 1) / size).cast("long")
@@ -278,8 +276,8 @@ def roc_points(scored: DataFrame) -> DataFrame:
     won = F.col("is_winner").cast("long")
     points = scored.groupBy("prob").agg(F.sum(won).alias("pos"), F.sum(1 - won).alias("neg"))
     points = written(points, "points")
-    down = points.withColumns({"below": -F.col("prob"), "below_block": F.floor(-F.col("prob") * 1000)})
-    totals = running(down, [], ["below_block"], ["below"], {"tp": F.col("pos"), "fp": F.col("neg")})
+    down, blocks = double_blocks(points.withColumn("below", -F.col("prob")), F.col("below"), "below")
+    totals = running(down, [], blocks, ["below"], {"tp": F.col("pos"), "fp": F.col("neg")})
     all_pos = points.select(F.sum("pos")).scalar()
     all_neg = points.select(F.sum("neg")).scalar()
     return totals.select(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavel.functions.scalar import BIDS_PER_DOLLAR, ratio
+from gavel.session import written
 
 PRODUCT = ["cardtype", "cardvalue", "bidvalue"]
 
@@ -81,6 +82,22 @@ def giveup_against_overall(rows: DataFrame, key: Column, name: str) -> DataFrame
     )
 
 
+def giveup_against_group(rows: DataFrame, group: str, key: Column, name: str) -> DataFrame:
+    """Give-up rate per group and key next to the group's own rate; the rows are counted once."""
+    cells = rows.groupBy(group, key.alias(name)).agg(
+        F.count("*").alias("n"), F.sum(F.col("giveup").cast("int")).alias("giveups")
+    )
+    cells = written(cells, "cells")
+    overall = cells.groupBy(group).agg(rounded(F.sum("giveups") / F.sum("n")).alias("avg_giveup"))
+    return cells.join(overall, group).select(group, name, "avg_giveup", rounded(F.col("giveups") / F.col("n")).alias("giveup_frac"))
+
+
+def winning_bids_by_product(rows: DataFrame) -> DataFrame:
+    """How many bids winners had placed, for products on which somebody gave up."""
+    given_up = rows.where("giveup").select(*PRODUCT).distinct()
+    return histogram(rows.where("is_winner"), F.col("bids_so_far"), 2.0, PRODUCT).join(given_up, PRODUCT, "left_semi")
+
+
 def group_means(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     types = dict(rows.dtypes)
     cols = [F.col(c).cast("int") if types[c] == "boolean" else F.col(c) for c in values]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.functions.scalar import perc_to_bin
+from gavel.functions.scalar import minute_of_day, perc_to_bin
 from gavel.operators.blocks import block_of, carry_in
 
 # measure in the rollup -> name of its exclusive prefix sum
@@ -80,38 +80,40 @@ def user_history(rolled: DataFrame) -> DataFrame:
 
     Auctions that end at the same instant count each other as past (the sums
     run over peers); the auction count breaks such ties by auction id. Rows are
-    first summed per (user, instant, range of ids), then run inside a day, and
-    each day gets the carry of the user's earlier days.
+    first summed per (user, instant, range of ids), then run inside a minute.
+    Each minute gets the carry of the day's earlier minutes, and each day that
+    of the user's earlier days, so a busy day of one user stays spread out.
     """
+    ts = F.col("auctiontime")
     spread = rolled.withColumns(
-        {"day": F.to_date("auctiontime"), "id_block": block_of(F.col("auctionid"))}
+        {"day": F.to_date(ts), "minute": minute_of_day(ts), "id_block": block_of(F.col("auctionid"))}
     )
-    keys = ["username", "day", "auctiontime", "id_block"]
+    keys = ["username", "day", "minute", "auctiontime", "id_block"]
     per_instant = spread.groupBy(*keys).agg(
         F.expr("count(*) AS n"), *[F.expr(f"sum({m}) AS {m}") for m in PREFIX_SUMS]
     )
-    upto = "(PARTITION BY username, day ORDER BY auctiontime RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    instant = "PARTITION BY username, day, auctiontime"
+    upto = "(PARTITION BY username, day, minute ORDER BY auctiontime RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    instant = "PARTITION BY username, day, minute, auctiontime"
     lower_ids = f"({instant} ORDER BY id_block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     placed = per_instant.selectExpr(
         *keys,
         *[f"sum({m}) OVER {upto} AS {m}_upto" for m in PREFIX_SUMS],
         f"sum(n) OVER {upto} - sum(n) OVER ({instant}) + coalesce(sum(n) OVER {lower_ids}, 0) AS n_before",
     )
-    carry = carry_in(
-        per_instant,
-        ["username"],
-        "day",
-        {f"{m}_days": F.col(m) for m in PREFIX_SUMS} | {"n_days": F.col("n")},
+    measures = [*PREFIX_SUMS, "n"]
+    minutes = carry_in(per_instant, ["username", "day"], "minute", {f"{m}_minutes": F.col(m) for m in measures})
+    days = carry_in(per_instant, ["username"], "day", {f"{m}_days": F.col(m) for m in measures})
+    carry = minutes.join(days, ["username", "day"]).select(
+        "username", "day", "minute", *[(F.col(f"{m}_minutes") + F.col(f"{m}_days")).alias(f"{m}_carry") for m in measures]
     )
-    totals = placed.join(carry, ["username", "day"])
+    totals = placed.join(carry, ["username", "day", "minute"])
     among = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY auctionid) - 1 AS rank_in"
     return spread.selectExpr("*", among).join(totals, keys).selectExpr(
         "auctiontime",
         "username",
         "auctionid",
-        *[f"{m}_days + {m}_upto - {m} AS {name}" for m, name in PREFIX_SUMS.items()],
-        "n_days + n_before + rank_in AS prev_auction_count",
+        *[f"{m}_carry + {m}_upto - {m} AS {name}" for m, name in PREFIX_SUMS.items()],
+        "n_carry + n_before + rank_in AS prev_auction_count",
     )
 
 

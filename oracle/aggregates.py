@@ -127,6 +127,25 @@ FROM bt WHERE perc_to_bin > 0.1e0 AND perc_to_bin < 1 GROUP BY ALL""",
 FROM bt WHERE is_winner GROUP BY ALL""",
         "bt",
     ),
+    "a16_streaks_by_outcome": sql(
+        """SELECT is_winner, CAST(bom_streak0 // 2 AS BIGINT) AS bin, count(*) AS n
+FROM full_table WHERE is_bidomatic0 AND bom_streak0 IS NOT NULL GROUP BY ALL""",
+        "full_table",
+    ),
+    "a16_bid_density_by_outcome": sql(
+        """SELECT is_winner, bin, n, round(n / (sum(n) OVER (PARTITION BY is_winner) * 4e0), 6) AS density FROM
+(SELECT is_winner, CAST(bid // 4 AS BIGINT) AS bin, count(*) AS n FROM scored GROUP BY ALL)""",
+        "scored",
+    ),
+    "a16_winners_bids_by_product": sql(
+        """SELECT cardtype, cardvalue, bidvalue, CAST(bids_so_far // 2 AS BIGINT) AS bin, count(*) AS n FROM bt
+WHERE is_winner AND (cardtype, cardvalue, bidvalue) IN (SELECT (cardtype, cardvalue, bidvalue) FROM bt WHERE giveup) GROUP BY ALL""",
+        "bt",
+    ),
+    "a16_values_of_bets": sql(
+        """SELECT CAST(floor(ep / 0.0625e0) AS BIGINT) AS bin, count(*) AS n FROM ev WHERE ep > 0.1e0 GROUP BY ALL""",
+        "ev",
+    ),
     "a16_log_bids_per_user": sql(
         """SELECT my_count > 200 AS many, my_count // 50 AS bin, count(*) AS users, round(log10(count(*)), 6) AS log_users
 FROM (SELECT username, count(*) AS my_count FROM bids GROUP BY username) GROUP BY ALL""",

@@ -45,6 +45,12 @@ FROM scored) WHERE is_winner OR place <= 2 * (SELECT count(*) FROM scored WHERE
         f"""SELECT auctionid, bid, CASE WHEN {shuffled(0)} % 1000000 / 1000000e0 < 0.75e0 THEN 'train' ELSE 'test' END AS split FROM scored""",
         "scored",
     ),
+    "m06_scored_rows": sql(
+        """SELECT auctionid, count(*) AS n, count(*) AS n_probabilities FROM full_table
+WHERE auctiontime > '2024-01-10' AND auctiontime <= '2024-02-01' AND auctionid IN (SELECT auctionid FROM full_table WHERE is_bidomatic)
+GROUP BY auctionid""",
+        "full_table",
+    ),
     "m07_calibrated": sql(
         """SELECT auctionid, bid, round(yes / (yes + no), 6) AS prob FROM (SELECT auctionid, bid,
  prob * rate / (1e0 / 3) AS yes, (1 - prob) * (1 - rate) / (1 - 1e0 / 3) AS no FROM scored,

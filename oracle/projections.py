@@ -101,6 +101,13 @@ CASE WHEN tracking_ok THEN '' ELSE 'NOT FULLY TRACKING!' END AS tracking_text FR
 FROM bt WHERE cardvalue = 0 AND bidvalue IN (3, 5, 8, 10, 15, 25) GROUP BY ALL""",
         "bt",
     ),
+    "f16_giveup_against_parameter": sql(
+        """SELECT bidvalue, perc_of_bin, round(rate, 6) AS avg_giveup, round(avg(CAST(giveup AS INTEGER)), 6) AS giveup_frac
+FROM (SELECT bidvalue, round(perc_to_bin, 6) AS perc_of_bin, giveup, avg(CAST(giveup AS INTEGER)) OVER (PARTITION BY bidvalue) AS rate
+ FROM bt WHERE cardvalue = 0 AND bidvalue IN (3, 5, 8, 10, 15, 25))
+WHERE perc_of_bin > 0 AND perc_of_bin < 5 GROUP BY bidvalue, perc_of_bin, rate""",
+        "bt",
+    ),
     "f17_fill_zero": sql(
         """SELECT username, count(*) AS n, coalesce(round(avg(bids_so_far) FILTER (WHERE giveup), 6), 0) AS avg_giveup
 FROM bt GROUP BY username""",

@@ -1,6 +1,7 @@
 """Literal fixtures for the per-bid features, history and opponents."""
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -64,6 +65,25 @@ def test_previous_win(spark):
     assert rows[(1, 2)]["prev_win_bids"] == 0
 
 
+def test_busy_day_of_one_user(spark):
+    """Auctions within seconds, minutes and days: history and last win as a plain walk gives them."""
+    n, rng = 240, random.Random(4)
+    start = dt.datetime(2024, 1, 1, 23, 30)
+    when = [start + dt.timedelta(seconds=15 * i + (86_400 * 3 if i > 200 else 0)) for i in range(n)]
+    won = [rng.random() < 0.4 for _ in range(n)]
+    data = []
+    for i in range(n):
+        data += [(i, 1, "u", True), (i, 2, "v", True)] + ([(i, 3, "u", False)] if won[i] else [])
+    bids, auctions = make_bids(spark, data), make_auctions(spark, list(range(n)), when, bidvalue=50)
+    hist = by_key(h.user_history(h.rollup(bids, auctions)), "username", "auctionid")
+    rows = by_key(with_prev_win_bids(bid_transform(bids, auctions)), "auctionid", "bid")
+    for i in range(n):
+        own = hist[("u", i)]
+        assert own["prev_auction_count"] == i and own["prev_wins_count"] == sum(won[:i])
+        assert own["prev_bid_count"] == i + sum(won[:i])
+        assert rows[(i, 1)]["prev_win_bids"] == (50 if i and won[i - 1] else 0)
+
+
 def test_new_user_has_defaults(spark):
     bids = make_bids(spark, [(1, 1, "a", True), (1, 2, "b", True)])
     row = by_key(auction_full(bids, make_auctions(spark, [1])), "bid")[(2,)]

@@ -12,7 +12,7 @@ from gavel.functions.titles import parse_titles
 from gavel.model import win_model as wm
 from gavel.operators import evaluation as ev
 from gavel.operators import exploration as x
-from gavel.operators.blocks import running
+from gavel.operators.blocks import double_blocks, running
 from gavel.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 SCORED = "auctionid long, bid int, is_winner boolean, cashvalue int, fee double, is_bidomatic boolean, prob double"
@@ -119,6 +119,42 @@ def test_running_totals_over_nested_blocks(spark):
                 assert got[(k, i)] == total
 
 
+def test_blocks_follow_the_order_of_doubles(spark):
+    rng = random.Random(5)
+    values = [0.0, 1.0, 2.0, 5e-324, 1e-300, -1.0] + [s * (2.0**k + e) for k in range(-40, 40) for e in (0, 1e-16, -1e-16) for s in (1, -1)]
+    values += [rng.random() / 100 for _ in range(3000)]
+    rows, names = double_blocks(spark.createDataFrame([(v,) for v in set(values)], "v double"), F.col("v"), "b")
+    placed = sorted((r.v, tuple(r[n] for n in names)) for r in rows.collect())
+    keys = [k for _, k in placed]
+    assert keys == sorted(keys)
+
+
+def test_sweep_of_close_probabilities(spark):
+    """All values lie within a hundredth of each other, as those of a rare outcome do."""
+    rng = random.Random(9)
+    data = [(i, 1, rng.random() < 0.3, 10, 1.0, True, 0.009 * rng.random()) for i in range(400)]
+    df = spark.createDataFrame(data, SCORED)
+    got = {r.thresh: (r.tp, r.fp) for r in ev.sweep_every_probability(df, above=0.0).collect()}
+    for p in rng.sample([d[-1] for d in data], 20):
+        above = [d for d in data if d[-1] >= p]
+        assert got[p] == (sum(d[2] for d in above), sum(not d[2] for d in above))
+
+
+def test_undersample_refines_the_cut(spark, monkeypatch):
+    """With coarse first ranges the finer ones decide; any levels keep the same rows."""
+    df, _ = scored(spark, 5000)
+    keys = ["auctionid", "bid"]
+    usual = sorted(wm.undersample(df, "is_winner", 0.5, keys).select(*keys).collect())
+    monkeypatch.setattr(wm, "HASH_LEVELS", (59, 57, 54))
+    assert sorted(wm.undersample(df, "is_winner", 0.5, keys).select(*keys).collect()) == usual
+
+
+def test_giveup_next_to_the_rate_of_its_group(spark):
+    df = spark.createDataFrame([(1, 0.5, True), (1, 0.5, False), (1, 0.7, False), (1, 0.7, False), (2, 0.5, True)], "g int, p double, giveup boolean")
+    got = {(r.g, r.p): (r.avg_giveup, r.giveup_frac) for r in x.giveup_against_group(df, "g", F.col("p"), "p").collect()}
+    assert got == {(1, 0.5): (0.25, 0.5), (1, 0.7): (0.25, 0.0), (2, 0.5): (1.0, 1.0)}
+
+
 def test_long_titles(spark):
     """Numbers behind a hundred and more characters count."""
     zeros = "0" * 300
