@@ -10,7 +10,7 @@ from gavel.operators import evaluation as ev
 from gavel.operators import exploration as x
 from gavel.operators import history as h
 from gavel.operators.bid_features import with_auction
-from gavel.operators.opponents import every_opponent
+from gavel.operators.opponents import opponent_runs
 from gavel.sources import derived
 
 KEY = ["auctionid", "bid"]
@@ -110,8 +110,8 @@ def hourly_auctions(t: Tables):
 
 def latest_opponent_bids(t: Tables):
     """Last bid of each opponent anybody in the auction has seen."""
-    return every_opponent(t.bids).groupBy("auctionid", "p_username").agg(
-        F.max("max_bid").alias("max_bid"), F.count("*").alias("times_seen")
+    return opponent_runs(t.bids).groupBy("auctionid", "p_username").agg(
+        F.max("max_bid").alias("max_bid"), F.sum("times_seen").alias("times_seen")
     )
 
 

@@ -8,7 +8,7 @@ from gavel.catalog.tables import MIDWAY, Tables
 from gavel.operators import evaluation as ev
 from gavel.operators import exploration as x
 from gavel.operators import history as h
-from gavel.operators.opponents import every_opponent, opponent_pairs, opponents
+from gavel.operators.opponents import every_opponent, opponent_pairs, opponent_runs, opponents
 from gavel.schemas import HISTORY_COLUMNS
 from gavel.session import written
 from gavel.sources.pages import clean_auctions, clean_bids, with_known_auction
@@ -91,6 +91,7 @@ QUERIES = {
     "j01_bids_with_auctions": lambda t: t.joined,
     "j02_rows_with_history": unified_rows,
     "j03_latest_bid_per_opponent": lambda t: every_opponent(t.bids),
+    "j03_opponent_runs": lambda t: opponent_runs(t.bids),
     "j03_nearest_opponents": lambda t: opponent_pairs(t.bids).drop("position"),
     "j04_opponent_lookup": lambda t: opponents(
         t.transform, attributes=["username", "distance", "bids_so_far", "bom_streak"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gavel.operators import history as h
 from gavel.operators.bid_features import bid_transform, has_long, long_auctions, pending_auctions
-from gavel.operators.blocks import WIDTH, block_of
+from gavel.operators.blocks import WIDTH, block_of, running
 from gavel.schemas import BASE_COLUMNS, FEATURE_COLUMNS, OPPONENT_COLUMNS, OPPONENTS
 from gavel.session import written
 
@@ -186,6 +186,43 @@ def auction_plain(
     )
 
 
+def opponent_runs(bids: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(auctionid, p_username, max_bid, first, last, times_seen): for which later
+    bids, from first to last, a bid is the latest of its user, and how many these are.
+
+    One row a bid at most, so linear in the bids, where the expanded list is not.
+    A bid of the user's own ends the run. A user's next bid is looked for in the
+    block and then in the user's next block, so a hot auction stays spread out.
+    """
+    rows = bids.select("auctionid", "bid", "username", block_of(F.col("bid"), width).alias("block"))
+    placed = running(rows, ["auctionid"], ["block"], ["bid"], {"pos": F.lit(1)})
+    at = F.struct("bid", "pos")
+    by_block = Window.partitionBy("auctionid", "username").orderBy("block")
+    onward = placed.groupBy("auctionid", "username", "block").agg(F.min(at).alias("lo")).select(
+        "auctionid", "username", "block", F.lead("lo").over(by_block).alias("next_lo")
+    )
+    inside = Window.partitionBy("auctionid", "username", "block").orderBy("bid")
+    followed = placed.withColumn("next", F.lead(at).over(inside)).join(onward, ["auctionid", "username", "block"])
+    followed = followed.withColumn("next", F.coalesce("next", "next_lo"))
+    ends = bids.groupBy("auctionid").agg(F.max("bid").alias("top"), F.count("*").alias("n"))
+    runs = followed.join(ends, "auctionid").select(
+        "auctionid",
+        F.col("username").alias("p_username"),
+        F.col("bid").alias("max_bid"),
+        (F.col("bid") + 1).alias("first"),
+        F.coalesce(F.col("next.bid") - 1, "top").alias("last"),
+        (F.coalesce(F.col("next.pos") - 1, "n") - F.col("pos")).alias("times_seen"),
+    )
+    return runs.where("times_seen > 0")
+
+
+def opponents_at(runs: DataFrame, auctionid: int, bid: int) -> DataFrame:
+    """The opponents of one bid, out of the runs."""
+    return runs.where((F.col("auctionid") == auctionid) & F.lit(bid).between(F.col("first"), F.col("last"))).select(
+        "auctionid", F.lit(bid).alias("bid"), "p_username", "max_bid"
+    )
+
+
 def every_opponent(bids: DataFrame, width: int = WIDTH) -> DataFrame:
     """(auctionid, bid, p_username, max_bid): the latest earlier bid of every
     other user, one row per bid and opponent.

@@ -20,6 +20,15 @@ cashvalue, cardtype, lock_price FROM bids JOIN auctions ON auctionid = qauctioni
     ),
     "j02_rows_with_history": sql("SELECT * EXCLUDE (is_locked, is_pen) FROM uni", "uni"),
     "j03_latest_bid_per_opponent": sql("SELECT * FROM pairs", "pairs"),
+    "j03_opponent_runs": sql(
+        """SELECT auctionid, username AS p_username, bid AS max_bid, bid + 1 AS first, coalesce(later - 1, top) AS last,
+coalesce(later_pos - 1, n) - pos AS times_seen
+FROM (SELECT *, lead(bid) OVER own AS later, lead(pos) OVER own AS later_pos FROM
+  (SELECT *, row_number() OVER (PARTITION BY auctionid ORDER BY bid) AS pos, max(bid) OVER (PARTITION BY auctionid) AS top,
+   count(*) OVER (PARTITION BY auctionid) AS n FROM bids) WINDOW own AS (PARTITION BY auctionid, username ORDER BY bid))
+WHERE coalesce(later_pos - 1, n) > pos""",
+        "bids",
+    ),
     "j03_nearest_opponents": sql("SELECT * EXCLUDE (place) FROM places WHERE place <= 4", "places"),
     "j04_opponent_lookup": sql(
         "SELECT m.auctionid, m.bid, "

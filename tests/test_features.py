@@ -12,7 +12,9 @@ from gavel.operators.opponents import (
     directly_followed,
     every_opponent,
     opponent_pairs,
+    opponent_runs,
     opponents,
+    opponents_at,
 )
 from gavel.schemas import FEATURE_COLUMNS
 from gavel.sources import derived
@@ -138,6 +140,17 @@ def test_opponents_against_brute_force(spark, sf_dir):
         want |= {(n["auctionid"], n["bid"], u, b) for u, b in latest.items()}
     got = {(r.auctionid, r.bid, r.p_username, r.max_bid) for r in every_opponent(bids, width=9).collect()}
     assert got == want
+    runs = opponent_runs(bids, width=9)
+    spread = runs.collect()
+    seen = {(n["auctionid"], n["bid"]) for n in rows}
+    got = {
+        (r.auctionid, b, r.p_username, r.max_bid) for r in spread for b in range(r["first"], r["last"] + 1) if (r.auctionid, b) in seen
+    }
+    assert got == want and sum(r.times_seen for r in spread) == len(want)
+    assert len(spread) <= len(rows)
+    auction, bid = max(seen)
+    one = {tuple(r) for r in opponents_at(runs, auction, bid).collect()}
+    assert one == {w for w in want if w[:2] == (auction, bid)}
 
 
 def test_hot_auction_and_hot_user(spark):
