@@ -5,10 +5,11 @@ The same projections serve a batch of stored messages and a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gavel.operators.blocks import WIDTH, block_of
 from gavel.schemas import FEED_BODY
 
 # A countdown strictly between these marks an auction as live.
@@ -29,24 +30,31 @@ def classify(messages: DataFrame) -> DataFrame:
     when it carries the sold mark; without bids a short countdown means live.
     """
     raw = F.from_json(F.get_json_object(unwrap(F.col("message")), "$.a"), T.MapType(T.StringType(), T.StringType()))
-    first = F.map_entries(F.col("_a"))[0]
-    body = F.from_json(F.col("_body"), FEED_BODY)
-    keys = F.coalesce(F.json_object_keys("_body"), F.array().cast("array<string>"))
-    sl = F.col("_b.sl")
+    # A lambda's variable is computed once for all its uses, and a filter on what is generated stays behind the
+    # generator. As plain columns each use, and each filter pushed down, would read the JSON again.
+    read = F.transform(F.transform(F.array(F.get(F.map_entries(raw), F.lit(0))), _opened), _classified)
+    return messages.select("*", F.explode(read).alias("_m")).select(*messages.columns, "_m.*")
+
+
+def _opened(first: Column) -> Column:
+    """An auction's id, the body read, and the body's keys; these are NULL where it isn't an object."""
+    text = first["value"]
+    keys = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    return F.struct(
+        first["key"].alias("auction_id"), text.startswith("{").alias("is_object"),
+        F.from_json(text, FEED_BODY).alias("b"), F.when(text.startswith("{"), keys).alias("keys"),
+    )
+
+
+def _classified(m: Column) -> Column:
+    sl = m["b"]["sl"]
     kind = (
-        F.when(~F.col("_body").startswith("{"), None)
-        .when(F.array_contains("_k", "bh") & F.array_contains("_k", "s"), "complete")
-        .when(F.array_contains("_k", "bh"), "bids")
+        F.when(~m["is_object"], None)
+        .when(F.array_contains(m["keys"], "bh") & F.array_contains(m["keys"], "s"), "complete")
+        .when(F.array_contains(m["keys"], "bh"), "bids")
         .when((sl > LIVE_ABOVE) & (sl < LIVE_BELOW), "live")
     )
-    return (
-        messages.withColumn("_a", raw)
-        .withColumn("_f", first)
-        .withColumns({"auction_id": F.col("_f.key"), "_body": F.col("_f.value")})
-        .withColumns({"_b": body, "_k": F.when(F.col("_body").startswith("{"), keys)})
-        .withColumns({"kind": kind, "sl": sl, "bh": F.col("_b.bh")})
-        .drop("_a", "_f", "_body", "_b", "_k")
-    )
+    return F.struct(m["auction_id"].alias("auction_id"), kind.alias("kind"), sl.alias("sl"), m["b"]["bh"].alias("bh"))
 
 
 def parse_feed(messages: DataFrame) -> DataFrame:
@@ -84,19 +92,25 @@ def read_feed(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame
 SEQUENCE_ROOM = 1 << 32
 
 
-def render_feed(bids: DataFrame, window: int = 3) -> DataFrame:
+def render_feed(bids: DataFrame, window: int = 3, width: int = WIDTH) -> DataFrame:
     """One message per bid holding it and up to `window`-1 bids before it."""
     event = F.struct(
         F.col("bid").alias("id"),
         F.col("username").alias("u"),
         F.when(F.col("is_bidomatic"), 2).otherwise(1).alias("t"),
     )
-    newest = F.explode(F.sequence(F.col("bid"), F.col("bid") + window - 1)).alias("newest")
+    # Each bid is one row of its block, and of the next one if messages there go back to it.
+    block = F.explode(F.sequence(block_of(F.col("bid"), width), block_of(F.col("bid") + window - 1, width))).alias("block")
+    in_block = Window.partitionBy("auctionid", "block").orderBy("bid")
+    upto = in_block.rangeBetween(1 - window, 0)
     messages = (
-        bids.select("auctionid", event.alias("e"), newest)
-        .groupBy("auctionid", "newest")
-        .agg(F.reverse(F.array_sort(F.collect_list("e"))).alias("bh"))
-        .where(F.col("bh")[0]["id"] == F.col("newest"))
+        bids.select("auctionid", "bid", event.alias("e"), block)
+        .select(
+            "auctionid", F.col("bid").alias("newest"), "block", F.lead("bid").over(in_block).alias("following"),
+            F.reverse(F.array_sort(F.collect_list("e").over(upto))).alias("bh"),
+        )
+        # A bid number that is there twice has one message, which holds both.
+        .where((F.col("block") == block_of(F.col("newest"), width)) & ~F.col("following").eqNullSafe(F.col("newest")))
     )
     body = F.struct(F.lit(10).alias("sl"), F.col("bh"))
     key = F.col("auctionid").cast("string")

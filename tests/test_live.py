@@ -182,6 +182,29 @@ def test_message_kinds(spark):
     assert [r.kind for r in got] == ["complete", "bids", "live", None, None, None]
 
 
+def test_a_message_is_read_once(spark, sf_dir):
+    """No step of the reading is repeated for another column or for a filter."""
+    rows = feed.feed_bids(feed.parse_feed(feed.render_feed(derived.bids(spark, sf_dir))))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1 and plan.count("StructsToJson") <= 1
+
+
+def test_messages_do_not_depend_on_blocks(spark):
+    """Gaps, a bid number that is there twice, and blocks shorter than a message."""
+    at = [1, 2, 3, 4, 6, 7, 7, 8, 11]
+    bids = spark.createDataFrame([(5, b, f"u{i}", i % 2 == 0) for i, b in enumerate(at)], "auctionid long, bid int, username string, is_bidomatic boolean")
+    want = {b: sorted((x for x in enumerate(at) if b - 3 < x[1] <= b), key=lambda x: (x[1], f"u{x[0]}"), reverse=True) for b in at}
+    for width in (1 << 16, 2, 1):
+        got = feed.parse_feed(feed.render_feed(bids, width=width)).collect()
+        assert len(got) == len(want)
+        assert {r.bh[0].id: [(int(e.u[1:]), e.id) for e in r.bh] for r in got} == want
+
+
+def test_message_without_auctions(spark):
+    df = spark.createDataFrame([(1, 'cb({"a":{}})'), (2, "cb(x)"), (3, None)], "seq long, message string")
+    assert [(r.auction_id, r.kind) for r in feed.classify(df).collect()] == [(None, None)] * 3
+
+
 def test_payload_may_hold_a_parenthesis(spark):
     df = spark.createDataFrame([('cb({"a":{"7":{"sl":20,"n":":)"}}})',)], "message string")
     assert feed.classify(df).first().kind == "live"
