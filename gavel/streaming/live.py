@@ -16,6 +16,7 @@ from gavel.operators.evaluation import live_expected
 from gavel.operators.history import lookup
 from gavel.operators.opponents import recent_users
 from gavel.schemas import FEATURE_COLUMNS, HISTORY_COLUMNS, OPPONENT_STATE, OPPONENTS
+from gavel.session import written
 from gavel.streaming.tracker import FIRST_SECONDS_LEFT, tracked_states
 
 # The account that bids, by default; fixed value: how far the site clock is behind.
@@ -35,16 +36,21 @@ def tracking_ok() -> Column:
 
 def kept_bids(feed_bids: DataFrame, width: int = WIDTH) -> DataFrame:
     """Bids a finished, ordered feed leaves: the unbroken run from the oldest
-    bid of the first message. (A feed with late messages needs the state.)"""
+    bid of the first message. (A feed with late messages needs the state.)
+
+    The start, the carry-ins and the run all need the events, one row a bid:
+    these are written once, so that the messages aren't read again for each.
+    """
     events = feed_bids.groupBy("auction_id", "bid").agg(
         F.min(F.struct("seq", (-F.col("pos")).alias("place"), "username", "is_bidomatic")).alias("e")
     )
-    start = feed_bids.groupBy("auction_id").agg(F.min(F.struct("seq", "bid"))["bid"].alias("start"))
+    events = written(events.select("auction_id", "bid", "e.seq", "e.username", "e.is_bidomatic"), "events")
+    start = events.groupBy("auction_id").agg(F.min(F.struct("seq", "bid"))["bid"].alias("start"))
     seen = events.join(start, "auction_id").where(F.col("bid") >= F.col("start"))
     seen = seen.withColumn("bid_block", block_of(F.col("bid"), width))
     counted = running(seen, ["auction_id"], ["bid_block"], ["bid"], {"upto": F.lit(1)})
     return counted.where(F.col("upto") == F.col("bid") - F.col("start") + 1).select(
-        "auction_id", "bid", F.col("e.username").alias("username"), F.col("e.is_bidomatic").alias("is_bidomatic")
+        "auction_id", "bid", "username", "is_bidomatic"
     )
 
 

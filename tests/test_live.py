@@ -231,6 +231,13 @@ def test_kept_bids_with_blocks(spark):
         assert sorted(r.bid for r in live.kept_bids(df, width).collect()) == [1, 2, 3, 4]
 
 
+def test_kept_bids_read_messages_once(spark, sf_dir):
+    """Neither the start of an auction nor the carry-ins parse the feed again."""
+    rows = live.kept_bids(feed.feed_bids(feed.parse_feed(feed.render_feed(derived.bids(spark, sf_dir)))))
+    assert "regexp_extract" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.count() == derived.bids(spark, sf_dir).count()
+
+
 def test_pages_parse_back(spark, sf_dir):
     bids, auctions = derived.bids(spark, sf_dir), derived.auctions(spark, sf_dir)
     same(pages.parse_bids(pages.render_history(bids, per_page=7)), bids, ["auctionid", "bid"])
