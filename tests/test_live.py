@@ -66,6 +66,39 @@ def test_state_writes_follow_the_users_touched(spark):
     assert [(e.username, e.bids_so_far, e.bom_streak) for e in last.opponents[:3]] == [("u7", 2, 1), ("u3", 2, 1), (f"u{n}", 1, 0)]
 
 
+def test_few_users_are_one_state_row(spark):
+    """An auction of twenty users is read and written once a trigger, not once a user."""
+    folder = tempfile.mkdtemp(prefix="gavel-test-")
+    send(f"{folder}/feed", spark, [json.dumps({"sl": 9, "bh": [{"id": b, "u": f"u{b}", "t": 1} for b in range(20, 0, -1)]})])
+    query = (
+        tracked_states(feed.parse_feed(feed.read_feed(spark, f"{folder}/feed")), "me").writeStream
+        .foreachBatch(lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{folder}/out/b={batch_id}"))
+        .outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress) == 1
+
+
+def test_users_move_to_the_map(spark):
+    """The same states whether an auction passes the limit of users in one trigger or over several."""
+    names = [f"u{b % 50}" for b in range(60)] + [f"u{b % 70}" for b in range(60, 210)] + ["u0", "u69", "new"]
+    bodies = [
+        json.dumps({"sl": 9, "bh": [{"id": b, "u": names[b - 1], "t": 2 if b % 3 else 1} for b in range(hi, hi - 30, -1) if b > 0]})
+        for hi in [*range(30, 211, 30), len(names)]
+    ]
+    cols = ["n_bids", "last_bid", "last_user", "prevusers", "opponents"]
+    got = []
+    for max_files in (100, 1):
+        folder = tempfile.mkdtemp(prefix="gavel-test-")
+        send(f"{folder}/feed", spark, bodies)
+        states, _ = run.track(spark, f"{folder}/feed", folder, "me", every=True, max_files=max_files)
+        got.append(states.select(*cols).orderBy("n_bids").collect())
+    assert got[0] == got[1]
+    last = got[0][-1]
+    assert (last.n_bids, last.last_user, last.prevusers) == (len(names), "new", 71)
+    assert [(e.username, e.bids_so_far) for e in last.opponents] == [(u, names.count(u)) for u in ("new", "u69", "u0", names[208])]
+
+
 @pytest.mark.parametrize("max_files", [100, 1])
 def test_state_before_own_bids(spark, max_files):
     """Repeats and late messages give no second row; my first bid of an auction has no state before it."""
