@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -262,25 +262,55 @@ def shuffled_column(df: DataFrame, col: str, keys: list[str], seed: int) -> Data
     return rest.join(values, "_at").withColumnRenamed("_v", col).select(*df.columns)
 
 
+def feature_slots(encoder: PipelineModel, cols: list[str]) -> dict[str, tuple[int, int]]:
+    """Where each feature lies in the assembled vector: its first slot and how many it has."""
+    _, hot, assemble = encoder.stages
+    sizes = {c: int(n) - 1 for c, n in zip(hot.getOutputCols(), hot.categorySizes)}
+    places, at = {}, 0
+    for c in assemble.getInputCols():
+        places[c.removesuffix("_hot")] = (at, sizes.get(c, 1))
+        at += sizes.get(c, 1)
+    return {c: places[c] for c in cols}
+
+
 def permutation_importance(fitted: WinModel, df: DataFrame, cols: list[str] | None = None, seed: int = 7) -> DataFrame:
     """Loss of accuracy when one feature is shuffled, for each feature (all of the model by default).
 
-    Rows are ranked by two hashes once and written; row i of the one order meets
-    row i of the other, and is scored once a feature, with that feature's value
-    from the other row.
+    Rows are ranked by two hashes once and written, encoded and scored; row i of
+    the one order meets row i of the other, and is scored once a feature, with
+    that feature's slots of the encoded row taken from the other row. Where
+    these are equal the score stays what it is, so only rows that change are
+    scored again.
     """
     cols = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES] if cols is None else cols
     keys = fitted.KEYS
-    ranked = written(_ranked(_ranked(df, keys, seed, "_at"), keys, seed + 1, "_from"), "ranked")
-    rows = impute(model_features(ranked)).select(
-        *dict.fromkeys(["_at", "_from", fitted.label, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES])
+    ranked = _ranked(_ranked(df, keys, seed, "_at"), keys, seed + 1, "_from")
+    encoder, forest = PipelineModel(stages=fitted.model.stages[:-1]), fitted.model.stages[-1]
+    hit = (F.col("prediction").cast("boolean") == F.col(fitted.label)).cast("long")
+    scored = forest.transform(encoder.transform(impute(model_features(ranked))))
+    rows = written(
+        scored.select("_at", "_from", fitted.label, vector_to_array("features").alias("_x"), hit.alias("_hit")), "ranked"
+    )
+    slots = feature_slots(encoder, cols)
+    part = lambda x, start, size: F.slice(x, start + 1, size)
+    changed = [
+        F.when(part(F.col("_x"), F.lit(at), F.lit(n)) != part(F.col("_y"), F.lit(at), F.lit(n)), F.struct(F.lit(c).alias("feature"), F.lit(at).alias("at"), F.lit(n).alias("n")))
+        for c, (at, n) in slots.items()
+    ]
+    other = rows.select(F.col("_from").alias("_at"), F.col("_x").alias("_y"))
+    each = rows.join(other, "_at").withColumn("_c", F.explode(F.array_compact(F.array(*changed))))
+    end = F.col("_c.at") + F.col("_c.n")
+    mixed = F.concat(
+        part("_x", F.lit(0), F.col("_c.at")), part("_y", F.col("_c.at"), F.col("_c.n")), part("_x", end, F.size("_x") - end)
+    )
+    again = forest.transform(
+        each.select(F.col("_c.feature").alias("feature"), fitted.label, "_hit", array_to_vector(mixed).alias("features"))
     )
-    other = rows.select(F.col("_from").alias("_at"), F.struct(*cols).alias("_other"))
-    each = rows.join(other, "_at").withColumn("feature", F.explode(F.array(*[F.lit(c) for c in cols])))
-    each = each.withColumns({c: F.when(F.col("feature") == c, F.col(f"_other.{c}")).otherwise(F.col(c)) for c in cols})
-    hit = (F.col("prediction").cast("boolean") == F.col(fitted.label)).cast("double")
-    base = fitted.model.transform(rows).agg(F.avg(hit).alias("base"))
-    parts = fitted.model.transform(each).groupBy("feature").agg(F.avg(hit).alias("shuffled"))
-    return parts.select(
-        "feature", base.scalar().alias("accuracy"), "shuffled", (base.scalar() - F.col("shuffled")).alias("importance")
+    gained = again.groupBy("feature").agg(F.sum(hit - F.col("_hit")).alias("gained"))
+    base = rows.agg(F.sum("_hit").alias("hits"), F.count("*").alias("n")).where("n > 0")
+    names = base.select("*", F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
+    accuracy = F.col("hits") / F.col("n")
+    shuffled = (F.col("hits") + F.coalesce("gained", F.lit(0))) / F.col("n")
+    return names.join(gained, "feature", "left").select(
+        "feature", accuracy.alias("accuracy"), shuffled.alias("shuffled"), (accuracy - shuffled).alias("importance")
     )

@@ -3,6 +3,7 @@
 import math
 import random
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from gavel.catalog import modelling
@@ -210,3 +211,15 @@ def test_permutation_importance_of_every_feature(spark):
         r = got[col]
         assert math.isclose(r.accuracy, accuracy) and math.isclose(r.shuffled, alone)
         assert math.isclose(r.importance, accuracy - alone, abs_tol=1e-12)
+
+
+def test_permutation_scores_encoded_rows_that_change(spark):
+    """Rows are encoded once, not once a feature; slots are where the assembler puts a feature."""
+    rows = modelling.modelled(Tables(spark, "/root/testdata/sf0.01"))
+    model = modelling.fitted(rows)
+    encoder = PipelineModel(stages=model.model.stages[:-1])
+    names = wm.feature_names(model.model, rows)
+    for c, (at, n) in wm.feature_slots(encoder, [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]).items():
+        assert [x == c or x.startswith(f"{c}_") for x in names[at : at + n]] == [True] * n
+    plan = wm.permutation_importance(model, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "cardtype_idx" not in plan and "_hot" not in plan
