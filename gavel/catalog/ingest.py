@@ -8,6 +8,7 @@ from gavel.catalog.joins import snapshot
 from gavel.catalog.tables import MIDWAY, Tables
 from gavel.operators.bid_features import bid_transform
 from gavel.plans.batch import read_batches, run_incremental, _batches
+from gavel.session import written
 from gavel.sources import pages, tables
 
 CUTOFFS = [MIDWAY, MIDWAY, "2024-01-20", "2024-02-01"]
@@ -52,9 +53,9 @@ def append_twice(t: Tables):
 
 
 def incremental(t: Tables):
-    """The feature table built up over several cutoffs."""
+    """The feature table built up over several cutoffs; the auctions are derived from their bids once."""
     path = t.folder("incremental")
-    run_incremental(t.spark, t.bids, t.auctions, path, CUTOFFS)
+    run_incremental(t.spark, t.bids, written(t.auctions, "auctions"), path, CUTOFFS)
     return read_batches(t.spark, f"{path}/auction_full", _batches(t.spark, f"{path}/auction_full"))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavel.functions.scalar import minute_of_day, perc_to_bin
-from gavel.operators.blocks import block_of, carry_in
+from gavel.operators.blocks import WIDTH, block_of, carry_in
+from gavel.session import written
 
 # measure in the rollup -> name of its exclusive prefix sum
 PREFIX_SUMS = {
@@ -75,14 +76,44 @@ def rollup(bids: DataFrame, auctions: DataFrame) -> DataFrame:
     )
 
 
-def user_history(rolled: DataFrame) -> DataFrame:
+def user_history(rolled: DataFrame, width: int = WIDTH) -> DataFrame:
     """Exclusive prefix sums per user over auction end times.
 
     Auctions that end at the same instant count each other as past (the sums
-    run over peers); the auction count breaks such ties by auction id. Rows are
-    first summed per (user, instant, range of ids), then run inside a minute.
-    Each minute gets the carry of the day's earlier minutes, and each day that
-    of the user's earlier days, so a busy day of one user stays spread out.
+    run over peers); the auction count breaks such ties by auction id. Each
+    user's day gets the carry of the earlier days, from totals that are written
+    once. Unless these show a day with more than `width` auctions of one user,
+    rows are shuffled once and run inside the day.
+    """
+    measures = [*PREFIX_SUMS, "n"]
+    per_day = rolled.groupBy("username", F.to_date("auctiontime").alias("day")).agg(
+        F.expr("count(*) AS n"), *[F.expr(f"sum({m}) AS {m}") for m in PREFIX_SUMS]
+    )
+    per_day = written(per_day, "day_totals")
+    days = carry_in(per_day, ["username"], "day", {f"{m}_days": F.col(m) for m in measures})
+    if not per_day.where(F.col("n") > width).isEmpty():
+        return _busy_history(rolled, days)
+    in_day = "PARTITION BY username, day ORDER BY auctiontime"
+    upto = f"({in_day} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    rows = rolled.select("*", F.to_date("auctiontime").alias("day")).repartition("username", "day")
+    ranked = rows.selectExpr("*", f"row_number() OVER ({in_day}, auctionid) - 1 AS rank_in")
+    placed = ranked.selectExpr("*", *[f"sum({m}) OVER {upto} AS {m}_upto" for m in PREFIX_SUMS])
+    return placed.join(days, ["username", "day"]).selectExpr(
+        "auctiontime",
+        "username",
+        "auctionid",
+        *[f"{m}_days + {m}_upto - {m} AS {name}" for m, name in PREFIX_SUMS.items()],
+        "n_days + rank_in AS prev_auction_count",
+    )
+
+
+def _busy_history(rolled: DataFrame, days: DataFrame) -> DataFrame:
+    """The same where a user's day is too much for one window.
+
+    Rows are first summed per (user, instant, range of ids), then run inside a
+    minute. Each minute gets the carry of the day's earlier minutes, and each
+    day that of the user's earlier days, so a busy day of one user stays spread
+    out.
     """
     ts = F.col("auctiontime")
     spread = rolled.withColumns(
@@ -102,7 +133,6 @@ def user_history(rolled: DataFrame) -> DataFrame:
     )
     measures = [*PREFIX_SUMS, "n"]
     minutes = carry_in(per_instant, ["username", "day"], "minute", {f"{m}_minutes": F.col(m) for m in measures})
-    days = carry_in(per_instant, ["username"], "day", {f"{m}_days": F.col(m) for m in measures})
     carry = minutes.join(days, ["username", "day"]).select(
         "username", "day", "minute", *[(F.col(f"{m}_minutes") + F.col(f"{m}_days")).alias(f"{m}_carry") for m in measures]
     )

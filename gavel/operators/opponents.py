@@ -158,6 +158,21 @@ def auction_full(
     if done is not None:
         live = pending_auctions(auctions, cutoff, done).select(F.col("qauctionid").alias("auctionid"))
         hist = hist.join(live, "auctionid", "left_semi")
+    return full_rows(bids, auctions, hist, cutoff, done, strict_islands, width, long_bids)
+
+
+def full_rows(
+    bids: DataFrame,
+    auctions: DataFrame,
+    hist: DataFrame,
+    cutoff: Column | str | None = None,
+    done: DataFrame | None = None,
+    strict_islands: bool = False,
+    width: int = WIDTH,
+    long_bids: bool | None = None,
+) -> DataFrame:
+    """The feature table with the given user history, in one exchange of the narrow bids."""
+    long_bids = has_long(bids, width) if long_bids is None else long_bids
     transformed = bid_transform(
         bids,
         auctions,

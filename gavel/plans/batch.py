@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gavel.operators import history as h
-from gavel.operators.bid_features import bid_transform, pending_auctions
-from gavel.operators.opponents import directly_followed, opponents
-from gavel.schemas import FEATURE_COLUMNS
+from gavel.operators.bid_features import bid_transform, has_long, pending_auctions
+from gavel.operators.opponents import full_rows
+from gavel.session import written
 
 
 def cutoffs(first: dt.date, last: dt.date) -> list[str]:
@@ -38,26 +39,32 @@ def run_batch(spark: SparkSession, bids: DataFrame, auctions: DataFrame, out_dir
     """Append the pending auctions' rows to bid_transform and auction_full.
 
     Returns how many auctions were pending; with none, nothing is written. The
-    written bid_transform rows are read back for the next step, so that step
-    does not compute them again. A batch also appends its (auction, user)
-    rollup; history and the list of finished auctions come from these rollups,
-    so no batch reads the bids of earlier ones. Each batch has its own folder in
-    every table: a batch cut short is not counted as done and is written over
-    when run again.
+    pending auctions and their bids, four columns, are written once to working
+    tables, and every step reads those alone. A batch also appends its (auction,
+    user) rollup; history and the list of finished auctions come from these
+    rollups, so no batch reads the bids of earlier ones. Both feature tables are
+    built from the narrow bids: passing the wide rows of one on to the other
+    would shuffle them twice. Each batch has its own folder in every table: a
+    batch cut short is not counted as done and is written over when run again.
     """
     transform_dir, rollup_dir, full_dir = (f"{out_dir}/{name}" for name in ("bid_transform", "rollup", "auction_full"))
     finished = [f.replace(full_dir, rollup_dir) for f in _batches(spark, full_dir)]
     done = read_batches(spark, rollup_dir, finished)
-    n = pending_count(auctions, cutoff, done)
+    live = written(pending_auctions(auctions, cutoff, done), "pending")
+    n = live.count()
     if n == 0:
         return 0
-    folder = f"{transform_dir}/batch={cutoff}"
-    bid_transform(bids, auctions, cutoff, done).write.mode("overwrite").parquet(folder)
-    new = spark.read.parquet(folder)
+    ids = live.select(F.col("qauctionid").alias("auctionid"))
+    columns = ["auctionid", "bid", "username", "is_bidomatic"]
+    new = written(bids.select(*columns).join(ids, "auctionid", "left_semi"), "pending_bids")
+    long_bids = has_long(new)
+    bid_transform(new, live, long_bids=long_bids).write.mode("overwrite").parquet(f"{transform_dir}/batch={cutoff}")
     own = f"{rollup_dir}/batch={cutoff}"
-    h.rollup_transformed(new).write.mode("overwrite").parquet(own)
+    h.rollup(new, live).write.mode("overwrite").parquet(own)
     hist = h.user_history(spark.read.parquet(*finished, own))
-    full = directly_followed(opponents(h.unify(new, hist))).select(*FEATURE_COLUMNS)
+    if finished:
+        hist = hist.join(ids, "auctionid", "left_semi")
+    full = full_rows(new, live, hist, long_bids=long_bids)
     full.write.mode("overwrite").parquet(f"{full_dir}/batch={cutoff}")
     return n
 

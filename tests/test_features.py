@@ -86,6 +86,18 @@ def test_busy_day_of_one_user(spark):
         assert rows[(i, 1)]["prev_win_bids"] == (50 if i and won[i - 1] else 0)
 
 
+def test_history_in_one_exchange_equals_blocks(spark, sf_dir):
+    """Days within the width run in one window; the form for busy days gives the same, ties included."""
+    bids = derived.bids(spark, sf_dir)
+    for day_times in (False, True):
+        rolled = h.rollup(bids, derived.auctions(spark, sf_dir, day_times)).localCheckpoint()
+        light = h.user_history(rolled)
+        same(light, h.user_history(rolled, width=1), ["auctionid", "username"])
+        plan = light._jdf.queryExecution().optimizedPlan().toString()
+        # The rows are read and shuffled once; the only other input are the days' written totals.
+        assert plan.count("LogicalRDD") == 1 and plan.count("Relation") == 1 and plan.count("RepartitionByExpression") == 1
+
+
 def test_new_user_has_defaults(spark):
     bids = make_bids(spark, [(1, 1, "a", True), (1, 2, "b", True)])
     row = by_key(auction_full(bids, make_auctions(spark, [1])), "bid")[(2,)]

@@ -7,6 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from gavel.operators import history as h
 from gavel.operators.bid_features import bid_transform
 from gavel.plans.batch import cutoffs, read_batches, run_batch, run_incremental, _batches
 from gavel.operators.opponents import auction_full
@@ -304,6 +305,29 @@ def test_incremental_equals_one_run(spark, sf_dir):
     same(read_batches(spark, full, _batches(spark, full)), auction_full(bids, auctions), ["auctionid", "bid"])
 
 
+def test_batch_reads_its_sources_once(spark, sf_dir, monkeypatch):
+    """A batch's feature tables are planned over its written bids and auctions alone, and equal those of one run."""
+    from gavel.operators import bid_features
+    from gavel.plans import batch
+
+    built = []
+    build = lambda bids, auctions, *a, **k: built.append((bids, auctions)) or bid_features.bid_transform(bids, auctions, *a, **k)
+    monkeypatch.setattr(batch, "bid_transform", build)
+    monkeypatch.setattr("gavel.operators.opponents.bid_transform", build)
+    bids, auctions = derived.bids(spark, sf_dir), derived.auctions(spark, sf_dir)
+    out = tempfile.mkdtemp(prefix="gavel-test-")
+    run_incremental(spark, bids, auctions, out, ["2024-01-15", "2024-02-01"])
+    sources = ("events.parquet", "part.parquet")
+    assert len(built) == 4  # two tables a batch
+    for pair in built:
+        assert not any(f.endswith(sources) for df in pair for f in df.inputFiles())
+    table = f"{out}/bid_transform"
+    same(read_batches(spark, table, _batches(spark, table)), bid_features.bid_transform(bids, auctions), ["auctionid", "bid"])
+    rollup = f"{out}/rollup"
+    whole = h.rollup_transformed(bid_features.bid_transform(bids, auctions))
+    same(read_batches(spark, rollup, _batches(spark, rollup)), whole, ["auctionid", "username"])
+
+
 def test_batch_cut_short_is_redone(spark, sf_dir):
     bids, auctions = derived.bids(spark, sf_dir), derived.auctions(spark, sf_dir)
     out = tempfile.mkdtemp(prefix="gavel-test-")
