@@ -33,6 +33,7 @@ BUCKETS = 1 << BITS
 UNKNOWN = "und"
 ROUNDS = 12
 FLOOR = 0.02  # a language with a smaller proportion is a candidate for leaving at once
+SLICE_BYTES = 2 << 20  # text per slice: its trigrams take some 50 times as much memory
 PENALTY = 8.0  # log-likelihood a further language must gain, times log of the trigrams
 
 
@@ -151,6 +152,26 @@ class LanguageModel:
         return share, active
 
 
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """label, bucket, n of a task's rows; its memory is that of one slice of text, whatever the batches hold."""
+    sums: dict[str, np.ndarray] = {}
+    for part in slices(batches, SLICE_BYTES):
+        labels = part.column("label").to_pylist()
+        names = sorted(set(labels))
+        place = {x: i for i, x in enumerate(names)}
+        doc, bucket = _grams(texts_of(part))
+        row = np.array([place[x] for x in labels])[doc]
+        table = np.bincount(row * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
+        for name, own in zip(names, table):
+            sums[name] = sums[name] + own if name in sums else own
+    for name, own in sums.items():
+        at = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at].astype(np.int64))],
+            ["label", "bucket", "n"],
+        )
+
+
 def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
     """Trigram distributions per label, from every row with a text and a label.
 
@@ -161,27 +182,9 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageM
         F.col(text).alias("text"), F.col(label).alias("label")
     )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
-        for part in slices(batches):
-            labels = part.column("label").to_pylist()
-            names = sorted(set(labels))
-            place = {x: i for i, x in enumerate(names)}
-            doc, bucket = _grams(texts_of(part))
-            row = np.array([place[x] for x in labels])[doc]
-            table = np.bincount(row * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
-            for name, own in zip(names, table):
-                sums[name] = sums[name] + own if name in sums else own
-        for name, own in sums.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at].astype(np.int64))],
-                ["label", "bucket", "n"],
-            )
-
     # At most languages x BUCKETS rows come back.
     found: pd.DataFrame = (
-        rows.mapInArrow(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        rows.mapInArrow(counted, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
     )
     languages = sorted(found["label"].unique())
     table = np.full((len(languages), BUCKETS), 0.1)
@@ -204,7 +207,7 @@ def identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> Dat
     kinds = T.StructType([rows.schema[c] for c in carried] + list(T._parse_datatype_string(added)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 4 << 20, "__text"):
+        for part in slices(batches, SLICE_BYTES, "__text"):
             lang, score, size = model.mixtures(texts_of(part, "__text"))
             new = [pa.array(lang, pa.string()), pa.array(score), pa.array(size.astype(np.int32))]
             yield pa.RecordBatch.from_arrays([part.column(c) for c in carried] + new, carried + names)

@@ -2,12 +2,14 @@
 
 import base64
 import hashlib
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from gavel.llm.ragged import RunCache
 from gavel.llm.wordtokens import word_tokens
 from gavel.session import work_folder
 from tests.llm import brute
+from tests.llm.conftest import prose
 
 WORD_FILE, RANKS = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -67,6 +70,22 @@ def test_language_held_out(spark, sf_dir):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.98 * len(held)
 
 
+def test_language_learns_in_bounded_memory():
+    """One large batch takes no more than a slice of it, and counts what its rows count by themselves."""
+    texts = [prose(i, 4000) for i in range(40)] * 12  # about 11 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["a", "b"] * (len(texts) // 2))], ["text", "label"])
+    assert batch.nbytes > 9 << 20
+    tracemalloc.start()
+    got = pa.Table.from_batches(language.counted(iter([batch]))).group_by(["label", "bucket"]).aggregate([("n", "sum")])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20
+    _, bucket = language._grams(pa.array(texts[0:40:2]))
+    want = np.bincount(bucket, minlength=language.BUCKETS) * 12
+    own = got.filter(pc.equal(got["label"], "a"))
+    assert dict(zip(own["bucket"].to_pylist(), own["n_sum"].to_pylist())) == {i: n for i, n in enumerate(want.tolist()) if n}
+
+
 def test_language_odd_rows(spark, sf_dir, docs, none):
     model = language.learn(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     got = {r.doc_id: r for r in language.identified(docs.withColumn("score", F.lit("clash")), model).collect()}
