@@ -14,6 +14,7 @@ from gavel.catalog.tables import MIDWAY, Tables
 from gavel.model import win_model as wm
 from gavel.operators import evaluation as ev
 from gavel.operators import exploration as x
+from gavel.operators.bid_features import has_long
 from gavel.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from gavel.session import written
 from gavel.streaming.live import scenarios
@@ -28,7 +29,9 @@ USER_FEATURES = [
 
 def modelled(t: Tables):
     """Feature rows to model, written once so that fitting does not rebuild them."""
-    return written(wm.model_rows(written(t.full, "auction_full")), "model_rows")
+    if has_long(t.bids):
+        return written(wm.model_rows(written(t.full, "auction_full")), "model_rows")
+    return written(wm.model_rows(t.full, together=True), "model_rows")
 
 
 def fitted(rows, categories=None, ratio: float = 0.5):

@@ -20,9 +20,19 @@ MISSING_NUMBER, MISSING_TEXT = -1.0, "unknown"
 HASH_LEVELS = (44, 28)
 
 
-def model_rows(full: DataFrame, since: str | None = None) -> DataFrame:
-    """Rows to model: recent auctions in which somebody used the bidomatic."""
+def model_rows(full: DataFrame, since: str | None = None, together: bool = False) -> DataFrame:
+    """Rows to model: recent auctions in which somebody used the bidomatic.
+
+    `together` says that an auction's rows already lie in one task, as those of
+    `auction_full` do without long auctions: they are marked there, and the wide
+    rows are neither computed twice nor joined.
+    """
+    if together:
+        used = F.max("is_bidomatic").over(Window.partitionBy("auctionid"))
+        full = full.withColumn("_used", used).where("_used").drop("_used")
     rows = full if since is None else full.where(F.col("auctiontime") >= F.lit(since).cast("timestamp_ntz"))
+    if together:
+        return rows
     ids = full.where("is_bidomatic").select("auctionid").distinct()
     return rows.join(ids, "auctionid", "left_semi")
 

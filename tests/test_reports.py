@@ -15,6 +15,7 @@ from gavel.operators import evaluation as ev
 from gavel.operators import exploration as x
 from gavel.operators.blocks import double_blocks, running
 from gavel.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from tests.conftest import same
 
 SCORED = "auctionid long, bid int, is_winner boolean, cashvalue int, fee double, is_bidomatic boolean, prob double"
 
@@ -223,3 +224,20 @@ def test_permutation_scores_encoded_rows_that_change(spark):
         assert [x == c or x.startswith(f"{c}_") for x in names[at : at + n]] == [True] * n
     plan = wm.permutation_importance(model, rows)._jdf.queryExecution().optimizedPlan().toString()
     assert "cardtype_idx" not in plan and "_hot" not in plan
+
+
+def test_rows_to_model_are_written_once(spark, sf_dir, monkeypatch):
+    """Without long auctions the wide rows are marked in the exchange that made them; with one they are joined."""
+    labels = []
+    write = modelling.written
+    monkeypatch.setattr(modelling, "written", lambda df, label: labels.append(label) or write(df, label))
+    t = Tables(spark, sf_dir)
+    rows = modelling.modelled(t)
+    assert labels == ["model_rows"]
+    same(rows, wm.model_rows(t.full), modelling.KEY)
+    plan = wm.model_rows(t.full, together=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(auctionid") <= t.full._jdf.queryExecution().executedPlan().toString().count(
+        "Exchange hashpartitioning(auctionid"
+    )
+    monkeypatch.setattr(modelling, "has_long", lambda bids: True)
+    same(modelling.modelled(t), rows, modelling.KEY)
