@@ -151,14 +151,13 @@ def feed_forward(t: Tables):
 
 
 def model_saved(t: Tables):
-    """Scores of a model that was saved and loaded, next to the original's."""
+    """Scores of a model that was saved and loaded, next to the original's: both score a row where it is read."""
     (rows, earlier, later), path = split_by_time(t), t.folder("model")
     model = fitted(earlier, rows)
     model.save(path)
     again = wm.WinModel.load(t.spark, path)
-    return again.score(later).select(*KEY, F.col("prob").alias("loaded")).join(
-        model.score(later).select(*KEY, F.col("prob").alias("fitted")), KEY
-    )
+    loaded = again.score(later).withColumnRenamed("prob", "loaded").drop("predicted")
+    return model.score(loaded).select(*KEY, "loaded", F.col("prob").alias("fitted"))
 
 
 QUERIES = {

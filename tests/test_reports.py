@@ -241,3 +241,12 @@ def test_rows_to_model_are_written_once(spark, sf_dir, monkeypatch):
     )
     monkeypatch.setattr(modelling, "has_long", lambda bids: True)
     same(modelling.modelled(t), rows, modelling.KEY)
+
+
+def test_saved_model_scores_where_rows_are_read(spark):
+    """Both models score a row in one pass, without a join of their scores."""
+    got = modelling.model_saved(Tables(spark, "/root/testdata/sf0.01"))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = got.collect()
+    assert rows and got.columns == ["auctionid", "bid", "loaded", "fitted"]
+    assert all(r.loaded == r.fitted for r in rows)
