@@ -42,19 +42,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavel.llm.tables import bitmap, marked, place_of, stored, working_tables
-from gavel.llm.words import Words, inside, mixed, rolling, slices, texts_of
+from gavel.llm.words import Words, inside, mixed, rolling, slices, texts_of, tidied
 
 LEAST_BITS, MOST_BITS = 20, 27  # cells of a sketch row, as a power of two
 BYTES_A_CELL = 4  # bytes of text for a cell; a text has about one anchor in 20 bytes
 ROWS = 3
 BLOCK_BITS = 20  # cells that one row of the merge holds, as a power of two
-TASK_CELLS = 1 << 22  # cells after which a task hands on its sketch
+TASK_CELLS = 1 << 21  # cells after which a task hands on its sketch
 GAP = (1 << 14) - 1  # longest step between two cells of a handed-on list
 FILTER_BITS = 26  # bitmaps of rows: 8 MB each
 ROW = ["doc_id", "__row"]  # names a text of a doc_id
 # Odd multipliers, one a row.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-PART = 3 << 20  # text whose words and windows are held at a time
+PART = 1 << 20  # text whose words and windows are held at a time
 
 
 @dataclass(frozen=True)
@@ -121,18 +121,21 @@ def repeated_cells(rows: DataFrame, bits: int, params: SubstringParams, chosen)
     block = 1 << min(BLOCK_BITS, bits)
 
     def handed(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cells = np.sort(np.concatenate(parts)) if parts else np.empty(0, np.uint32)
-        if not len(cells):
+        if not parts:
             return
-        first = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
-        counts = np.minimum(np.diff(np.append(first, len(cells))), 3)
-        cells = cells[first].astype(np.int64)
-        cuts = np.searchsorted(cells, np.arange(0, ROWS * size + 1, block))
+        cells = np.concatenate(parts)
+        parts.clear()
+        cells.sort()
+        # Counted block by block: wide numbers are those of one block only.
+        cuts = np.searchsorted(cells, np.arange(0, ROWS * size + 1, block, dtype=np.uint32))
         for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
             if j > i:
-                data = _stepped(cells[i:j] - b * block, counts[i:j])
+                own = cells[i:j].astype(np.int64) - b * block
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                data = _stepped(own[first], np.minimum(np.diff(np.append(first, len(own))), 3))
                 yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([data], pa.binary())], ["block", "counts"])
 
+    @tidied
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for part in slices(chosen(batches), PART):
@@ -215,6 +218,7 @@ def _placed(docs: DataFrame, sure: bool = False) -> DataFrame:
 def _wholes(docs: DataFrame) -> DataFrame:
     """doc_id, __row, n_words, words (digest of the word sequence) of every text."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, PART):
             words = [t.split() for t in texts_of(part).cast(pa.binary()).to_pylist()]
@@ -232,6 +236,7 @@ def _filtered(docs: DataFrame, columns: list[str], flags: np.ndarray, want: bool
     schema = T.StructType([docs.schema[c] for c in columns])
     chosen = _chooser(flags, want)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(chosen(batches), PART):
             yield part.select(columns)
@@ -262,6 +267,7 @@ def repeated_ranges(docs: DataFrame, copies: DataFrame, params: SubstringParams
     chosen = _chooser(flags, False)
     cells = rows.sparkSession.sparkContext.broadcast(repeated_cells(rows, bits, params, chosen))
 
+    @tidied
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(chosen(batches), PART):
             found = _Windows(texts_of(part), params)
@@ -289,7 +295,9 @@ def repeated_ranges(docs: DataFrame, copies: DataFrame, params: SubstringParams
     first = stored(first, "first")
     later = passed.join(first, ["one", "two"]).where(F.col("doc_id") > F.col("first"))
     # One text's places at most: bounded by the text itself.
-    return stored(later.groupBy(*ROW).agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
+    places = stored(later.groupBy(*ROW).agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
+    cells.destroy()
+    return places
 
 
 def _kept(texts: pa.Array, places: pa.Array | None, whole: np.ndarray, window: int) -> Iterator[tuple[int, list[bytes], np.ndarray | None]]:
@@ -354,10 +362,12 @@ def without_repeats(docs: DataFrame, params: SubstringParams = SubstringParams()
 
     chosen = _chooser(flags, False)
 
+    @tidied
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(chosen(batches), PART):
             yield result(part, None, np.zeros(part.num_rows, bool))
 
+    @tidied
     def losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, PART):
             whole = pc.fill_null(part.column("__whole"), False).to_numpy(zero_copy_only=False)

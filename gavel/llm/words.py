@@ -7,7 +7,10 @@ on word codes or word hashes. Words are runs of anything but ASCII white space.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +22,31 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
+def released() -> None:
+    """Give memory that is free, but held by Arrow and the C library, back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
+def tidied(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """`run` over a task's batches, after which its Python worker holds no more than before.
+
+    Workers are used again by later tasks and stay while Spark's own operators
+    work, so what one task needed at most would add to all that follows.
+    """
+
+    @wraps(run)
+    def tidy(*given) -> Iterator[pa.RecordBatch]:
+        yield from run(*given)
+        released()
+
+    return tidy
+
+
 def slices(batches: Iterable[pa.RecordBatch], budget: int = SLICE_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows of about `budget` bytes of text (one row at least)."""
     for batch in batches:

@@ -2,9 +2,11 @@
 
 import math
 import os
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +131,45 @@ def test_substrings_survive_a_full_sketch(docs, odd_texts, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == want
 
 
+class _Task:
+    """Stands for rows: keeps the functions that tasks run."""
+
+    def __init__(self):
+        self.functions = []
+
+    def mapInArrow(self, function, schema):
+        self.functions.append(function)
+        return self
+
+    def __getattr__(self, name):
+        return lambda *_: self
+
+    def toLocalIterator(self):
+        return iter(())
+
+
+def test_substrings_count_in_bounded_memory():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 2000)) for _ in range(750)]  # 21 MB in one batch
+    batch = pa.RecordBatch.from_arrays([pa.array(texts + texts[:2], pa.string())], ["text"])
+    bits, params, task = 22, substrings.SubstringParams(), _Task()
+    assert not substrings.repeated_cells(task, bits, params, lambda given: given).any()
+    tracemalloc.start()
+    handed = [(x.column("block")[0].as_py(), x.column("counts")[0].as_py()) for x in task.functions[0](iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+    total = np.zeros(substrings.ROWS << bits, np.int64)
+    for block, data in handed:
+        cells, counts = substrings._cells_of(data)
+        total[cells + (block << substrings.BLOCK_BITS)] += counts
+    own = np.zeros_like(total)
+    for part in substrings.slices([batch], 1 << 20):
+        for row, cell in enumerate(substrings._once(substrings._Windows(substrings.texts_of(part), params), bits)):
+            own += np.bincount(cell + (row << bits), minlength=len(own))
+    assert ((total >= 2) == (own >= 2)).all() and ((total == 0) == (own == 0)).all()
+
+
 def test_substring_query_equals_sql(spark, sf_dir):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
