@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gavel.llm.words import slices, texts_of
+from gavel.llm.words import slices, texts_of, tidied
 
 BITS = 15
 BUCKETS = 1 << BITS
 UNKNOWN = "und"
 ROUNDS = 12
 FLOOR = 0.02  # a language with a smaller proportion is a candidate for leaving at once
-SLICE_BYTES = 2 << 20  # text per slice: its trigrams take some 50 times as much memory
+SLICE_BYTES = 1 << 19  # text per slice: its trigrams take some 50 times as much memory
 PENALTY = 8.0  # log-likelihood a further language must gain, times log of the trigrams
 
 
@@ -152,6 +152,7 @@ class LanguageModel:
         return share, active
 
 
+@tidied
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """label, bucket, n of a task's rows; its memory is that of one slice of text, whatever the batches hold."""
     sums: dict[str, np.ndarray] = {}
@@ -206,6 +207,7 @@ def identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> Dat
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").alias("__text"))
     kinds = T.StructType([rows.schema[c] for c in carried] + list(T._parse_datatype_string(added)))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, SLICE_BYTES, "__text"):
             lang, score, size = model.mixtures(texts_of(part, "__text"))

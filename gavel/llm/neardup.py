@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavel.llm.tables import bitmap, components, dropped, empty, marked, place_of, stored, working_tables
-from gavel.llm.words import Words, fold_ascii, mixed, rolling, slices, texts_of
+from gavel.llm.words import Words, fold_ascii, mixed, rolling, slices, texts_of, tidied
 
 LEAST_COMMON, COMMON = 8, 32  # a family's core has what more than 8 members and one in 32 share
 HOT_SHARE = 64  # a value that more than one class in 64 retains: at most k * 64 of them, whatever the corpus
@@ -107,6 +107,7 @@ def _digest(own: np.ndarray) -> bytes | None:
 def sketches(docs: DataFrame, params: NearParams) -> DataFrame:
     """doc_id, n_shingles, node (digest of the set, null if empty), sketch."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             sets = shingle_sets(texts_of(part), params.words)
@@ -187,6 +188,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, params: NearParams) -> DataFrame:
     """
     flags = bitmap(nodes.select("doc_id"), FILTER_BITS)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = marked(flags, batch.column("place").to_numpy(zero_copy_only=False))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from gavel.llm.words import Words, slices, texts_of
+from gavel.llm.words import Words, slices, texts_of, tidied
 from gavel.llm.wordtokens import word_tokens
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -143,6 +143,7 @@ def packed(docs: DataFrame, params: PackParams) -> DataFrame:
     are packed like any other; an empty table gives an empty result.
     """
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(params.file)
         task = TaskContext.get()
@@ -168,5 +169,6 @@ def packed(docs: DataFrame, params: PackParams) -> DataFrame:
                  pa.array(size[doc]), pa.array(table[:, 3]), pa.array(table[:, 4])],
                 COLUMNS,
             )
+        tokens.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gavel.llm.words import Words, inside, mixed, per_text, rolling, slices, texts_of
+from gavel.llm.words import Words, inside, mixed, per_text, rolling, slices, texts_of, tidied
 
 # The largest share of a text's word characters that may lie in
 # repeated n-grams, by n, and in repeated lines.
@@ -137,6 +137,7 @@ def repetition(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").alias("__text"))
     kinds = T.StructType([rows.schema[c] for c in carried] + list(T._parse_datatype_string(SCHEMA)))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, column="__text"):
             found = measures(texts_of(part, "__text"))

@@ -26,9 +26,9 @@ class RunCache:
 
     def __init__(self, make: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000, room: int = 1 << 25) -> None:
         self.make, self.most, self.room = make, most, room
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.row: dict = {}
         self.flat = np.empty(1 << 16, np.int32)
         self.used = self.held = 0  # ids, and characters of keys
@@ -46,7 +46,7 @@ class RunCache:
     def rows(self, keys: Sequence) -> np.ndarray:
         """The row of every key; `start` and `length` describe the run of a row in `flat`."""
         if len(self.row) + len(keys) > self.most or self.used + self.held > self.room:
-            self._clear()
+            self.clear()
         find = self.row
         new = [k for k in keys if k not in find]
         if new:

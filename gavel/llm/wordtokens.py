@@ -43,6 +43,11 @@ class WordTokens:
         self.words = RunCache(self._encode)
         self.marks = RunCache(self._one_by_one)
 
+    def forget(self) -> None:
+        """Drop the runs of all words: most are those of few texts, and the worker outlives its task."""
+        self.words.clear()
+        self.marks.clear()
+
     def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [x.ids for x in self.full.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))

@@ -86,6 +86,30 @@ def test_language_learns_in_bounded_memory():
     assert dict(zip(own["bucket"].to_pylist(), own["n_sum"].to_pylist())) == {i: n for i, n in enumerate(want.tolist()) if n}
 
 
+def test_language_slices_are_small():
+    batch = pa.RecordBatch.from_arrays([pa.array([prose(i, 4000) for i in range(160)]), pa.array(["a", "b"] * 80)], ["text", "label"])
+    tracemalloc.start()
+    list(language.counted(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+
+
+def test_packing_leaves_no_words_in_the_worker():
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = packing.packed(Docs(), packing.PackParams(WORD_FILE))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([prose(1, 500), "ein Haus"])], ["doc_id", "text"])
+    first = [x.to_pydict() for x in run(iter([batch]))]
+    assert not word_tokens(WORD_FILE).words.row and not word_tokens(WORD_FILE).marks.row
+    assert [x.to_pydict() for x in run(iter([batch]))] == first
+
+
 def test_language_odd_rows(spark, sf_dir, docs, none):
     model = language.learn(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     got = {r.doc_id: r for r in language.identified(docs.withColumn("score", F.lit("clash")), model).collect()}
