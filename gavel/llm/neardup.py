@@ -10,8 +10,10 @@
    value of one class alone has no list.
 3. Every class is compared, on the full sets, with one hub: the class of its
    lists whose retained values are the most common, or nearly so and with a
-   smaller doc_id, as the original of a family of edited copies is. This links
-   most of a family with one pair each.
+   smaller doc_id, as the original of a family of edited copies is. Where that
+   leaves some of a family, the member nearest to the family's centre (the
+   shingles that over half of it has) takes the hub's place, found and compared
+   by the differences of step 4. This links most of a family with two pairs each.
 4. What is left of a family is compared by differences from its hub. Let d(x) be
    what only one of x and the hub h has. x and y differ in what only one of d(x)
    and d(y) has, which for similar sets is at most the share a = (1-t)/(1+t) of
@@ -19,7 +21,8 @@
    answer. If neither x nor y is linked to the hub, |d(x)| and |d(y)| exceed that
    share with h, so they share about half of their differences. Inverted lists of
    the rarest differences (all but those that must be shared, and one more) elect
-   a class each, and members are compared with it, as long as that finds links.
+   a class each, the one nearest to the hub, and members are compared with it, as
+   long as that finds links.
    Let c be the core of a family: the hub's shingles and those that many of the
    family share, and x' the shingles of x that c lacks. Classes x and y that are
    then still in different components are similar only if x' and y' meet or the
@@ -234,8 +237,20 @@ def _classes(docs: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame]
     labels = None
     if size:
         sets = stored(_sets(docs, classes.select("node", "doc_id").join(hubs.select("node"), "node"), params), "sets")
-        family = stored(_against_hub(hubs, sets, size, params), "family")
-        links = stored(family.where("linked AND node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), "hub_links")
+        # A large family is one with more members than meet their hub's set in one place.
+        large = hubs.groupBy("hub").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts")).where("parts > 1")
+        large = stored(large, "large_families", size // MEMBERS)
+        family = stored(_against_hub(hubs, sets, large, params), "family")
+        to_hub = lambda x: x.where("linked AND node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        links = to_hub(family)
+        if (centred := _centred(family, large, params)) is not None:
+            links = links.union(to_hub(centred)).distinct()
+            first, kept = family, family.join(centred.select(F.col("old_hub").alias("hub")).distinct(), "hub", "left_anti")
+            family = stored(kept.unionByName(centred.drop("old_hub")), "families")
+        links = stored(links, "hub_links")
+        if centred is not None:
+            dropped(first)
+            dropped(centred)
         if not empty(links):
             labels = components(links)
         links, labels = _by_differences(family, links, labels, size, params)
@@ -286,24 +301,69 @@ def _labelled(nodes: DataFrame, labels: DataFrame | None, name: str = "node", la
     return nodes.join(found, name, "left").withColumn(label, F.coalesce("__label", name)).drop("__label")
 
 
-def _against_hub(hubs: DataFrame, sets: DataFrame, size: int, params: NearParams) -> DataFrame:
-    """node, hub, n, hub_n, shared, rest (what the hub lacks), diff (what only one of both has), d (its size), linked, from the full sets."""
-    # A large family is spread over copies of its hub's set, one for every MEMBERS members.
-    large = hubs.groupBy("hub").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts")).where("parts > 1")
-    large = stored(large, "large_families", size // MEMBERS)
+def _beside(members: DataFrame, sides: DataFrame, large: DataFrame) -> DataFrame:
+    """`members` (node, hub, ...) with the row of `sides` (hub, ...) of their family."""
+    # A large family is spread over copies of its row, one for every MEMBERS members.
     parts = F.coalesce("parts", F.lit(1))
-    own = hubs.join(large, "hub", "left").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).drop("parts")
+    own = members.join(large, "hub", "left").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).drop("parts")
+    spread = sides.join(large, "hub", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return own.join(spread, ["hub", "part"]).drop("part")
+
+
+def _judged(met: DataFrame, params: NearParams) -> DataFrame:
+    """`met` (node, hub, n, hub_n, rest, diff) with d, shared and linked."""
+    t = params.percent
+    met = met.withColumn("d", F.size("diff")).withColumn("shared", F.col("n") - F.size("rest"))
+    return met.withColumn("linked", F.col("d") * (100 + t) <= (F.col("n") + F.col("hub_n")) * (100 - t))
+
+
+def _against_hub(hubs: DataFrame, sets: DataFrame, large: DataFrame, params: NearParams) -> DataFrame:
+    """node, hub, n, hub_n, shared, rest (what the hub lacks), diff (what only one of both has), d (its size), linked, from the full sets."""
     hub_sets = sets.join(hubs.select("hub").distinct().withColumnRenamed("hub", "node"), "node", "left_semi").select(
         F.col("node").alias("hub"), F.col("items").alias("hub_items")
     )
-    spread = hub_sets.join(large, "hub", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
-    met = own.join(sets, "node").join(spread, ["hub", "part"])
-    met = met.withColumn("rest", F.array_except("items", "hub_items"))
+    met = _beside(hubs.join(sets, "node"), hub_sets, large).withColumn("rest", F.array_except("items", "hub_items"))
     diff = F.concat("rest", F.array_except("hub_items", "items"))
     met = met.select("node", "hub", F.size("items").alias("n"), F.size("hub_items").alias("hub_n"), "rest", diff.alias("diff"))
-    met = met.withColumn("d", F.size("diff")).withColumn("shared", F.col("n") - F.size("rest"))
-    t = params.percent
-    return met.withColumn("linked", F.col("d") * (100 + t) <= (F.col("n") + F.col("hub_n")) * (100 - t))
+    return _judged(met, params)
+
+
+def _centred(family: DataFrame, large: DataFrame, params: NearParams) -> DataFrame | None:
+    """The families with more than LEAST_COMMON members and not all of them linked, their hub replaced by the member
+    nearest to their centre: `family` with old_hub. None if there is no such family.
+
+    The centre is the set of the shingles that over half of the family has. It differs from the hub in the differences
+    that over half of the members have, so all of this is counted on the differences, and the new ones follow from them.
+    """
+    open_ones = family.groupBy("hub").agg(F.count("*").alias("members"), F.min("linked").alias("all"))
+    open_ones = stored(open_ones.where((F.col("members") > LEAST_COMMON) & ~F.col("all")).drop("all"), "open_families")
+    if empty(open_ones):
+        return None
+    own = family.join(open_ones, "hub", "left_semi")
+    counts = own.select("hub", F.explode("diff").alias("item")).groupBy("hub", "item").agg(F.count("*").alias("n"))
+    # Differences that half of the members have are at most twice as many as a member has on average.
+    turned = counts.where(F.col("n") * 2 > LEAST_COMMON).join(open_ones, "hub").where("n * 2 > members")
+    turned = turned.groupBy("hub").agg(F.collect_list("item").alias("turned"))
+    none = F.array().cast("array<long>")
+    centres = stored(open_ones.join(turned, "hub", "left").select("hub", F.coalesce("turned", none).alias("turned")), "centres")
+    away = F.col("d") + F.size("turned") - 2 * F.size(F.array_intersect("diff", "turned"))
+    nearest = _beside(family.select("node", "hub", "d", "diff"), centres, large).groupBy("hub").agg(
+        F.min(F.struct(away.alias("away"), "node")).alias("least")
+    )
+    leads = stored(
+        family.join(nearest.select("hub", F.col("least.node").alias("node")), ["hub", "node"]).select(
+            "hub", F.col("node").alias("lead"), F.col("n").alias("lead_n"), F.col("diff").alias("lead_diff"),
+            F.array_except("diff", "rest").alias("lead_lacks"),
+        ),
+        "leads",
+    )
+    # x has what the lead lacks: of what the hub lacks, what the lead doesn't have either, and of the hub's what only the lead lacks.
+    rest = F.concat(F.array_except("rest", "lead_diff"), F.array_except("lead_lacks", "diff"))
+    diff = F.concat(F.array_except("diff", "lead_diff"), F.array_except("lead_diff", "diff"))
+    met = _beside(family.select("node", "hub", "n", "rest", "diff"), leads, large).select(
+        "node", F.col("hub").alias("old_hub"), F.col("lead").alias("hub"), "n", F.col("lead_n").alias("hub_n"), rest.alias("rest"), diff.alias("diff")
+    )
+    return stored(_judged(met, params), "centred")
 
 
 def _difference_lists(family: DataFrame, params: NearParams) -> DataFrame:
@@ -345,9 +405,9 @@ def _by_differences(family: DataFrame, links: DataFrame, labels: DataFrame | Non
 
     while True:
         named = stored(_labelled(lists, labels), "named_lists")
-        # Each list elects the class with the most common differences: half a family's copies may stem from it.
+        # Each list elects the class nearest to the hub: of those with the same edits it has the fewest others.
         top = named.groupBy("hub", "item").agg(
-            F.max(F.struct("common", "node", "label", "n", "d")).alias("top"), F.count("*").alias("size")
+            F.min(F.struct("d", "node", "label", "n")).alias("top"), F.count("*").alias("size")
         ).where("size > 1")
         met = named.join(top, ["hub", "item"]).select(
             "node", "n", "d", "label", F.col("top.node").alias("other"), F.col("top.label").alias("other_label"),

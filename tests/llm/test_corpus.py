@@ -308,3 +308,22 @@ def test_near_duplicate_pairs_of_a_family_below_the_threshold(spark, monkeypatch
     found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     check_near(found.collect(), rows)
     assert sum(tested) < 150 * 149 / 2 / 4  # members of one sub-family are never paired with each other
+
+
+def test_near_duplicate_family_with_a_much_edited_hub(spark, monkeypatch):
+    """Copies with two edits are similar to each other, but not to the first one, which has three and is the family's hub."""
+    rng = np.random.default_rng(5)
+    base = prose(51, 150).split()
+    rows = []
+    for k in range(150):
+        own = list(base)
+        for at in rng.choice(150, size=3 if k == 0 else 2 if k % 3 else int(rng.integers(7, 10)), replace=False):
+            own[at] = f"w{k}x{at}"
+        rows.append((k, " ".join(own)))
+    tested, linked = [], []
+    plain, components_of = neardup._pairs, neardup.components
+    monkeypatch.setattr(neardup, "_pairs", lambda left: tested.append(plain(left).count()) or plain(left))
+    monkeypatch.setattr(neardup, "components", lambda edges: linked.append(edges.count()) or components_of(edges))
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    check_near(found.collect(), rows)
+    assert sum(tested) < 5 * 150 and max(linked) < 2 * 150
